@@ -125,3 +125,74 @@ def grid_trips(spark: SparkSession, sf_dir: str, null_status: str | None = None,
 
 # The grid trips are identified by their order key.
 GRID_KEY = ["trip_key"]
+
+
+def customer_locations(spark: SparkSession, sf_dir: str, duplicates: bool = False) -> DataFrame:
+    """Raw coordinate rows (text) from ``customer``: route N<nation>, station = customer name.
+
+    Longitude text is unparsable for HOUSEHOLD customers, latitude is missing for MACHINERY.
+    ``duplicates``: every third customer gets a second, shifted coordinate (and every
+    seventh a third, unlocated one).
+    """
+    c = _table(spark, sf_dir, "customer")
+    lng = F.lit(113.0) + F.col("c_acctbal") * F.lit(0.0001)
+    lat = F.lit(23.0) + (F.col("c_custkey") % 100).cast("double") * F.lit(0.01)
+
+    def rows(lng_col, lat_col):
+        return c.select(
+            F.concat(F.lit("N"), F.col("c_nationkey").cast("string")).alias("route_name"),
+            F.col("c_name").alias("station_name"),
+            F.when(F.col("c_mktsegment") == "HOUSEHOLD", F.concat(F.lit("E"), lng_col.cast("string")))
+            .otherwise(lng_col.cast("string")).alias("longitude"),
+            F.when(F.col("c_mktsegment") != "MACHINERY", lat_col.cast("string")).alias("latitude"),
+            F.col("c_custkey"),
+        )
+
+    out = rows(lng, lat)
+    if duplicates:
+        out = out.unionByName(rows(lng + F.lit(0.5), lat - F.lit(0.25)).filter(F.col("c_custkey") % 3 == 0))
+        out = out.unionByName(rows(F.lit(None).cast("double"), lat).filter(F.col("c_custkey") % 7 == 0))
+    return out.drop("c_custkey")
+
+
+def pages_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One JSONP text per page: ``cb<page_id>({"lines":[{"lineName": <title>, "stages": [...]}]});``
+    with the page's list links as stages (stageId = ``<page_id>-<position>``)."""
+    from lineweave.sources.pages import LINK_PATTERN, TITLE_PATTERN
+
+    p = _table(spark, sf_dir, "pages")
+    pid = F.col("page_id").cast("string")
+    items = F.regexp_extract_all(F.col("html"), F.lit(LINK_PATTERN), 1)
+    stages = F.transform(
+        items, lambda x, i: F.struct(F.concat(pid, F.lit("-"), i.cast("string")).alias("stageId"), x.alias("stageName"))
+    )
+    line = F.struct(F.nullif(F.regexp_extract(F.col("html"), TITLE_PATTERN, 1), F.lit("")).alias("lineName"),
+                    stages.alias("stages"))
+    body = F.to_json(F.struct(F.array(line).alias("lines")))
+    return p.select(F.concat(F.lit("cb"), pid, F.lit("("), body, F.lit(");")).alias("value"))
+
+
+# Names the alias rules rewrite (used to build test names).
+ALIAS_SOURCES = ["机场北（2号航站楼）", "十四号线", "虫雷 岗", "清㘵", "APM", "三北线"]
+
+
+def part_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """p_partkey, name_in: names built from ``part`` covering every cleaning rule by
+    ``p_partkey % 10`` (plain, parenthesis with section suffix, control characters, alias,
+    contains-alias, empty and inverted parentheses, full-width parentheses, null, spaced)."""
+    p = _table(spark, sf_dir, "part")
+    k = F.col("p_partkey")
+    alias = F.element_at(F.array(*[F.lit(a) for a in ALIAS_SOURCES]), (F.expr("p_partkey div 10") % 6 + 1).cast("int"))
+    m = k % 10
+    name = (
+        F.when(m == 0, F.col("p_name"))
+        .when(m == 1, F.concat(F.col("p_brand"), F.lit("("), F.col("p_type"), F.lit("段)"), F.col("p_name")))
+        .when(m == 2, F.concat(F.lit(" \t"), F.col("p_type"), F.lit("\n")))
+        .when(m == 3, alias)
+        .when(m == 4, F.concat(F.lit("x机场南（1号航站楼）"), F.col("p_brand")))
+        .when(m == 5, F.concat(F.col("p_name"), F.lit("()")))
+        .when(m == 6, F.concat(F.lit(")"), F.col("p_brand"), F.lit("(")))
+        .when(m == 7, F.concat(F.col("p_type"), F.lit("（"), F.col("p_brand"), F.lit("）")))
+        .when(m == 9, F.concat(F.col("p_brand"), F.lit(" ("), F.col("p_type"), F.lit(")")))
+    )
+    return p.select("p_partkey", name.alias("name_in"))
