@@ -27,12 +27,17 @@ ALIAS_RULES: list[tuple[str, str, str]] = [
 SECTION_CHAR = "段"
 LINE_CHAR = "线"
 
+# Fixed patterns of the parenthesis rule: group 1 = text before the first '(', group 2 = text up
+# to the first ')'; the first form handles an inside ending in SECTION_CHAR.
+PAREN_SECTION_PATTERN = r"^([^()]*)\(([^)]*)" + SECTION_CHAR + r"\)[\s\S]*$"
+PAREN_PATTERN = r"^([^()]*)\(([^)]+)\)[\s\S]*$"
+
 # Characters U+0000..U+0020 are trimmed at both ends (plain ``trim`` only strips spaces).
-CONTROL_TRIM_PATTERN = r"^[\x00-\x20]+|[\x00-\x20]+$"
+CONTROL_CHARS = "".join(chr(i) for i in range(0x21))
 
 
 def control_trim(c: Column | str) -> Column:
-    return F.regexp_replace(F.col(c) if isinstance(c, str) else c, CONTROL_TRIM_PATTERN, "")
+    return F.btrim(F.col(c) if isinstance(c, str) else c, F.lit(CONTROL_CHARS))
 
 
 def canonical_name(c: Column | str, extra_aliases: Iterable[tuple[str, str]] | None = None) -> Column:
@@ -46,25 +51,23 @@ def canonical_name(c: Column | str, extra_aliases: Iterable[tuple[str, str]] | N
 
 
 def alias_rules(t: Column, extra_aliases: Iterable[tuple[str, str]] | None = None) -> Column:
-    """The alias and parenthesis rules on already trimmed text."""
-    rules: list[tuple[str, str, str]] = [("equals", a, b) for a, b in (extra_aliases or [])]
-    rules += ALIAS_RULES
-    expr = None
-    for kind, pattern, replacement in rules:
-        cond = (t == F.lit(pattern)) if kind == "equals" else (F.instr(t, pattern) > 0)
-        expr = F.when(cond, F.lit(replacement)) if expr is None else expr.when(cond, F.lit(replacement))
-
-    # Text before the first '(' followed by the text up to the first ')'; the rest is dropped.
-    # Inverted or empty parentheses leave the trimmed name unchanged.
-    p = F.instr(t, "(")
-    q = F.instr(t, ")")
-    inside = t.substr(p + 1, q - p - 1)
-    inside = F.when(
-        F.right(inside, F.lit(1)) == F.lit(SECTION_CHAR),
-        F.concat(inside.substr(F.lit(1), F.length(inside) - 1), F.lit(LINE_CHAR)),
-    ).otherwise(inside)
-    paren = F.concat(t.substr(F.lit(1), p - 1), inside)
-    return expr.when((p > 0) & (q > p + 1), paren).otherwise(t)
+    """The alias and parenthesis rules on already trimmed text.
+
+    Kept compact on purpose (one map lookup, one substring test, two anchored regex
+    replacements) so that a projection cleaning several columns stays small enough for the
+    JIT to compile the generated code.
+    """
+    equals = {pattern: replacement for kind, pattern, replacement in ALIAS_RULES if kind == "equals"}
+    equals.update(dict(extra_aliases or []))  # user entries take precedence
+    alias = F.try_element_at(F.create_map(*[F.lit(x) for kv in equals.items() for x in kv]), t)
+    expr = F.when(alias.isNotNull(), alias)
+    for kind, pattern, replacement in ALIAS_RULES:
+        if kind == "contains":
+            expr = expr.when(F.instr(t, pattern) > 0, F.lit(replacement))
+    # Text before the first '(' followed by the text up to the first ')' (non-empty); the rest
+    # is dropped. Inverted or empty parentheses do not match, so the trimmed name stays.
+    section = F.regexp_replace(t, PAREN_SECTION_PATTERN, "$1$2" + LINE_CHAR)
+    return expr.otherwise(F.regexp_replace(section, PAREN_PATTERN, "$1$2"))
 
 
 def canonicalize(df: DataFrame, cols: Sequence[str], extra_aliases=None) -> DataFrame:

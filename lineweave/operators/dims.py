@@ -44,13 +44,14 @@ def clean_line_stations(line_stations: DataFrame, extra_aliases=None) -> DataFra
 def first_station_per_line(line_stations: DataFrame) -> DataFrame:
     """One row per (route, station): the smallest position wins (a station listed twice).
 
-    Aggregation with map-side partials: a line or station that dominates the input is
+    A hash aggregation with map-side partials: a line or station that dominates the input is
     pre-reduced before the shuffle.
     """
-    first = line_stations.filter(
-        F.col("route").isNotNull() & F.col("station").isNotNull() & F.col("num").isNotNull()
-    ).groupBy("route", "station").agg(F.min(F.struct("num", "station_id")).alias("m"))
-    return first.select("route", "station", F.col("m.num").alias("num"), F.col("m.station_id").alias("station_id"))
+    return (
+        line_stations.filter(F.col("route").isNotNull() & F.col("station").isNotNull() & F.col("num").isNotNull())
+        .groupBy("route", "station")
+        .agg(F.min("num").alias("num"))
+    )
 
 
 def dedupe_coordinates(locations: DataFrame) -> DataFrame:
@@ -73,11 +74,13 @@ def clean_locations(locations: DataFrame, extra_aliases=None) -> DataFrame:
 
 def attach_coordinates(
     df: DataFrame, locations: DataFrame, route_col: str = "route", station_col: str = "station",
-    max_broadcast_rows: int | None = None,
+    max_broadcast_rows: int | None = None, size_check: bool = True,
 ) -> DataFrame:
     """Left-join coordinates: exact (route, station) first, else the smallest for the name.
 
     Adds ``longitude``, ``latitude`` (null when the station has no located coordinate).
+    ``size_check``: broadcast the coordinate tables after a row-count check (use it when ``df``
+    is large); without it the optimizer picks the join (dimension-to-dimension joins).
     """
     located = dedupe_coordinates(locations).filter(F.col("longitude").isNotNull())
     exact = located.select(
@@ -87,8 +90,9 @@ def attach_coordinates(
     by_name = located.groupBy("station_name").agg(
         F.min(F.struct(F.col("longitude").alias("lng"), F.col("latitude").alias("lat"))).alias("_pn")
     ).withColumnRenamed("station_name", "_ln")
-    exact = broadcast_if_small(exact, max_broadcast_rows)
-    by_name = broadcast_if_small(by_name, max_broadcast_rows)
+    if size_check:
+        exact = broadcast_if_small(exact, max_broadcast_rows)
+        by_name = broadcast_if_small(by_name, max_broadcast_rows)
     out = df.join(exact, (F.col(route_col) == F.col("_lr")) & (F.col(station_col) == F.col("_ls")), "left")
     out = out.join(by_name, F.col(station_col) == F.col("_ln"), "left")
     pt = F.coalesce(F.col("_pe"), F.col("_pn"))
@@ -97,7 +101,7 @@ def attach_coordinates(
     )
 
 
-def line_profile(line_index: DataFrame, locations: DataFrame, max_broadcast_rows: int | None = None) -> DataFrame:
+def line_profile(line_index: DataFrame, locations: DataFrame) -> DataFrame:
     """Per (route, num): station, coordinates and prefix sums for O(1) leg distances.
 
     * ``pt`` / ``prev_pt``: this and the previous listed station's point (null if unlocated);
@@ -110,7 +114,7 @@ def line_profile(line_index: DataFrame, locations: DataFrame, max_broadcast_rows
     With gaps bridged inside a leg, the leg lo..hi measures ``max(0, cum_m[hi] - next_cum_m[lo])``.
     Windows here run over the small dimension only.
     """
-    prof = attach_coordinates(line_index, locations, max_broadcast_rows=max_broadcast_rows)
+    prof = attach_coordinates(line_index, locations, size_check=False)
     w = Window.partitionBy("route").orderBy("num")
     before = w.rowsBetween(Window.unboundedPreceding, -1)
     prof = prof.withColumn("pt", point("longitude", "latitude"))

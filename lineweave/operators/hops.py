@@ -37,8 +37,12 @@ def trip_identity(df: DataFrame, key_cols: Sequence[str] | None = None, out: str
 
 
 def prepare_trips(trips: DataFrame, key_cols=None, extra_aliases=None) -> DataFrame:
-    """Clean the name columns and attach ``trip_id`` (row-local, no shuffle)."""
-    return trip_identity(canonicalize(trips, TRIP_NAME_COLUMNS, extra_aliases), key_cols)
+    """Attach ``trip_id`` (hashed from the raw columns) and clean the name columns."""
+    return clean_trip_names(trip_identity(trips, key_cols), extra_aliases)
+
+
+def clean_trip_names(trips: DataFrame, extra_aliases=None) -> DataFrame:
+    return canonicalize(trips, TRIP_NAME_COLUMNS, extra_aliases)
 
 
 def explode_hops(trips: DataFrame, keep_empty: bool = False, extra_aliases=None) -> DataFrame:
@@ -75,8 +79,12 @@ def carry_forward_route(hops: DataFrame) -> DataFrame:
 def dedupe_hop_stations(hops: DataFrame) -> DataFrame:
     """Drop a hop whose (route, station) already occurred earlier in the same trip.
 
-    The earliest hop survives as a whole, so its leg stays complete. The window partitions by
-    trip (a superset key of ``trip_id``), so it reuses the trip partitioning: no extra shuffle.
+    The earliest hop survives as a whole, so its leg stays complete. The check runs over the
+    trip's earlier hops in the same (trip, hop) window order as the carry-forward and the
+    lead, so the hop rows are sorted once; a trip's hops come from one plan row, so the
+    running list is bounded by that row.
     """
-    w = Window.partitionBy("trip_id", "route", "station")
-    return hops.withColumn("_first", F.min("hop").over(w)).filter(F.col("hop") == F.col("_first")).drop("_first")
+    earlier = trip_window().rowsBetween(Window.unboundedPreceding, -1)
+    key = F.struct("route", "station")
+    seen = F.coalesce(F.array_contains(F.collect_list(key).over(earlier), key), F.lit(False))
+    return hops.withColumn("_seen", seen).filter(~F.col("_seen")).drop("_seen")

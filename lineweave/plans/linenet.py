@@ -25,9 +25,11 @@ from lineweave.operators.dims import (
 from lineweave.operators.distance import leg_distance, with_exact_distance, with_trip_distance
 from lineweave.operators.hops import (
     carry_forward_route,
+    clean_trip_names,
     dedupe_hop_stations,
     explode_hops,
     prepare_trips,
+    trip_identity,
 )
 from lineweave.operators.legs import leg_destinations, leg_stations, resolved_legs
 from lineweave.schemas import HOP_SCHEMA, RESULT_COLUMNS
@@ -51,7 +53,7 @@ def prepare_dims(line_stations: DataFrame, locations: DataFrame, extra_aliases=N
     locs = clean_locations(location_scan(locations), extra_aliases)
     # The profile is small and read by three joins: keep it (it is recomputed from its small
     # inputs if an executor holding it is lost) and count it once for the broadcast check.
-    prof = line_profile(idx, locs, max_broadcast_rows).persist()
+    prof = line_profile(idx, locs).persist()
     n = prof.count()
     index = prof.select("route", "station", "num", "cum_m", "next_cum_m")
     profile = prof.select(
@@ -67,9 +69,10 @@ def prepare_dims(line_stations: DataFrame, locations: DataFrame, extra_aliases=N
 
 def hop_legs(trips: DataFrame, dims: LineNetDims, key_cols=None, extra_aliases=None) -> DataFrame:
     """Hop rows with bounds and the ``bad`` flag (all hops, last ones included)."""
-    t = prepare_trips(trip_scan(trips), key_cols, extra_aliases)
-    # The one shuffle of the job: trips are still one row each and ``trip_id`` is unique.
-    t = t.repartition("trip_id")
+    t = trip_identity(trip_scan(trips), key_cols)
+    # The one shuffle of the job: trips are still one row each and ``trip_id`` is unique, so
+    # partitions are even whatever the input file sizes; all per-row work runs after it.
+    t = clean_trip_names(t.repartition("trip_id"), extra_aliases)
     hops = dedupe_hop_stations(carry_forward_route(explode_hops(t, extra_aliases=extra_aliases)))
     return leg_destinations(hops, dims.index)
 
