@@ -30,7 +30,15 @@ def write_line_stations_csv(df: DataFrame, path: str, mode: str = "overwrite") -
 
 def read_line_stations_csv(spark: SparkSession, path: str, clean: bool = True) -> DataFrame:
     """Read (line, idx, station) rows; names are cleaned like every other station source."""
-    raw = spark.read.schema(LINE_STATIONS_CSV_SCHEMA).options(**_CSV_OPTIONS).option("multiLine", "true").csv(path)
+    # An unquoted empty field is null, a quoted one ("") is the empty string.
+    raw = (
+        spark.read.schema(LINE_STATIONS_CSV_SCHEMA)
+        .options(**_CSV_OPTIONS)
+        .option("multiLine", "true")
+        .option("nullValue", "\u0000")
+        .option("emptyValue", "")
+        .csv(path)
+    )
     name = canonical_name if clean else (lambda c: c)
     return raw.select(
         name(F.col("route")).alias("route"),
