@@ -34,6 +34,11 @@ HEADLINE = [
 ]
 
 
+# The plan in the shape of the original program (full expansion, de-duplication after the
+# joins, bounds searched among expanded rows); reported for comparison, not in the total.
+BASELINE = "line_net_naive"
+
+
 def run(spark, name, sf_dir):
     t = time.perf_counter()
     QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
@@ -50,12 +55,19 @@ def main():
     if os.path.isdir(warm):
         run(spark, "line_net_exact", warm)
     times = {n: round(run(spark, n, sf_dir), 3) for n in names}
+    total = round(sum(times.values()), 3)
+    extra = {}
+    if not sys.argv[1:]:
+        naive = round(run(spark, BASELINE, sf_dir), 3)
+        times[BASELINE] = naive
+        extra = {"baseline_naive_sec": naive, "naive_over_ours": round(naive / times["line_net_exact"], 2)}
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
     print(json.dumps({
         "metric": "headline_queries_total",
-        "value": round(sum(times.values()), 3),
+        "value": total,
         "unit": "sec",
         "queries": times,
+        **extra,
         "sf": float(sf) if sf.replace(".", "", 1).isdigit() else sf,
         "cpus": cpus,
     }))

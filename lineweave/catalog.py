@@ -34,6 +34,7 @@ from lineweave.operators import (
     trip_identity,
 )
 from lineweave.plans import build_line_net, hop_legs, prepare_dims, unresolved_hops
+from lineweave.plans.naive import build_line_net_naive
 from lineweave.session import shared_dir
 from lineweave.sources import (
     line_stations_from_pages,
@@ -182,6 +183,12 @@ def q_line_net_exact(spark, d):
     )
 
 
+def q_line_net_naive(spark, d):
+    return build_line_net_naive(
+        fx.grid_trips(spark, d), fx.grid_line_stations(spark, d), fx.grid_locations(spark, d, 17), key_cols=fx.GRID_KEY
+    )
+
+
 def q_unresolved_hops(spark, d):
     return unresolved_hops(
         fx.grid_trips(spark, d, broken=True), fx.grid_line_stations(spark, d), fx.grid_locations(spark, d),
@@ -220,6 +227,7 @@ QUERIES: dict[str, Query] = {
     "collect_trip_stations": q_collect_trip_stations,
     "line_net_result": q_line_net_result,
     "line_net_exact": q_line_net_exact,
+    "line_net_naive": q_line_net_naive,
     "unresolved_hops": q_unresolved_hops,
     "first_station_per_line": q_first_station_per_line,
     "dedupe_coordinates": q_dedupe_coordinates,

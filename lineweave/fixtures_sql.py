@@ -343,6 +343,7 @@ def oracles() -> dict[str, str]:
     )
     q["line_net_result"] = with_grid(RESULT_SELECT.format(dist="dist_bridge"))
     q["line_net_exact"] = with_grid(RESULT_SELECT.format(dist="dist_exact"), gap=17)
+    q["line_net_naive"] = q["line_net_exact"]
     q["unresolved_hops"] = with_grid(
         """
 SELECT trip_id, hop, route, station, reason FROM (
