@@ -28,7 +28,6 @@ from lineweave.operators.hops import (
     clean_trip_names,
     dedupe_hop_stations,
     explode_hops,
-    prepare_trips,
     trip_identity,
 )
 from lineweave.operators.legs import leg_destinations, leg_stations, resolved_legs
@@ -67,12 +66,20 @@ def prepare_dims(line_stations: DataFrame, locations: DataFrame, extra_aliases=N
     )
 
 
-def hop_legs(trips: DataFrame, dims: LineNetDims, key_cols=None, extra_aliases=None) -> DataFrame:
-    """Hop rows with bounds and the ``bad`` flag (all hops, last ones included)."""
+def partitioned_trips(trips: DataFrame, key_cols=None, extra_aliases=None) -> DataFrame:
+    """Plan rows with ``trip_id``, hash-partitioned on it, names cleaned.
+
+    The one shuffle of the job: trips are still one row each and ``trip_id`` is unique, so
+    partitions are even whatever the input file sizes; all per-row work runs after it.
+    """
     t = trip_identity(trip_scan(trips), key_cols)
-    # The one shuffle of the job: trips are still one row each and ``trip_id`` is unique, so
-    # partitions are even whatever the input file sizes; all per-row work runs after it.
-    t = clean_trip_names(t.repartition("trip_id"), extra_aliases)
+    return clean_trip_names(t.repartition("trip_id"), extra_aliases)
+
+
+def hop_legs(trips: DataFrame, dims: LineNetDims, key_cols=None, extra_aliases=None,
+             prepared: DataFrame | None = None) -> DataFrame:
+    """Hop rows with bounds and the ``bad`` flag (all hops, last ones included)."""
+    t = prepared if prepared is not None else partitioned_trips(trips, key_cols, extra_aliases)
     hops = dedupe_hop_stations(carry_forward_route(explode_hops(t, extra_aliases=extra_aliases)))
     return leg_destinations(hops, dims.index)
 
@@ -151,7 +158,7 @@ def unresolved_hops(
                 [], "route_name string, station_name string, longitude double, latitude double"
             )
         dims = prepare_dims(line_stations, locations, extra_aliases, max_broadcast_rows)
-    t = prepare_trips(trip_scan(trips), key_cols, extra_aliases)
+    t = partitioned_trips(trips, key_cols, extra_aliases)
     malformed = t.filter(
         ~is_json_array(F.col("lines_result")) | F.from_json(F.col("lines_result"), HOP_SCHEMA).isNull()
     ).select(
@@ -161,7 +168,7 @@ def unresolved_hops(
         F.lit(None).cast("string").alias("station"),
         F.lit("malformed plan").alias("reason"),
     )
-    legs = hop_legs(trips, dims, key_cols, extra_aliases)
+    legs = hop_legs(trips, dims, key_cols, extra_aliases, prepared=t)
     known = dims.routes.select(F.col("route").alias("_known"))
     legs = legs.join(known, F.col("route") == F.col("_known"), "left")
     reason = (
