@@ -24,6 +24,7 @@ from lineweave.operators import (
     expand_hop_stations,
     explode_hops,
     first_station_per_line,
+    keep_first,
     leg_stations,
     prepare_trips,
     resolved_legs,
@@ -196,6 +197,13 @@ def q_unresolved_hops(spark, d):
     )
 
 
+def q_dedupe_lineitem_keys(spark, d):
+    li = spark.read.parquet(f"{d}/lineitem.parquet").select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_returnflag"
+    )
+    return keep_first(li, ["l_orderkey", "l_linenumber"], ["l_partkey", "l_suppkey"])
+
+
 def q_first_station_per_line(spark, d):
     return first_station_per_line(line_stations_from_pages(_pages(spark, d))).select("route", "station", "num")
 
@@ -230,5 +238,6 @@ QUERIES: dict[str, Query] = {
     "line_net_naive": q_line_net_naive,
     "unresolved_hops": q_unresolved_hops,
     "first_station_per_line": q_first_station_per_line,
+    "dedupe_lineitem_keys": q_dedupe_lineitem_keys,
     "dedupe_coordinates": q_dedupe_coordinates,
 }

@@ -365,6 +365,12 @@ FROM trips WHERE o_orderkey % 50 IN (29, 31)""",
         f"WITH {pages_ctes()} SELECT route, station, min(num) AS num FROM pclean"
         " WHERE route IS NOT NULL AND station IS NOT NULL GROUP BY route, station"
     )
+    q["dedupe_lineitem_keys"] = """
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_returnflag FROM (
+  SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber
+                               ORDER BY l_partkey, l_suppkey, l_quantity, l_returnflag) AS rn
+  FROM lineitem) x
+WHERE rn = 1"""
     q["dedupe_coordinates"] = f"""WITH {customer_locations_ctes(True)},
 g AS (SELECT DISTINCT route_name, station_name FROM cl),
 lp AS (

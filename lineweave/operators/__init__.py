@@ -1,6 +1,7 @@
 """DataFrame-in, DataFrame-out operators; each can be used alone or through the pipeline."""
 
 from lineweave.operators.collect import collect_trip_stations
+from lineweave.operators.dedupe import keep_first
 from lineweave.operators.dims import (
     attach_coordinates,
     broadcast_if_small,
@@ -47,6 +48,7 @@ __all__ = [
     "expand_hop_stations",
     "explode_hops",
     "first_station_per_line",
+    "keep_first",
     "leg_destinations",
     "leg_distance",
     "leg_stations",

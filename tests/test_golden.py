@@ -47,3 +47,17 @@ def test_distance_independent_of_partitioning(spark):
     da = {r.uuid: r.distance for r in a.select("uuid", "distance").distinct().collect()}
     db = {r.uuid: r.distance for r in b.select("uuid", "distance").distinct().collect()}
     assert da == db
+
+
+def test_fallback_without_broadcast_gives_same_result(spark):
+    """Dimensions over the size bound are joined without the broadcast hint; same rows."""
+    args = (fx.grid_trips(spark, SF001), fx.grid_line_stations(spark, SF001), fx.grid_locations(spark, SF001, 17))
+    a = build_line_net(*args, gap_mode="exact", key_cols=fx.GRID_KEY)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        b = build_line_net(*args, gap_mode="exact", key_cols=fx.GRID_KEY, max_broadcast_rows=1)
+        plan = b._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan or "ShuffledHashJoin" in plan
+        assert sorted(map(tuple, a.collect()), key=str) == sorted(map(tuple, b.collect()), key=str)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
