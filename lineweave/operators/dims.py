@@ -132,11 +132,30 @@ def line_profile(line_index: DataFrame, locations: DataFrame) -> DataFrame:
             ).otherwise(F.lit(0)),
         }
     )
-    prof = prof.withColumn("cum_m", F.sum("seg_m").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    prof = prof.withColumn(
-        "next_cum_m",
-        F.first(F.when(F.col("pt").isNotNull(), F.col("cum_m")), ignorenulls=True).over(
-            w.rowsBetween(0, Window.unboundedFollowing)
-        ),
+    prof = prof.withColumns(
+        {
+            "cum_m": F.sum("seg_m").over(w.rowsBetween(Window.unboundedPreceding, 0)),
+            "idx": (F.row_number().over(w) - 1).cast("int"),
+            "prev_loc_pt": F.col("_last.pt"),
+            "_next_pt": F.lead("pt").over(w),
+            "_next_num": F.lead("num").over(w),
+        }
+    )
+    ahead = w.rowsBetween(0, Window.unboundedFollowing)
+    after = w.rowsBetween(1, Window.unboundedFollowing)
+    located = F.struct("num", "idx", "pt", "cum_m")
+    prof = prof.withColumns(
+        {
+            "next_cum_m": F.first(F.when(F.col("pt").isNotNull(), F.col("cum_m")), ignorenulls=True).over(ahead),
+            # first located station at / strictly after this one
+            "next_loc": F.first(F.when(F.col("pt").isNotNull(), located), ignorenulls=True).over(ahead),
+            "next_loc_after": F.first(F.when(F.col("pt").isNotNull(), located), ignorenulls=True).over(after),
+            # first pair of consecutive listed stations, both located, starting here or later
+            "pair": F.first(
+                F.when(F.col("pt").isNotNull() & F.col("_next_pt").isNotNull(),
+                       F.struct("num", "cum_m", F.col("_next_num").alias("end_num"))),
+                ignorenulls=True,
+            ).over(ahead),
+        }
     )
-    return prof.drop("_last")
+    return prof.drop("_last", "_next_pt", "_next_num")

@@ -82,3 +82,74 @@ def with_exact_distance(stations: DataFrame) -> DataFrame:
 def trip_distance_exact(stations: DataFrame) -> DataFrame:
     """One row per trip: (trip_id, distance) by the exact sequential rule."""
     return with_exact_distance(stations).groupBy("trip_id").agg(F.first("distance").alias("distance"))
+
+
+def with_exact_leg_distance(legs: DataFrame) -> DataFrame:
+    """``distance`` on every leg row by the exact sequential rule, without station rows.
+
+    Per leg (stations s_0..s_m between the bounds, in line order) the rule has a closed form
+    from the line profile looked up at the bounds: before the trip's first pair with both ends
+    located nothing counts; after it every located station adds its segment from the last
+    located one (prefix sums); stations at the leg start before the first located a- / b-end
+    reuse the previous legs' last ends A / B. A, B and "started" are carried across legs with
+    running windows over the trip's legs (a few rows), so station rows are never sorted.
+    Needs the o_/d_ profile columns from ``leg_destinations``.
+    """
+    o_low = F.col("o_num") <= F.col("d_num")
+
+    def at_lo(c):
+        return F.when(o_low, F.col(f"o_{c}")).otherwise(F.col(f"d_{c}"))
+
+    def at_hi(c):
+        return F.when(o_low, F.col(f"d_{c}")).otherwise(F.col(f"o_{c}"))
+
+    lo, hi = F.col("lo"), F.col("hi")
+    m = at_hi("idx") - at_lo("idx")
+    pair = at_lo("pair")
+    prev_num_hi, prev_pt_hi, pt_hi = at_hi("prev_loc_num"), at_hi("prev_loc_pt"), at_hi("pt")
+    legs = legs.withColumns(
+        {
+            "_m": m,
+            "_lo_idx": at_lo("idx"),
+            "_pt_lo": at_lo("pt"),
+            "_cum_lo": at_lo("cum_m"),
+            "_cum_hi": at_hi("cum_m"),
+            "_f": at_lo("next_loc"),
+            "_g": at_lo("next_loc_after"),
+            "_pair_cum": pair["cum_m"],
+            "_has_pair": ((m > 0) & pair.isNotNull() & (pair["end_num"] <= hi)).cast("int"),
+            "_last_a": F.when((m > 0) & (prev_num_hi >= lo), prev_pt_hi),
+            "_last_b": F.when(m > 0, F.when(pt_hi.isNotNull(), pt_hi).when(prev_num_hi > lo, prev_pt_hi)),
+        }
+    )
+    before = Window.partitionBy("trip_id").orderBy("hop").rowsBetween(Window.unboundedPreceding, -1)
+    legs = legs.withColumns(
+        {
+            "_started": F.coalesce(F.max("_has_pair").over(before), F.lit(0)),
+            "_A": F.last("_last_a", ignorenulls=True).over(before),
+            "_B": F.last("_last_b", ignorenulls=True).over(before),
+        }
+    )
+    m, f, g, a, b = F.col("_m"), F.col("_f"), F.col("_g"), F.col("_A"), F.col("_B")
+    lo_idx, pt_lo, cum_lo, cum_hi = F.col("_lo_idx"), F.col("_pt_lo"), F.col("_cum_lo"), F.col("_cum_hi")
+    ab = point_distance_m(a, b)
+    f_in = f.isNotNull() & (f["num"] <= hi)
+    g_in = g.isNotNull() & (g["num"] <= hi)
+    started_m = (
+        F.when(~f_in, m * ab)  # nothing located in the leg: every pair re-measures A-B
+        .when(
+            f["num"] == lo,  # the first station is located: pairs before the first located b-end use B
+            F.when(g_in, (g["idx"] - lo_idx - 1) * point_distance_m(pt_lo, b) + cum_hi - cum_lo).otherwise(
+                m * point_distance_m(pt_lo, b)
+            ),
+        )
+        .otherwise(  # pairs before the first located station use A-B, then A-f
+            (f["idx"] - lo_idx - 1) * ab + point_distance_m(a, f["pt"]) + cum_hi - f["cum_m"]
+        )
+    )
+    first_m = F.when(F.col("_has_pair") == 1, cum_hi - F.col("_pair_cum")).otherwise(F.lit(0))
+    leg_m = F.when(m <= 0, F.lit(0)).when(F.col("_started") == 1, started_m).otherwise(first_m)
+    legs = legs.withColumn("leg_m", leg_m)
+    legs = legs.withColumn("distance", F.sum("leg_m").over(Window.partitionBy("trip_id")).cast("int"))
+    return legs.drop("_m", "_lo_idx", "_pt_lo", "_cum_lo", "_cum_hi", "_f", "_g", "_pair_cum", "_has_pair",
+                     "_last_a", "_last_b", "_started", "_A", "_B")

@@ -22,7 +22,7 @@ from lineweave.operators.dims import (
     first_station_per_line,
     line_profile,
 )
-from lineweave.operators.distance import leg_distance, with_exact_distance, with_trip_distance
+from lineweave.operators.distance import leg_distance, with_exact_leg_distance, with_trip_distance
 from lineweave.operators.hops import (
     carry_forward_route,
     clean_trip_names,
@@ -54,7 +54,10 @@ def prepare_dims(line_stations: DataFrame, locations: DataFrame, extra_aliases=N
     # inputs if an executor holding it is lost) and count it once for the broadcast check.
     prof = line_profile(idx, locs).persist()
     n = prof.count()
-    index = prof.select("route", "station", "num", "cum_m", "next_cum_m")
+    index = prof.select(
+        "route", "station", "num", "cum_m", "next_cum_m",
+        "idx", "pt", "prev_loc_num", "prev_loc_pt", "next_loc", "next_loc_after", "pair",
+    )
     profile = prof.select(
         "route", "num", "station", "longitude", "latitude", "pt", "prev_pt", "prev_loc_num", "seg_m"
     )
@@ -133,10 +136,9 @@ def build_line_net(
     legs = resolved_legs(hop_legs(trips, dims, key_cols, extra_aliases))
     if gap_mode == "bridge":
         legs = with_trip_distance(leg_distance(legs))
-    stations = leg_stations(legs, dims.profile)
-    if gap_mode == "exact":
-        stations = with_exact_distance(stations)
-    return project_result(stations)
+    else:
+        legs = with_exact_leg_distance(legs)
+    return project_result(leg_stations(legs, dims.profile))
 
 
 def unresolved_hops(
