@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -26,19 +25,20 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 
 
 def shared_dir(spark: SparkSession, name: str) -> str:
-    """A fresh folder under the cluster's shared checkpoint folder (``spark.checkpoint.dir``).
+    """A fresh folder under the cluster's shared folder (``spark.checkpoint.dir``).
 
-    The setting is read from the session; only when it is unset (local tests) a folder is
-    created and registered, so written tables and checkpoints never land on a machine-local
-    folder of a cluster.
+    The setting is read from the session. Only a local master may do without it (tests, bench):
+    driver and executors are one process there, so a temporary folder is shared. On any other
+    master a missing setting is an error, because a folder of one machine would lose rows.
     """
     sc = spark.sparkContext
-    base = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    base = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir() or _LOCAL.get(sc.applicationId)
     if not base:
-        base = tempfile.mkdtemp(prefix="lineweave-ckpt-")
-        sc.setCheckpointDir(base)
-        base = sc.getCheckpointDir() or base
-    base = base.rstrip("/")
-    if base.startswith("file:"):
-        os.makedirs(base[len("file:"):], exist_ok=True)
-    return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+        if not sc.master.split("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        base = _LOCAL[sc.applicationId] = "file://" + tempfile.mkdtemp(prefix="lineweave-shared-")
+    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+#: The temporary folder of each local application.
+_LOCAL: dict[str, str] = {}
