@@ -2,10 +2,18 @@
 
 from __future__ import annotations
 
+from lineweave.llm.decontaminate import op6_decontaminate
 from lineweave.llm.near_dedup import op3_near_dedup
+from lineweave.llm.quality import op10_quality
+from lineweave.llm.substring_dedup import op7_substring_dedup
+from lineweave.llm.toxicity import op1_toxicity
 
 QUERIES = {
+    "op1_toxicity": op1_toxicity,
     "op3_near_dedup": op3_near_dedup,
+    "op6_decontaminate": op6_decontaminate,
+    "op7_substring_dedup": op7_substring_dedup,
+    "op10_quality": op10_quality,
 }
 
 SQL: dict[str, str] = {}
