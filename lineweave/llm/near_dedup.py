@@ -8,10 +8,11 @@ space). Documents with equal sets form one *node*, so a group of copies is one r
    merge by maximum, and equal registers become likelier with the Jaccard similarity.
 2. **Bands.** Groups of registers are hashed; nodes that agree on a band meet in a bucket. At
    similarity 0.85 a pair misses all 28 bands of 5 registers with probability 7e-8.
-3. **Pivots.** No bucket is expanded to all its pairs. Some members become pivots, the others are
-   compared with them; then pivots are drawn only from members that lie outside their bucket's
+3. **Pivots.** No bucket is expanded to all its pairs. Four members become pivots and the others are
+   compared with them; later pivots are drawn only from members that lie outside their bucket's
    largest component, until every such member has been one. Two members in different components
-   can't both belong to the largest, so no link between components is left untested.
+   can't both belong to the largest, so no link between components is left untested. Later pivots
+   meet a large bucket's members in parts of bounded size.
 4. **Likelihood.** With exact set sizes, the counts of larger, smaller and equal registers give the
    likelihood of every similarity; a pair is dropped when the threshold is less likely than the best
    value by more than 18 log units (6 standard deviations).
@@ -41,8 +42,9 @@ SHINGLE = 5
 BASE, RATE, TOP = 1.001, 20.0, 65_535
 BANDS, BAND_ROWS = 28, 5
 REGISTERS = BANDS * BAND_ROWS
-#: Members of a bucket that become pivots in one round.
-PIVOTS = 4
+#: Members of a bucket that become pivots in the first round and in each later one, and members that
+#: meet the later pivots in one task.
+PIVOTS, LATER_PIVOTS, PART = 4, 128, 256
 #: Log-likelihood by which the threshold may fall short of the best similarity.
 SLACK = 18.0
 
@@ -104,7 +106,8 @@ def _band_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             continue
         keys = np.arange(1, BANDS + 1, dtype=T.U64) * c[BAND_ROWS] + (regs * c[:BAND_ROWS]).sum(axis=2, dtype=T.U64)
         at = np.repeat(np.arange(len(regs)), BANDS)
-        yield pa.RecordBatch.from_arrays([pa.array(T.signed(T.mix(keys)).ravel()), nodes.take(pa.array(at))], names=["band", "node"])
+        numbers = np.tile(np.arange(BANDS, dtype=np.int32), len(regs))
+        yield pa.RecordBatch.from_arrays([pa.array(T.signed(T.mix(keys)).ravel()), pa.array(numbers), nodes.take(pa.array(at))], names=["band", "band_no", "node"])
 
 
 def log_likelihood(j: np.ndarray, u: np.ndarray, v: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -119,27 +122,33 @@ def log_likelihood(j: np.ndarray, u: np.ndarray, v: np.ndarray, counts: np.ndarr
     return (counts * np.log(np.clip(parts, 1e-12, 1.0))).sum(axis=0)
 
 
+def _not_ruled_out(n: np.ndarray, m: np.ndarray, counts: np.ndarray, threshold: float) -> np.ndarray:
+    """Which pairs of sets with sizes n, m and register counts may reach the threshold."""
+    u, v = n / (n + m), m / (n + m)
+    most = np.minimum(u / v, v / u)
+    best, at_threshold = np.full(len(n), -np.inf), np.full(len(n), -np.inf)
+    for j in (*np.linspace(0.0, 1.0, 51), threshold):
+        here = np.where(j <= most + 1e-9, log_likelihood(np.minimum(j, most), u, v, counts), -np.inf)
+        best = np.maximum(best, here)
+        if j >= threshold:
+            at_threshold = np.maximum(at_threshold, here)
+    return (most >= threshold - 1e-9) & (at_threshold >= best - SLACK)
+
+
+def _sketches(column: pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint16).reshape(-1, REGISTERS)
+
+
 def _plausible(threshold: float):
     """Keeps pairs for which a similarity of ``threshold`` or more is not ruled out."""
-    grid = np.linspace(0.0, 1.0, 101)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            a, b = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint16).reshape(-1, REGISTERS) for i in (4, 5))
-            n, m = (batch.column(i).to_numpy().astype(float) for i in (2, 3))
-            u, v = n / (n + m), m / (n + m)
-            most = np.minimum(u / v, v / u)
-            counts = np.stack([(a > b).sum(axis=1), (a < b).sum(axis=1), (a == b).sum(axis=1)]).astype(float)
-            best, at_threshold = np.full(len(n), -np.inf), np.full(len(n), -np.inf)
-            for j in (*grid, threshold):
-                here = np.where(j <= most + 1e-9, log_likelihood(np.minimum(j, most), u, v, counts), -np.inf)
-                best = np.maximum(best, here)
-                if j >= threshold:
-                    at_threshold = np.maximum(at_threshold, here)
-            keep = (most >= threshold - 1e-9) & (at_threshold >= best - SLACK)
-            yield batch.select([0, 1]).filter(pa.array(keep))
+            if batch.num_rows:
+                a, b = _sketches(batch.column(4)), _sketches(batch.column(5))
+                n, m = (batch.column(i).to_numpy().astype(float) for i in (2, 3))
+                counts = np.stack([(a > b).sum(axis=1), (a < b).sum(axis=1), (a == b).sum(axis=1)]).astype(float)
+                yield batch.select([0, 1]).filter(pa.array(_not_ruled_out(n, m, counts, threshold)))
 
     return run
 
@@ -163,30 +172,83 @@ def _member_sets(wanted: HashFilter):
     return T.map_slices("text", work)
 
 
+def _are_linked(p: np.ndarray, q: np.ndarray, percent: int) -> bool:
+    """100 * intersection >= percent * union for two sorted sets."""
+    shared = int((q[np.minimum(np.searchsorted(q, p), len(q) - 1)] == p).sum())
+    return 100 * shared >= percent * (len(p) + len(q) - shared)
+
+
 def _linked(percent: int):
-    """Pairs whose full sets fulfil 100 * intersection >= percent * union."""
+    """Pairs whose full sets are linked."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = np.zeros(batch.num_rows, bool)
-            for i, (x, y) in enumerate(zip(batch.column(2), batch.column(3))):
-                p, q = (np.frombuffer(s.as_buffer(), np.uint64) for s in (x, y))
-                shared = int((q[np.minimum(np.searchsorted(q, p), len(q) - 1)] == p).sum())
-                keep[i] = 100 * shared >= percent * (len(p) + len(q) - shared)
-            yield batch.select([0, 1]).filter(pa.array(keep))
+            both = zip(batch.column(2), batch.column(3))
+            keep = [_are_linked(np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64), percent) for x, y in both]
+            yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
+
+    return run
+
+
+def _links_of_block(percent: int):
+    """For cogrouped members and pivots of one part of a bucket: a link from every pivot to every
+    other component in which it has one. A pair is looked at in the first band that it shares only."""
+
+    def run(members: pa.Table, pivots: pa.Table) -> pa.Table:
+        out: list[tuple[bytes, bytes]] = []
+        if members.num_rows and pivots.num_rows:
+            (nodes, sets), (p_nodes, p_sets) = ([t.column(c).to_pylist() for c in ("node", "members")] for t in (members, pivots))
+            roots = pa.chunked_array([*members.column("root").chunks, *pivots.column("root").chunks]).combine_chunks().dictionary_encode().indices.to_numpy()
+            roots, p_roots = roots[: len(nodes)], roots[len(nodes) :]
+            a, b = _sketches(pivots.column("sketch")), _sketches(members.column("sketch"))
+            band, first, second, counts = members.column("band_no")[0].as_py(), [], [], []
+            for i, own in enumerate(a):
+                equal = own == b
+                agree = equal.reshape(-1, BANDS, BAND_ROWS).all(axis=2)
+                at = np.flatnonzero((np.argmax(agree, axis=1) == band) & (roots != p_roots[i]))
+                first.append(np.full(len(at), i))
+                second.append(at)
+                counts.append(np.stack([(own > b[at]).sum(axis=1), (own < b[at]).sum(axis=1), equal[at].sum(axis=1)]))
+            first, second, counts = np.concatenate(first), np.concatenate(second), np.concatenate(counts, axis=1).astype(float)
+            n, m = (np.array([len(x) // 8 for x in both], float) for both in (p_sets, sets))
+            likely = np.flatnonzero(_not_ruled_out(n[first], m[second], counts, percent / 100))
+            done: set[tuple[int, int]] = set()
+            for at in likely[np.argsort(-counts[2, likely], kind="stable")]:
+                i, j = first[at], second[at]
+                if (i, roots[j]) not in done and _are_linked(np.frombuffer(p_sets[i], np.uint64), np.frombuffer(sets[j], np.uint64), percent):
+                    done.add((i, roots[j]))
+                    out.append((max(p_nodes[i], nodes[j]), min(p_nodes[i], nodes[j])))
+        return pa.table({"a": pa.array([x for x, _ in out], pa.binary()), "b": pa.array([y for _, y in out], pa.binary())})
 
     return run
 
 
-def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
-    """Links among candidate pairs (a, b): likelihood on sketches, then full sets."""
-    side = lambda s, o: nodes.select(F.col("node").alias(s), F.col("n_shingles").alias(f"n_{s}"), F.col("sketch").alias(f"s_{s}"))
-    rows = pairs.join(side("a", 0), "a").join(side("b", 0), "b").where(f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)")
-    likely = cut(rows.select("a", "b", "n_a", "n_b", "s_a", "s_b").mapInArrow(_plausible(percent / 100), "a binary, b binary"), "near-pairs")
-    ends = likely.select(F.col("a").alias("node")).union(likely.select(F.col("b").alias("node"))).distinct()
-    wanted = HashFilter.of(ends.select(_head("node").alias("h")), "h")
-    sets = docs.select("text").mapInArrow(_member_sets(wanted), "node binary, members binary")
-    sets = sets.join(ends, "node", "left_semi").groupBy("node").agg(F.first("members").alias("members"))
+def _across(open_: DataFrame, pivots: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links between the pivots and the members of other components of their buckets."""
+    whole = open_.join(nodes.select("node", "sketch"), "node").join(sets, "node").withColumn("parts", F.expr(f"int(ceil(n / {PART}))"))
+    columns = ["band", "part", "band_no", "node", "root", "sketch", "members"]
+    members = whole.withColumn("part", F.expr("pmod(hash(node), parts)")).select(*columns)
+    drawn = whole.join(pivots.withColumnRenamed("pivot", "node"), ["band", "node"])
+    drawn = drawn.withColumn("part", F.explode(F.expr("sequence(0, parts - 1)"))).select(*columns).toDF(*columns)
+    found = members.groupBy("band", "part").cogroup(drawn.groupBy("band", "part")).applyInArrow(_links_of_block(percent), "a binary, b binary")
+    return cut(found.distinct(), "near-links")
+
+
+def _likely(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """Candidate pairs (a, b) that sizes and sketches don't rule out."""
+    side = lambda s: nodes.select(F.col("node").alias(s), F.col("n_shingles").alias(f"n_{s}"), F.col("sketch").alias(f"s_{s}"))
+    rows = pairs.join(side("a"), "a").join(side("b"), "b").where(f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)")
+    return cut(rows.select("a", "b", "n_a", "n_b", "s_a", "s_b").mapInArrow(_plausible(percent / 100), "a binary, b binary"), "near-pairs")
+
+
+def _full_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(node, members) of the wanted nodes, from one more pass over the texts."""
+    maybe = HashFilter.of(wanted.select(_head("node").alias("h")), "h")
+    sets = docs.select("text").mapInArrow(_member_sets(maybe), "node binary, members binary")
+    return cut(sets.join(wanted, "node", "left_semi").groupBy("node").agg(F.first("members").alias("members")), "near-sets")
+
+
+def _verified(likely: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     full = likely.join(sets.select(F.col("node").alias("a"), F.col("members").alias("x")), "a")
     full = full.join(sets.select(F.col("node").alias("b"), F.col("members").alias("y")), "b")
     return cut(full.select("a", "b", "x", "y").mapInArrow(_linked(percent), "a binary, b binary"), "near-links")
@@ -197,11 +259,11 @@ def _head(column: str):
     return F.conv(F.hex(F.substring(column, 1, 8)), 16, -10).cast("long")
 
 
-def _salted_first(members: DataFrame, n: int) -> DataFrame:
-    """The first ``n`` nodes of every bucket; a hot bucket is thinned in 64 parts beforehand."""
-    ranked = F.expr(f"row_number() over (partition by band, part order by node) <= {n}")
+def _salted_first(members: DataFrame, most: int) -> DataFrame:
+    """The first ``most`` nodes of every bucket; a hot bucket is thinned in 64 parts beforehand."""
+    ranked = F.expr(f"row_number() over (partition by band, part order by node) <= {most}")
     some = members.withColumn("part", F.pmod(F.hash("node"), F.lit(64))).select("band", "node", "part", ranked.alias("ok")).where("ok")
-    last = F.expr(f"row_number() over (partition by band order by node) <= {n}")
+    last = F.expr(f"row_number() over (partition by band order by node) <= {most}")
     return some.select("band", "node", last.alias("ok")).where("ok").select("band", F.col("node").alias("pivot"))
 
 
@@ -221,30 +283,32 @@ def near_duplicate_components(docs: DataFrame, percent: int = 85) -> DataFrame:
     rows = cut(docs.mapInArrow(T.map_slices("text", _sketch), _SKETCH), "near-sketch")
     # Equal nodes have equal sketches; a class is one row before anything is compared.
     nodes = cut(rows.where("node is not null").groupBy("node").agg(F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch"), F.min("doc_id").alias("low")), "near-nodes")
-    bands = nodes.select("node", "sketch").mapInArrow(_band_rows, "band long, node binary")
+    bands = nodes.select("node", "sketch").mapInArrow(_band_rows, "band long, band_no int, node binary")
     crowded = bands.groupBy("band").agg(F.count("*").alias("n")).where("n > 1")
     members = cut(bands.join(crowded, "band"), "near-buckets")
 
-    links = _verified(_pairs(members, _salted_first(members, PIVOTS)), nodes, docs, percent)
-    all_links, roots = links, cut(connected_components(links), "near-roots")
-    # Buckets that the first pivots have not compared completely.
-    large = members.where(f"n > {PIVOTS + 1}").select("band", "node")
+    likely = _likely(_pairs(members.select("band", "node"), _salted_first(members, PIVOTS)), nodes, percent)
+    # Buckets that the first pivots have not compared completely; their members may be needed later.
+    large = members.where(f"n > {PIVOTS + 1}")
+    ends = likely.select(F.col("a").alias("node")).union(likely.select(F.col("b").alias("node"))).union(large.select("node"))
+    sets = _full_sets(docs, cut(ends.distinct(), "near-wanted"))
+    links = _verified(likely, sets, percent)
+    roots = cut(connected_components(links), "near-roots")
     used = cut(_salted_first(large, PIVOTS), "near-used")
     while True:
-        placed = large.join(roots, "node", "left").select("band", "node", F.coalesce("root", "node").alias("root"))
+        placed = large.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
         sizes = placed.groupBy("band", "root").agg(F.count("*").alias("size"))
-        main = sizes.groupBy("band").agg(F.max_by("root", F.struct("size", "root")).alias("main"), F.count("*").alias("parts")).where("parts > 1").select("band", "main")
+        main = sizes.groupBy("band").agg(F.max(F.struct("size", "root")).alias("main"), F.count("*").alias("roots")).where("roots > 1").select("band", F.col("main.root").alias("main"))
         open_ = cut(placed.join(main, "band"), "near-open")
         minor = open_.where("root <> main").join(used.select("band", F.col("pivot").alias("node")), ["band", "node"], "left_anti")
-        pivots = cut(_salted_first(minor.select("band", "node"), PIVOTS), "near-used")
+        pivots = cut(_salted_first(minor, LATER_PIVOTS), "near-pivots")
         if pivots.isEmpty():
             break
-        across = open_.join(pivots.join(open_.select("band", F.col("node").alias("pivot"), F.col("root").alias("far")), ["band", "pivot"]), "band").where("root <> far")
-        found = _verified(across.select(F.greatest("node", "pivot").alias("a"), F.least("node", "pivot").alias("b")).distinct(), nodes, docs, percent)
+        found = _across(open_, pivots, nodes, sets, percent)
         used = cut(used.union(pivots), "near-used")
         if not found.isEmpty():
-            all_links = all_links.union(found)
-            roots = cut(connected_components(all_links), "near-roots")
+            links = links.union(found)
+            roots = cut(connected_components(links), "near-roots")
 
     placed = nodes.select("node", "low").join(roots, "node", "left").select("node", "low", F.coalesce("root", "node").alias("root"))
     lowest = placed.groupBy("root").agg(F.min("low").alias("component_id"))
