@@ -35,7 +35,8 @@ from pyspark.sql import functions as F
 
 from lineweave.llm import textops as T
 from lineweave.llm.components import connected_components
-from lineweave.llm.tables import HashFilter, cut, prepare, read_table
+from lineweave.llm.tables import HashFilter, cut, fold_id, prepare, read_table
+from lineweave.llm.touched import filtered, fresh_name, key_filter, with_key, without
 
 SHINGLE = 5
 #: Registers: base, rate of the exponential hashes, largest value.
@@ -273,10 +274,11 @@ def _pairs(members: DataFrame, pivots: DataFrame) -> DataFrame:
 
 
 def near_duplicate_components(docs: DataFrame, percent: int = 85) -> DataFrame:
-    """One row per row of ``docs`` (doc_id, text): doc_id, text_hash, n_shingles, component_id, kept.
+    """One row per row of ``docs`` (doc_id, text): doc_id, text_hash, group, n_shingles, component_id, kept.
 
     Rows are linked when 100 * |intersection| >= percent * |union| of their shingle sets;
-    component_id is the smallest doc_id reachable over links, kept is doc_id = component_id.
+    group names the component (null for an empty set), component_id is the smallest doc_id reachable
+    over links, kept is doc_id = component_id.
     """
     prepare(docs.sparkSession)
     docs = _documents(docs)
@@ -312,11 +314,26 @@ def near_duplicate_components(docs: DataFrame, percent: int = 85) -> DataFrame:
 
     placed = nodes.select("node", "low").join(roots, "node", "left").select("node", "low", F.coalesce("root", "node").alias("root"))
     lowest = placed.groupBy("root").agg(F.min("low").alias("component_id"))
-    by_node = cut(placed.join(lowest, "root").select("node", "component_id"), "near-classes")
+    by_node = cut(placed.join(lowest, "root").select("node", "component_id", F.col("root").alias("group")), "near-classes")
     joined = rows.drop("sketch").join(by_node, "node", "left")
     component = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return joined.select("doc_id", "text_hash", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
+    return joined.select("doc_id", "text_hash", "group", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
+
+
+def keep_one_of_each(docs: DataFrame, percent: int = 85) -> DataFrame:
+    """``docs`` with one row of every group of near duplicates: the smallest id (then text hash), once
+    even if the row repeats. Rows without words stay. Same columns."""
+    found = near_duplicate_components(docs, percent).where("group is not null")
+    found = found.select("group", fold_id("doc_id").alias("doc"), "text_hash").withColumn("key", F.xxhash64("doc", "text_hash"))
+    by_key = cut(found.groupBy("group", "doc", "text_hash", "key").agg(F.count("*").alias("n")), "near-keys")
+    best = by_key.groupBy("group").agg(F.min(F.struct("doc", "text_hash", "key", "n")).alias("best"))
+    removed = by_key.join(best, "group").where("key <> best.key").select("key")
+    repeated = cut(best.where("best.n > 1").select("best.key"), "near-repeated")
+    out = without(docs, cut(removed.union(repeated), "near-removed"))
+    key = fresh_name(docs, "_key")
+    again = filtered(with_key(docs, key), key, key_filter(repeated, "key"), True).join(repeated.select(F.col("key").alias(key)), key, "left_semi")
+    return out.unionByName(again.dropDuplicates([key]).drop(key))
 
 
 def op3_near_dedup(spark, sf_dir: str) -> DataFrame:
-    return near_duplicate_components(read_table(spark, sf_dir, "documents")).drop("text_hash")
+    return near_duplicate_components(read_table(spark, sf_dir, "documents")).drop("text_hash", "group")
