@@ -9,10 +9,10 @@ space). Documents with equal sets form one *node*, so a group of copies is one r
 2. **Bands.** Groups of registers are hashed; nodes that agree on a band meet in a bucket. At
    similarity 0.85 a pair misses all 28 bands of 5 registers with probability 7e-8.
 3. **Pivots.** No bucket is expanded to all its pairs. Four members become pivots and the others are
-   compared with them; later pivots are drawn only from members that lie outside their bucket's
-   largest component, until every such member has been one. Two members in different components
-   can't both belong to the largest, so no link between components is left untested. Later pivots
-   meet a large bucket's members in parts of bounded size.
+   compared with them. Then the members that lie outside their bucket's largest component are pivots
+   too, compared with the members of other components in blocks of bounded size. Two members of
+   different components can't both belong to the largest, so no link between components is left
+   untested, while the members of the largest, of whom there may be very many, are never paired.
 4. **Likelihood.** With exact set sizes, the counts of larger, smaller and equal registers give the
    likelihood of every similarity; a pair is dropped when the threshold is less likely than the best
    value by more than 18 log units (6 standard deviations).
@@ -43,9 +43,8 @@ SHINGLE = 5
 BASE, RATE, TOP = 1.001, 20.0, 65_535
 BANDS, BAND_ROWS = 28, 5
 REGISTERS = BANDS * BAND_ROWS
-#: Members of a bucket that become pivots in the first round and in each later one, and members that
-#: meet the later pivots in one task.
-PIVOTS, LATER_PIVOTS, PART = 4, 128, 256
+#: Members of a bucket that become pivots first; later pivots and members that meet in one task.
+PIVOTS, BLOCK, PART = 4, 128, 256
 #: Log-likelihood by which the threshold may fall short of the best similarity.
 SLACK = 18.0
 
@@ -224,15 +223,17 @@ def _links_of_block(percent: int):
     return run
 
 
-def _across(open_: DataFrame, pivots: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links between the pivots and the members of other components of their buckets."""
-    whole = open_.join(nodes.select("node", "sketch"), "node").join(sets, "node").withColumn("parts", F.expr(f"int(ceil(n / {PART}))"))
-    columns = ["band", "part", "band_no", "node", "root", "sketch", "members"]
-    members = whole.withColumn("part", F.expr("pmod(hash(node), parts)")).select(*columns)
-    drawn = whole.join(pivots.withColumnRenamed("pivot", "node"), ["band", "node"])
-    drawn = drawn.withColumn("part", F.explode(F.expr("sequence(0, parts - 1)"))).select(*columns).toDF(*columns)
-    found = members.groupBy("band", "part").cogroup(drawn.groupBy("band", "part")).applyInArrow(_links_of_block(percent), "a binary, b binary")
-    return cut(found.distinct(), "near-links")
+def _across(open_: DataFrame, tested: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links between the members outside the largest component of their bucket and those of other
+    components. ``minors`` bounds the number of the former, so blocks of both have a bounded size."""
+    whole = open_.join(nodes.select("node", "sketch"), "node").join(sets, "node")
+    whole = whole.withColumn("parts", F.expr(f"int(ceil(n / {PART}))")).withColumn("blocks", F.expr(f"int(ceil(minors / {BLOCK}))"))
+    columns = ["band", "part", "block", "band_no", "node", "root", "sketch", "members"]
+    members = whole.withColumn("part", F.expr("pmod(hash(node), parts)")).withColumn("block", F.explode(F.expr("sequence(0, blocks - 1)"))).select(*columns)
+    drawn = whole.where("root <> main").join(tested.withColumnRenamed("pivot", "node"), ["band", "node"], "left_anti")
+    drawn = drawn.withColumn("block", F.expr("pmod(hash(node), blocks)")).withColumn("part", F.explode(F.expr("sequence(0, parts - 1)"))).select(*columns).toDF(*columns)
+    place = ["band", "part", "block"]
+    return cut(members.groupBy(*place).cogroup(drawn.groupBy(*place)).applyInArrow(_links_of_block(percent), "a binary, b binary").distinct(), "near-links")
 
 
 def _likely(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
@@ -296,21 +297,13 @@ def near_duplicate_components(docs: DataFrame, percent: int = 85) -> DataFrame:
     sets = _full_sets(docs, cut(ends.distinct(), "near-wanted"))
     links = _verified(likely, sets, percent)
     roots = cut(connected_components(links), "near-roots")
-    used = cut(_salted_first(large, PIVOTS), "near-used")
-    while True:
-        placed = large.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        sizes = placed.groupBy("band", "root").agg(F.count("*").alias("size"))
-        main = sizes.groupBy("band").agg(F.max(F.struct("size", "root")).alias("main"), F.count("*").alias("roots")).where("roots > 1").select("band", F.col("main.root").alias("main"))
-        open_ = cut(placed.join(main, "band"), "near-open")
-        minor = open_.where("root <> main").join(used.select("band", F.col("pivot").alias("node")), ["band", "node"], "left_anti")
-        pivots = cut(_salted_first(minor, LATER_PIVOTS), "near-pivots")
-        if pivots.isEmpty():
-            break
-        found = _across(open_, pivots, nodes, sets, percent)
-        used = cut(used.union(pivots), "near-used")
-        if not found.isEmpty():
-            links = links.union(found)
-            roots = cut(connected_components(links), "near-roots")
+    placed = large.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    sizes = placed.groupBy("band", "root").agg(F.count("*").alias("size"))
+    main = sizes.groupBy("band").agg(F.max(F.struct("size", "root")).alias("main"), F.count("*").alias("roots")).where("roots > 1")
+    open_ = cut(placed.join(main.select("band", F.col("main.root").alias("main"), F.col("main.size").alias("size")), "band").withColumn("minors", F.col("n") - F.col("size")).drop("size"), "near-open")
+    found = _across(open_, _salted_first(large, PIVOTS), nodes, sets, percent)
+    if not found.isEmpty():
+        roots = cut(connected_components(links.union(found)), "near-roots")
 
     placed = nodes.select("node", "low").join(roots, "node", "left").select("node", "low", F.coalesce("root", "node").alias("root"))
     lowest = placed.groupBy("root").agg(F.min("low").alias("component_id"))
