@@ -24,7 +24,7 @@ import re
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lineweave.llm.tables import read_table
+from lineweave.llm.tables import cut, read_table
 
 #: Base phrases and their labels.
 BASE_PHRASES = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
@@ -103,15 +103,16 @@ def license_spans(docs: DataFrame) -> DataFrame:
 def scan_licenses(docs: DataFrame) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): doc_id, n_words, n_base, first_word, last_word,
     base_labels, labels, score (the best cover of a template; 1 with a base phrase)."""
-    votes = license_spans(docs)
+    # Cut: both branches below read the same votes, and row ids, from one pass over the texts.
+    votes = cut(license_spans(docs), "license-votes")
     line = Window.partitionBy("rid", "template").orderBy("diagonal")
     apart = F.when(F.col("diagonal") - F.lag("diagonal").over(line) <= NEAR, 0).otherwise(1)
     runs = votes.where("not base or base is null").withColumn("new", apart).withColumn("run", F.sum("new").over(line))
     runs = runs.groupBy("rid", "doc_id", "n_words", "template", "label", "n_grams", "run").agg(
-        F.least(F.lit(1.0), F.sum("votes") / F.first("n_grams")).alias("cover"), (F.max("last_place") - F.min("first_place") + 1).alias("width")
+        F.when(F.sum("votes") > 0, F.least(F.lit(1.0), F.sum("votes") / F.first("n_grams"))).otherwise(0.0).alias("cover"), (F.max("last_place") - F.min("first_place") + 1).alias("width")
     )
     accepted = (F.col("cover") >= LEAST_COVER) & (F.col("width") <= LONGEST * (F.col("n_grams") + 2))
-    runs = runs.select("rid", "doc_id", "n_words", F.lit(None).cast("string").alias("base_label"), F.when(accepted, F.col("label")).alias("label"), F.coalesce("cover", F.lit(0.0)).alias("cover"), F.lit(None).cast("long").alias("start"))
+    runs = runs.select("rid", "doc_id", "n_words", F.lit(None).cast("string").alias("base_label"), F.when(accepted, F.col("label")).alias("label"), "cover", F.lit(None).cast("long").alias("start"))
     base = votes.where("base and votes = n_grams").select("rid", "doc_id", "n_words", F.col("label").alias("base_label"), "label", F.lit(1.0).alias("cover"), F.col("diagonal").cast("long").alias("start"))
     names = lambda c: F.array_join(F.array_sort(F.collect_set(c)), ",")
     return (

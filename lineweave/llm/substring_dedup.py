@@ -2,8 +2,8 @@
 
 1. **Chunks.** A gear hash rolls over the words of a text (``h = 2h + gear[word]``); a chunk ends
    where the bits that depend on the last four words are zero, after four words on average. Cuts
-   depend on nearby words alone, so an insertion shifts no later cut. A stretch without a cut is cut
-   every 32 words.
+   depend on nearby words alone, so an insertion shifts no later cut. A stretch without a cut (one word
+   over and over, say) is cut every 32 words, counted from its beginning.
 2. **Spans.** From every cut, as many chunks (two at least) as give 12 words form a span; its digest
    covers exactly those words. Digests are grouped with partial sums before the shuffle; a digest of
    two or more documents is owned by the one with the smallest id.
