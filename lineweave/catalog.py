@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from lineweave import fixtures as fx
 from lineweave.functions.names import canonicalize
 from lineweave.operators import (
+    attach_coordinate_variants,
     attach_coordinates,
     bridge_missing_coordinates,
     carry_forward_route,
@@ -21,6 +22,7 @@ from lineweave.operators import (
     collect_trip_stations,
     dedupe_coordinates,
     dedupe_hop_stations,
+    exact_trip_distance,
     expand_hop_stations,
     explode_hops,
     first_station_per_line,
@@ -31,7 +33,6 @@ from lineweave.operators import (
     segment_distance,
     transfer_stations,
     trip_distance,
-    trip_distance_exact,
     trip_identity,
 )
 from lineweave.plans import build_line_net, hop_legs, prepare_dims, unresolved_hops
@@ -101,7 +102,7 @@ def q_canonical_names(spark, d):
 
 
 def q_explode_hops(spark, d):
-    t = prepare_trips(trip_scan(fx.grid_trips(spark, d)), fx.GRID_KEY)
+    t = prepare_trips(trip_scan(fx.grid_trips(spark, d, spaced=True)), fx.GRID_KEY)
     return explode_hops(t).select("trip_id", "hop", "route_raw", "station", "code")
 
 
@@ -164,7 +165,8 @@ def q_trip_distance(spark, d):
 
 
 def q_trip_distance_exact(spark, d):
-    return trip_distance_exact(_leg_stations(spark, d, gap=17))
+    _, legs = _legs(spark, d, gap=17)
+    return exact_trip_distance(legs)
 
 
 def q_collect_trip_stations(spark, d):
@@ -212,6 +214,32 @@ def q_dedupe_coordinates(spark, d):
     return dedupe_coordinates(location_scan(fx.customer_locations(spark, d, duplicates=True)))
 
 
+def q_line_net_from_payload(spark, d):
+    stations = line_stations_from_payload(fx.grid_payload(spark, d))
+    return build_line_net(fx.grid_trips(spark, d), stations, fx.grid_locations(spark, d), key_cols=fx.GRID_KEY)
+
+
+def q_line_net_from_pages(spark, d):
+    stations = line_stations_from_pages(
+        fx.grid_pages(spark, d), block_pattern=fx.GRID_BLOCK_PATTERN, line_pattern=fx.GRID_LINE_PATTERN
+    )
+    return build_line_net(fx.grid_trips(spark, d), stations, fx.grid_locations(spark, d), key_cols=fx.GRID_KEY)
+
+
+def q_trip_identity_duplicates(spark, d):
+    """Trips and distinct ids per plan text, for plans without a key and with equal rows."""
+    ids = trip_identity(trip_scan(fx.plain_plans(spark, d)))
+    return ids.groupBy("stage_name", "lines_result").agg(
+        F.count("*").alias("n_trips"), F.countDistinct("trip_id").alias("n_ids")
+    )
+
+
+def q_coordinate_variants(spark, d):
+    locs = location_scan(fx.customer_locations(spark, d, duplicates=True))
+    stations = locs.select(F.col("route_name").alias("route"), F.col("station_name").alias("station")).distinct()
+    return attach_coordinate_variants(stations, locs)
+
+
 QUERIES: dict[str, Query] = {
     "trip_scan": q_trip_scan,
     "location_scan": q_location_scan,
@@ -240,4 +268,8 @@ QUERIES: dict[str, Query] = {
     "first_station_per_line": q_first_station_per_line,
     "dedupe_lineitem_keys": q_dedupe_lineitem_keys,
     "dedupe_coordinates": q_dedupe_coordinates,
+    "line_net_from_payload": q_line_net_from_payload,
+    "line_net_from_pages": q_line_net_from_pages,
+    "trip_identity_duplicates": q_trip_identity_duplicates,
+    "coordinate_variants": q_coordinate_variants,
 }

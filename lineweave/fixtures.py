@@ -71,13 +71,15 @@ def _hop_json(line: Column | None, station: Column, code: Column) -> Column:
     return F.concat(*parts)
 
 
-def grid_trips(spark: SparkSession, sf_dir: str, null_status: str | None = None, broken: bool = False) -> DataFrame:
+def grid_trips(spark: SparkSession, sf_dir: str, null_status: str | None = None, broken: bool = False,
+               spaced: bool = False) -> DataFrame:
     """Trip plans, one per order (``trip_key`` = order key as text).
 
     ``null_status``: orders with this status get a null plan. ``broken``: some orders get
     unresolvable plans, chosen by ``o_orderkey % 50``: 7 first hop without line, 13 unknown
     line, 19 second station not on the grid, 23 second hop without station, 29 and 31 text that
-    is not a JSON array, 37 an empty array.
+    is not a JSON array, 37 an empty array. ``spaced``: every third plan text begins with JSON white
+    space (line feed, tab, return, blank).
     """
     o = _table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
     ok, ck = F.col("o_orderkey"), F.col("o_custkey")
@@ -106,6 +108,8 @@ def grid_trips(spark: SparkSession, sf_dir: str, null_status: str | None = None,
             .when(m == 37, F.lit("[]"))
             .otherwise(plan)
         )
+    if spaced:
+        plan = F.when(ok % 3 == 0, F.concat(F.lit("\n\t\r "), plan)).otherwise(plan)
     if null_status is not None:
         plan = F.when(F.col("o_orderstatus") != F.lit(null_status), plan)
     return o.select(
@@ -130,7 +134,8 @@ GRID_KEY = ["trip_key"]
 def customer_locations(spark: SparkSession, sf_dir: str, duplicates: bool = False) -> DataFrame:
     """Raw coordinate rows (text) from ``customer``: route N<nation>, station = customer name.
 
-    Longitude text is unparsable for HOUSEHOLD customers, latitude is missing for MACHINERY.
+    Longitude text is unparsable for HOUSEHOLD customers, latitude is missing for MACHINERY; every
+    fifth longitude reads NaN, every eleventh latitude Infinity.
     ``duplicates``: every third customer gets a second, shifted coordinate (and every
     seventh a third, unlocated one).
     """
@@ -143,8 +148,11 @@ def customer_locations(spark: SparkSession, sf_dir: str, duplicates: bool = Fals
             F.concat(F.lit("N"), F.col("c_nationkey").cast("string")).alias("route_name"),
             F.col("c_name").alias("station_name"),
             F.when(F.col("c_mktsegment") == "HOUSEHOLD", F.concat(F.lit("E"), lng_col.cast("string")))
+            .when(F.col("c_custkey") % 5 == 0, F.lit("NaN"))
             .otherwise(lng_col.cast("string")).alias("longitude"),
-            F.when(F.col("c_mktsegment") != "MACHINERY", lat_col.cast("string")).alias("latitude"),
+            F.when(F.col("c_mktsegment") != "MACHINERY",
+                   F.when(F.col("c_custkey") % 11 == 0, F.lit("Infinity")).otherwise(lat_col.cast("string")))
+            .alias("latitude"),
             F.col("c_custkey"),
         )
 
@@ -172,6 +180,47 @@ def pages_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p.select(F.concat(F.lit("cb"), pid, F.lit("("), body, F.lit(");")).alias("value"))
 
 
+#: Lines that one payload or page of the grid network holds.
+LINES_PER_FILE = 10
+
+
+def _grid_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """file, route, stops: the grid's lines with their stations in order (at most GRID per line)."""
+    ls = grid_line_stations(spark, sf_dir)
+    lines = ls.groupBy("route").agg(F.sort_array(F.collect_list(F.struct("num", "station", "station_id"))).alias("stops"))
+    number = F.expr("substr(route, 2)").cast("int")
+    return lines.select((number % F.lit(2 * GRID // LINES_PER_FILE)).alias("file"), "route", "stops")
+
+
+def grid_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The grid network as JSONP texts with several lines each (at most 2 * GRID lines in all)."""
+    stage = lambda x: F.struct(x["station_id"].alias("stageId"), x["station"].alias("stageName"))
+    line = F.struct(F.col("route").alias("lineName"), F.transform("stops", stage).alias("stages"))
+    files = _grid_lines(spark, sf_dir).groupBy("file").agg(F.collect_list(line).alias("lines"))
+    return files.select(F.concat(F.lit("net("), F.to_json(F.struct("lines")), F.lit(");\n")).alias("value"))
+
+
+#: Patterns of the grid network's pages: one block of markup per line.
+GRID_BLOCK_PATTERN = r"<section>([\s\S]*?)</section>"
+GRID_LINE_PATTERN = r"<h2>([^<]*)</h2>"
+
+
+def grid_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The grid network as HTML pages with a block per line."""
+    item = lambda x: F.concat(F.lit('<li><a href="#">'), x["station"], F.lit("</a></li>"))
+    block = F.concat(F.lit("<section><h2> "), "route", F.lit("\n</h2><ul>"), F.array_join(F.transform("stops", item), "\n"), F.lit("</ul></section>"))
+    files = _grid_lines(spark, sf_dir).groupBy("file").agg(F.array_join(F.collect_list(block), "\n").alias("body"))
+    return files.select(F.concat(F.lit("<html><title>net</title>"), "body", F.lit("</html>")).alias("html"))
+
+
+def plain_plans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Plans without any key, three attributes for all of them and every other row doubled: many rows
+    are equal, each is a trip of its own."""
+    trips = grid_trips(spark, sf_dir).filter(F.col("trip_key").cast("long") % 50 < 25)
+    keep = trips.select("line_name", "stage_id", "stage_name", "lines_result", (F.col("trip_key").cast("long") % 2).alias("m"))
+    return keep.unionByName(keep.filter("m = 0")).drop("m")
+
+
 # Names the alias rules rewrite (used to build test names).
 ALIAS_SOURCES = ["机场北（2号航站楼）", "十四号线", "虫雷 岗", "清㘵", "APM", "三北线"]
 

@@ -7,9 +7,22 @@ Tables ``nation orders customer part pages`` are the driver's views.
 
 from __future__ import annotations
 
-from lineweave.fixtures import ALIAS_SOURCES, GRID
-from lineweave.functions.names import ALIAS_RULES, LINE_CHAR, SECTION_CHAR
-from lineweave.sources.pages import LINK_PATTERN, TITLE_PATTERN
+# Fixed values of the expected results, written out here so that a wrong value in the code under
+# test can't pass its own oracle.
+GRID = 25
+ALIAS_SOURCES = ["机场北（2号航站楼）", "十四号线", "虫雷 岗", "清㘵", "APM", "三北线"]
+ALIAS_RULES = [
+    ("equals", "机场北（2号航站楼）", "机场北"),
+    ("contains", "机场南（1号航站楼）", "机场南"),
+    ("equals", "十四号线", "知识城线"),
+    ("equals", "虫雷 岗", "虫雷岗"),
+    ("equals", "清㘵", "清土布"),
+    ("equals", "APM", "APM线"),
+    ("equals", "三北线", "三号线北延线"),
+]
+SECTION_CHAR, LINE_CHAR = "段", "线"
+TITLE_PATTERN = "<title>([^<]*)</title>"
+LINK_PATTERN = "<li><a[^>]*>([^<]*)</a></li>"
 
 
 def _lit(s: str) -> str:
@@ -261,8 +274,8 @@ def customer_locations_ctes(duplicates: bool = False) -> str:
     def rows(lng_e, lat_e, where=""):
         return (
             f"SELECT 'N' || c_nationkey AS route_name, c_name AS station_name, "
-            f"CASE WHEN c_mktsegment = 'HOUSEHOLD' THEN NULL ELSE {lng_e} END AS longitude, "
-            f"CASE WHEN c_mktsegment <> 'MACHINERY' THEN {lat_e} END AS latitude FROM customer {where}"
+            f"CASE WHEN c_mktsegment = 'HOUSEHOLD' OR c_custkey % 5 = 0 THEN NULL ELSE {lng_e} END AS longitude, "
+            f"CASE WHEN c_mktsegment <> 'MACHINERY' AND c_custkey % 11 <> 0 THEN {lat_e} END AS latitude FROM customer {where}"
         )
 
     body = rows(lng, lat)
@@ -379,4 +392,15 @@ lp AS (
   FROM cl WHERE longitude IS NOT NULL AND latitude IS NOT NULL)
 SELECT g.route_name, g.station_name, lp.longitude, lp.latitude
 FROM g LEFT JOIN lp ON lp.route_name = g.route_name AND lp.station_name = g.station_name AND lp.rn = 1"""
+    q["line_net_from_payload"] = q["line_net_from_pages"] = q["line_net_result"]
+    q["trip_identity_duplicates"] = with_grid(
+        f"""SELECT stage_name, {trip_json_sql()} AS lines_result,
+  CAST(sum(CASE WHEN o_orderkey % 2 = 0 THEN 2 ELSE 1 END) AS BIGINT) AS n_trips,
+  CAST(sum(CASE WHEN o_orderkey % 2 = 0 THEN 2 ELSE 1 END) AS BIGINT) AS n_ids
+FROM trips WHERE o_orderkey % 50 < 25 GROUP BY ALL""",
+        legs=False,
+    )
+    q["coordinate_variants"] = f"""WITH {customer_locations_ctes(True)},
+s AS (SELECT DISTINCT route_name AS route, station_name AS station FROM cl)
+SELECT DISTINCT s.route, s.station, cl.longitude, cl.latitude FROM s LEFT JOIN cl ON cl.station_name = s.station"""
     return q

@@ -25,19 +25,19 @@ def radians(d: Column | str) -> Column:
     return _col(d) * F.lit(math.pi) / F.lit(180.0)
 
 
+def _hav(from_deg, to_deg) -> Column:
+    """Haversine of the angle between two bearings given in degrees: sin squared of its half."""
+    return F.pow(F.sin((radians(from_deg) - radians(to_deg)) / F.lit(2.0)), F.lit(2.0))
+
+
+def _round_half_up(km: Column) -> Column:
+    return F.floor(km * F.lit(ROUND_SCALE) + F.lit(0.5)) / F.lit(ROUND_SCALE)
+
+
 def distance_km(lng1, lat1, lng2, lat2) -> Column:
-    rad_lat1 = radians(lat1)
-    rad_lat2 = radians(lat2)
-    a = rad_lat1 - rad_lat2
-    b = radians(lng1) - radians(lng2)
-    s = F.lit(2.0) * F.asin(
-        F.sqrt(
-            F.pow(F.sin(a / F.lit(2.0)), F.lit(2.0))
-            + F.cos(rad_lat1) * F.cos(rad_lat2) * F.pow(F.sin(b / F.lit(2.0)), F.lit(2.0))
-        )
-    )
-    s = s * F.lit(EARTH_RADIUS_KM)
-    return F.floor(s * F.lit(ROUND_SCALE) + F.lit(0.5)) / F.lit(ROUND_SCALE)
+    shrink = F.cos(radians(lat1)) * F.cos(radians(lat2))
+    central_angle = F.lit(2.0) * F.asin(F.sqrt(_hav(lat1, lat2) + shrink * _hav(lng1, lng2)))
+    return _round_half_up(central_angle * F.lit(EARTH_RADIUS_KM))
 
 
 def distance_m(lng1, lat1, lng2, lat2) -> Column:

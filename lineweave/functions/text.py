@@ -15,5 +15,5 @@ def strip_jsonp(c: Column) -> Column:
 
 
 def is_json_array(c: Column) -> Column:
-    """True when the text (after leading whitespace) opens a JSON array."""
-    return F.ltrim(c).startswith("[")
+    """True when the text (after JSON white space: blank, tab, line feed, return) opens an array."""
+    return F.ltrim(c, F.lit(" \t\n\r")).startswith("[")

@@ -3,8 +3,8 @@
 from lineweave.operators.collect import collect_trip_stations
 from lineweave.operators.dedupe import keep_first
 from lineweave.operators.dims import (
+    attach_coordinate_variants,
     attach_coordinates,
-    broadcast_if_small,
     clean_line_stations,
     clean_locations,
     dedupe_coordinates,
@@ -13,6 +13,7 @@ from lineweave.operators.dims import (
 )
 from lineweave.operators.distance import (
     bridge_missing_coordinates,
+    exact_trip_distance,
     leg_distance,
     segment_distance,
     trip_distance,
@@ -36,15 +37,16 @@ from lineweave.operators.legs import (
 )
 
 __all__ = [
+    "attach_coordinate_variants",
     "attach_coordinates",
     "bridge_missing_coordinates",
-    "broadcast_if_small",
     "carry_forward_route",
     "clean_line_stations",
     "clean_locations",
     "collect_trip_stations",
     "dedupe_coordinates",
     "dedupe_hop_stations",
+    "exact_trip_distance",
     "expand_hop_stations",
     "explode_hops",
     "first_station_per_line",

@@ -2,8 +2,10 @@
 
 The dimensions do not grow with the trips (a network has hundreds to thousands of stations),
 so the trip side never shuffles on a line or station key; a line used by a third of all trips
-is just a hot entry in a broadcast hash table. Broadcasting is guarded by a row-count check;
-beyond the bound the plain join is left to adaptive execution (skew-join splitting).
+is just a hot entry in a broadcast hash table. Dimensions are written to the shared folder once and
+read back, so the planner knows their size in bytes: it broadcasts them below its own threshold
+(``spark.sql.autoBroadcastJoinThreshold``) and leaves larger ones to adaptive execution (skew-join
+splitting). No hint forces a broadcast.
 """
 
 from __future__ import annotations
@@ -13,25 +15,22 @@ from pyspark.sql import functions as F
 
 from lineweave.functions.geo import point, point_distance_m
 from lineweave.functions.names import canonicalize
+from lineweave.session import shared_dir
 
-DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
-MAX_BROADCAST_CONF = "lineweave.broadcast.maxRows"
 
+def materialized(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written as Parquet under the shared folder and read back: computed once, safe from
+    lost executors, and of known size for the planner."""
+    path = shared_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
-def max_broadcast_rows_of(spark, max_rows: int | None = None) -> int:
-    if max_rows is not None:
-        return max_rows
-    return int(spark.conf.get(MAX_BROADCAST_CONF, str(DEFAULT_MAX_BROADCAST_ROWS)))
 
-
-def broadcast_if_small(df: DataFrame, max_rows: int | None = None, known_rows: int | None = None) -> DataFrame:
-    """``broadcast(df)`` when it has at most ``max_rows`` rows, else ``df`` unchanged.
-
-    The check reads at most ``max_rows + 1`` rows of the dimension (or uses ``known_rows``).
-    """
-    max_rows = max_broadcast_rows_of(df.sparkSession, max_rows)
-    n = known_rows if known_rows is not None else df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+def shuffled_beyond(df: DataFrame, max_rows: int | None) -> DataFrame:
+    """``df``, marked for a shuffle join if it has more than ``max_rows`` rows (None: never)."""
+    if max_rows is None or df.count() <= max_rows:
+        return df
+    return df.hint("shuffle_merge")
 
 
 def clean_line_stations(line_stations: DataFrame, extra_aliases=None) -> DataFrame:
@@ -79,8 +78,9 @@ def attach_coordinates(
     """Left-join coordinates: exact (route, station) first, else the smallest for the name.
 
     Adds ``longitude``, ``latitude`` (null when the station has no located coordinate).
-    ``size_check``: broadcast the coordinate tables after a row-count check (use it when ``df``
-    is large); without it the optimizer picks the join (dimension-to-dimension joins).
+    ``size_check``: materialise the two coordinate tables first, so that their real size decides
+    between broadcast and shuffle (use it when ``df`` is large); without it the optimizer estimates
+    (dimension-to-dimension joins).
     """
     located = dedupe_coordinates(locations).filter(F.col("longitude").isNotNull())
     exact = located.select(
@@ -91,8 +91,8 @@ def attach_coordinates(
         F.min(F.struct(F.col("longitude").alias("lng"), F.col("latitude").alias("lat"))).alias("_pn")
     ).withColumnRenamed("station_name", "_ln")
     if size_check:
-        exact = broadcast_if_small(exact, max_broadcast_rows)
-        by_name = broadcast_if_small(by_name, max_broadcast_rows)
+        exact = shuffled_beyond(materialized(exact, "coordinates"), max_broadcast_rows)
+        by_name = shuffled_beyond(materialized(by_name, "coordinates-by-name"), max_broadcast_rows)
     out = df.join(exact, (F.col(route_col) == F.col("_lr")) & (F.col(station_col) == F.col("_ls")), "left")
     out = out.join(by_name, F.col(station_col) == F.col("_ln"), "left")
     pt = F.coalesce(F.col("_pe"), F.col("_pn"))
@@ -101,6 +101,13 @@ def attach_coordinates(
     )
 
 
+def attach_coordinate_variants(df: DataFrame, locations: DataFrame, station_col: str = "station") -> DataFrame:
+    """Left-join coordinates by station name only, whatever the line: a name with several distinct
+    coordinates gives a row for each; rows equal in every column are kept once."""
+    variants = locations.select(F.col("station_name").alias("_ln"), "longitude", "latitude").distinct()
+    return df.join(variants, F.col(station_col) == F.col("_ln"), "left").drop("_ln").distinct()
+
+
 def line_profile(line_index: DataFrame, locations: DataFrame) -> DataFrame:
     """Per (route, num): station, coordinates and prefix sums for O(1) leg distances.
 
@@ -112,10 +119,12 @@ def line_profile(line_index: DataFrame, locations: DataFrame) -> DataFrame:
     * ``next_cum_m``: ``cum_m`` at the first located station at or after this one.
 
     With gaps bridged inside a leg, the leg lo..hi measures ``max(0, cum_m[hi] - next_cum_m[lo])``.
-    Windows here run over the small dimension only.
+    Windows here run over the small dimension only, all with running frames (what lies ahead is the
+    last value seen in reverse order), so the cost is linear in a line's stations. Stations that share
+    a position are ordered by name.
     """
     prof = attach_coordinates(line_index, locations, size_check=False)
-    w = Window.partitionBy("route").orderBy("num")
+    w = Window.partitionBy("route").orderBy("num", "station")
     before = w.rowsBetween(Window.unboundedPreceding, -1)
     prof = prof.withColumn("pt", point("longitude", "latitude"))
     prof = prof.withColumns(
@@ -141,17 +150,18 @@ def line_profile(line_index: DataFrame, locations: DataFrame) -> DataFrame:
             "_next_num": F.lead("num").over(w),
         }
     )
-    ahead = w.rowsBetween(0, Window.unboundedFollowing)
-    after = w.rowsBetween(1, Window.unboundedFollowing)
+    back = Window.partitionBy("route").orderBy(F.desc("num"), F.desc("station"))
+    ahead = back.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    after = back.rowsBetween(Window.unboundedPreceding, -1)
     located = F.struct("num", "idx", "pt", "cum_m")
     prof = prof.withColumns(
         {
-            "next_cum_m": F.first(F.when(F.col("pt").isNotNull(), F.col("cum_m")), ignorenulls=True).over(ahead),
+            "next_cum_m": F.last(F.when(F.col("pt").isNotNull(), F.col("cum_m")), ignorenulls=True).over(ahead),
             # first located station at / strictly after this one
-            "next_loc": F.first(F.when(F.col("pt").isNotNull(), located), ignorenulls=True).over(ahead),
-            "next_loc_after": F.first(F.when(F.col("pt").isNotNull(), located), ignorenulls=True).over(after),
+            "next_loc": F.last(F.when(F.col("pt").isNotNull(), located), ignorenulls=True).over(ahead),
+            "next_loc_after": F.last(F.when(F.col("pt").isNotNull(), located), ignorenulls=True).over(after),
             # first pair of consecutive listed stations, both located, starting here or later
-            "pair": F.first(
+            "pair": F.last(
                 F.when(F.col("pt").isNotNull() & F.col("_next_pt").isNotNull(),
                        F.struct("num", "cum_m", F.col("_next_num").alias("end_num"))),
                 ignorenulls=True,

@@ -80,10 +80,16 @@ def with_exact_distance(stations: DataFrame) -> DataFrame:
 
 
 def trip_distance_exact(stations: DataFrame) -> DataFrame:
-    """One row per trip: (trip_id, distance) by the exact sequential rule."""
+    """One row per trip: (trip_id, distance) by the exact sequential rule, walked over station rows
+    (the reference form; :func:`exact_trip_distance` needs none)."""
     return with_exact_distance(stations).groupBy("trip_id").agg(F.first("distance").alias("distance"))
 
 
+def exact_trip_distance(legs: DataFrame) -> DataFrame:
+    """One row per trip: (trip_id, distance) by the exact sequential rule, from the legs alone."""
+    return with_exact_leg_distance(legs).groupBy("trip_id").agg(F.first("distance").alias("distance"))
+
+
 def with_exact_leg_distance(legs: DataFrame) -> DataFrame:
     """``distance`` on every leg row by the exact sequential rule, without station rows.
 

@@ -25,15 +25,28 @@ def identity_hash(cols: Sequence[str]):
 def trip_identity(df: DataFrame, key_cols: Sequence[str] | None = None, out: str = "trip_id") -> DataFrame:
     """Deterministic trip id, shared by every hop of the plan row.
 
-    ``key_cols``: a natural key (unique per trip). Default: all plan columns plus ``trip_pos``
-    (file + row index, see :func:`lineweave.sources.read_trips`) when present, so identical
-    plans in different rows stay different trips without any shuffle or numbering window.
+    ``key_cols``: a natural key, unique per trip (the job sets rows that share one aside, see
+    :func:`mark_shared_ids`). Without it, ``trip_pos`` (file + row
+    index, see :func:`lineweave.sources.read_trips`) joins the plan columns when present, which
+    needs no shuffle; otherwise identical rows are counted (with partial sums, so a plan that fills a
+    third of the rows is no single task) and numbered, one trip per row.
     """
-    if key_cols is None:
-        key_cols = [n for n, _ in TRIP_COLUMNS if n in df.columns]
-        if "trip_pos" in df.columns:
-            key_cols.append("trip_pos")
-    return df.withColumn(out, identity_hash(key_cols))
+    if key_cols is not None:
+        return df.withColumn(out, identity_hash(key_cols))
+    plan = [n for n, _ in TRIP_COLUMNS if n in df.columns]
+    if "trip_pos" in df.columns:
+        return df.withColumn(out, identity_hash([*plan, "trip_pos"]))
+    copies = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_copies"))
+    numbered = copies.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int"))))
+    return numbered.withColumn(out, identity_hash([*plan, "_copy"])).drop("_copies", "_copy")
+
+
+def mark_shared_ids(trips: DataFrame) -> DataFrame:
+    """Adds ``_shared``: the row's ``trip_id`` belongs to several rows (the given key isn't unique).
+
+    For trips partitioned by the id: a count inside the partition, no further shuffle.
+    """
+    return trips.withColumn("_shared", F.count(F.lit(1)).over(Window.partitionBy("trip_id")) > 1)
 
 
 def prepare_trips(trips: DataFrame, key_cols=None, extra_aliases=None) -> DataFrame:
@@ -50,10 +63,15 @@ def explode_hops(trips: DataFrame, keep_empty: bool = False, extra_aliases=None)
     null when absent or JSON null), ``station`` (cleaned), ``code`` (as text).
 
     Text that is not a JSON array, or does not parse, yields no hops (see ``unresolved_hops``).
-    ``keep_empty``: a trip without a usable plan keeps one row with hop 0 and null hop fields.
+    ``keep_empty``: a trip whose plan is null keeps one row with hop 0 and null hop fields; ``[]``
+    and unusable text give no row either way.
     """
-    plan = F.when(is_json_array(F.col("lines_result")), F.from_json(F.col("lines_result"), HOP_SCHEMA))
-    gen = F.posexplode_outer(plan) if keep_empty else F.posexplode(plan)
+    text = F.col("lines_result")
+    plan = F.when(is_json_array(text), F.from_json(text, HOP_SCHEMA))
+    if keep_empty:
+        none = F.lit(None).cast(HOP_SCHEMA.elementType)
+        plan = F.when(text.isNull(), F.array(none)).otherwise(plan)
+    gen = F.posexplode(plan)
     keep = [c for c in trips.columns if c != "lines_result"]
     exploded = trips.select(*keep, gen.alias("hop", "h"))
     hops = exploded.select(
@@ -79,12 +97,8 @@ def carry_forward_route(hops: DataFrame) -> DataFrame:
 def dedupe_hop_stations(hops: DataFrame) -> DataFrame:
     """Drop a hop whose (route, station) already occurred earlier in the same trip.
 
-    The earliest hop survives as a whole, so its leg stays complete. The check runs over the
-    trip's earlier hops in the same (trip, hop) window order as the carry-forward and the
-    lead, so the hop rows are sorted once; a trip's hops come from one plan row, so the
-    running list is bounded by that row.
+    The earliest hop survives as a whole, so its leg stays complete: a minimum over the trip's
+    rows of the same (route, station), inside the trip's partition and without any list.
     """
-    earlier = trip_window().rowsBetween(Window.unboundedPreceding, -1)
-    key = F.struct("route", "station")
-    seen = F.coalesce(F.array_contains(F.collect_list(key).over(earlier), key), F.lit(False))
-    return hops.withColumn("_seen", seen).filter(~F.col("_seen")).drop("_seen")
+    first = F.min("hop").over(Window.partitionBy("trip_id", "route", "station"))
+    return hops.withColumn("_first", first).filter(F.col("hop") == F.col("_first")).drop("_first")

@@ -8,6 +8,7 @@ from lineweave.plans.linenet import (
     prepare_dims,
     project_result,
     unresolved_hops,
+    write_line_net,
 )
 
 __all__ = [
@@ -18,4 +19,5 @@ __all__ = [
     "prepare_dims",
     "project_result",
     "unresolved_hops",
+    "write_line_net",
 ]

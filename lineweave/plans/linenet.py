@@ -16,11 +16,12 @@ from pyspark.sql import functions as F
 
 from lineweave.functions.text import is_json_array
 from lineweave.operators.dims import (
-    broadcast_if_small,
     clean_line_stations,
     clean_locations,
     first_station_per_line,
     line_profile,
+    materialized,
+    shuffled_beyond,
 )
 from lineweave.operators.distance import leg_distance, with_exact_leg_distance, with_trip_distance
 from lineweave.operators.hops import (
@@ -28,10 +29,11 @@ from lineweave.operators.hops import (
     clean_trip_names,
     dedupe_hop_stations,
     explode_hops,
+    mark_shared_ids,
     trip_identity,
 )
 from lineweave.operators.legs import leg_destinations, leg_stations, resolved_legs
-from lineweave.schemas import HOP_SCHEMA, RESULT_COLUMNS
+from lineweave.schemas import HOP_SCHEMA
 from lineweave.sources.locations import location_scan
 from lineweave.sources.trips import trip_scan
 
@@ -47,13 +49,12 @@ class LineNetDims:
 
 def prepare_dims(line_stations: DataFrame, locations: DataFrame, extra_aliases=None,
                  max_broadcast_rows: int | None = None) -> LineNetDims:
-    """Clean, de-duplicate and profile the (small) dimensions; broadcast after a size check."""
+    """Clean, de-duplicate and profile the (small) dimensions, written once to the shared folder;
+    the planner broadcasts them if their size allows it (``max_broadcast_rows`` forbids it beyond)."""
     idx = first_station_per_line(clean_line_stations(line_stations, extra_aliases))
     locs = clean_locations(location_scan(locations), extra_aliases)
-    # The profile is small and read by three joins: keep it (it is recomputed from its small
-    # inputs if an executor holding it is lost) and count it once for the broadcast check.
-    prof = line_profile(idx, locs).persist()
-    n = prof.count()
+    # The profile is read by three joins.
+    prof = shuffled_beyond(materialized(line_profile(idx, locs), "line-profile"), max_broadcast_rows)
     index = prof.select(
         "route", "station", "num", "cum_m", "next_cum_m",
         "idx", "pt", "prev_loc_num", "prev_loc_pt", "next_loc", "next_loc_after", "pair",
@@ -62,21 +63,18 @@ def prepare_dims(line_stations: DataFrame, locations: DataFrame, extra_aliases=N
         "route", "num", "station", "longitude", "latitude", "pt", "prev_pt", "prev_loc_num", "seg_m"
     )
     routes = prof.select("route").distinct()
-    return LineNetDims(
-        broadcast_if_small(index, max_broadcast_rows, known_rows=n),
-        broadcast_if_small(profile, max_broadcast_rows, known_rows=n),
-        broadcast_if_small(routes, max_broadcast_rows, known_rows=n),
-    )
+    return LineNetDims(index, profile, materialized(routes, "line-routes"))
 
 
 def partitioned_trips(trips: DataFrame, key_cols=None, extra_aliases=None) -> DataFrame:
     """Plan rows with ``trip_id``, hash-partitioned on it, names cleaned.
 
     The one shuffle of the job: trips are still one row each and ``trip_id`` is unique, so
-    partitions are even whatever the input file sizes; all per-row work runs after it.
+    partitions are even whatever the input file sizes; all per-row work runs after it. Rows that
+    share a given key are marked there, never merged.
     """
-    t = trip_identity(trip_scan(trips), key_cols)
-    return clean_trip_names(t.repartition("trip_id"), extra_aliases)
+    t = trip_identity(trip_scan(trips), key_cols).repartition("trip_id")
+    return clean_trip_names(mark_shared_ids(t) if key_cols is not None else t, extra_aliases)
 
 
 def hop_legs(trips: DataFrame, dims: LineNetDims, key_cols=None, extra_aliases=None,
@@ -84,7 +82,8 @@ def hop_legs(trips: DataFrame, dims: LineNetDims, key_cols=None, extra_aliases=N
     """Hop rows with bounds and the ``bad`` flag (all hops, last ones included)."""
     t = prepared if prepared is not None else partitioned_trips(trips, key_cols, extra_aliases)
     hops = dedupe_hop_stations(carry_forward_route(explode_hops(t, extra_aliases=extra_aliases)))
-    return leg_destinations(hops, dims.index)
+    legs = leg_destinations(hops, dims.index)
+    return legs.withColumn("bad", F.col("bad") | F.col("_shared")) if "_shared" in legs.columns else legs
 
 
 def project_result(stations: DataFrame) -> DataFrame:
@@ -161,26 +160,28 @@ def unresolved_hops(
             )
         dims = prepare_dims(line_stations, locations, extra_aliases, max_broadcast_rows)
     t = partitioned_trips(trips, key_cols, extra_aliases)
-    malformed = t.filter(
-        ~is_json_array(F.col("lines_result")) | F.from_json(F.col("lines_result"), HOP_SCHEMA).isNull()
-    ).select(
-        "trip_id",
-        F.lit(None).cast("int").alias("hop"),
-        F.lit(None).cast("string").alias("route"),
-        F.lit(None).cast("string").alias("station"),
-        F.lit("malformed plan").alias("reason"),
-    )
-    legs = hop_legs(trips, dims, key_cols, extra_aliases, prepared=t)
+    # One frame for both kinds of rejects, so the trips are read and shuffled once: a malformed plan
+    # passes the hop generator as a plan of one element that only carries the mark.
+    text = F.col("lines_result")
+    malformed = ~is_json_array(text) | F.from_json(text, HOP_SCHEMA).isNull()
+    marked = t.withColumn("_malformed", malformed).withColumn("lines_result", F.when(malformed, F.lit("[{}]")).otherwise(text))
+    legs = hop_legs(marked, dims, key_cols, extra_aliases, prepared=marked)
     known = dims.routes.select(F.col("route").alias("_known"))
     legs = legs.join(known, F.col("route") == F.col("_known"), "left")
     reason = (
-        F.when(F.col("route").isNull(), F.lit("first hop has no line"))
+        F.when(F.col("_malformed"), F.lit("malformed plan"))
+        .when(F.col("_shared") if "_shared" in legs.columns else F.lit(False), F.lit("key shared by several trips"))
+        .when(F.col("route").isNull(), F.lit("first hop has no line"))
         .when(F.col("station").isNull(), F.lit("hop has no station"))
         .when(F.col("_known").isNull(), F.lit("unknown line"))
         .when(F.col("o_num").isNull(), F.lit("station not on its line"))
         .when(~F.col("is_last") & F.col("d_num").isNull(), F.lit("next station not on this line"))
     )
-    bad = legs.select("trip_id", "hop", "route", "station", reason.alias("reason")).filter(
-        F.col("reason").isNotNull()
-    )
-    return bad.unionByName(malformed)
+    hop = F.when(~F.col("_malformed"), F.col("hop")).alias("hop")
+    return legs.select("trip_id", hop, "route", "station", reason.alias("reason")).filter(F.col("reason").isNotNull())
+
+
+def write_line_net(result: DataFrame, rejects: DataFrame, path: str, mode: str = "errorifexists") -> None:
+    """The job's sink: Parquet under ``path/result`` and ``path/rejects``."""
+    result.write.mode(mode).parquet(f"{path.rstrip('/')}/result")
+    rejects.write.mode(mode).parquet(f"{path.rstrip('/')}/rejects")

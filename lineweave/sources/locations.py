@@ -7,13 +7,14 @@ from pyspark.sql import functions as F
 
 
 def _coordinate(df: DataFrame, name: str):
-    if dict(df.dtypes)[name] == "double":
-        return F.col(name)
-    return F.col(name).cast("string").try_cast("double").alias(name)
+    value = F.col(name) if dict(df.dtypes)[name] == "double" else F.col(name).cast("string").try_cast("double")
+    # NaN sorts above every number, so the upper bound leaves it out too.
+    finite = (value > F.lit(float("-inf"))) & (value < F.lit(float("inf")))
+    return F.when(finite, value).alias(name)
 
 
 def location_scan(df: DataFrame) -> DataFrame:
-    """Names as strings, coordinates parsed once to double; unparsable text becomes null."""
+    """Names as strings, coordinates parsed once to double; unparsable, NaN and infinite ones become null."""
     return df.select(
         F.col("route_name").cast("string").alias("route_name"),
         F.col("station_name").cast("string").alias("station_name"),

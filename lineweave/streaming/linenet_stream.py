@@ -3,16 +3,20 @@
 The line net is a per-trip computation against small, static dimensions, so each micro-batch
 is processed by the batch plan (``foreachBatch``); the dimensions are prepared once. Every
 micro-batch is written to its own ``batch_id=<n>`` folder with overwrite, so a batch retried
-after a failure replaces its own output (exactly-once together with the query checkpoint).
+after a failure replaces its own output: exactly once, as long as a restarted stream is given the
+same checkpoint path. Rejected hops go to ``batch_id=<n>`` folders of their own. Without a key, equal
+plan rows are numbered within their batch and the batch number joins the identity.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from lineweave.plans.linenet import build_line_net, prepare_dims
-from lineweave.session import shared_dir
+from lineweave.operators.hops import trip_identity
+from lineweave.plans.linenet import build_line_net, prepare_dims, unresolved_hops
+from lineweave.sources.trips import trip_scan
 
 
 def start_line_net_stream(
@@ -20,22 +24,30 @@ def start_line_net_stream(
     line_stations: DataFrame,
     locations: DataFrame,
     out_path: str,
-    checkpoint_path: str | None = None,
+    checkpoint_path: str,
+    reject_path: str,
     gap_mode: str = "bridge",
     key_cols=None,
     available_now: bool = False,
     processing_time: str | None = None,
 ) -> StreamingQuery:
-    """Start a streaming query writing the line net of every micro-batch as Parquet."""
-    spark = trips_stream.sparkSession
+    """Start a streaming query writing the line net of every micro-batch, and its rejects, as Parquet.
+
+    ``checkpoint_path`` and both outputs must be in storage that driver and executors share.
+    """
     dims = prepare_dims(line_stations, locations)
-    if checkpoint_path is None:
-        checkpoint_path = shared_dir(spark, "line-net-stream-checkpoint")
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        res = build_line_net(batch, None, None, gap_mode=gap_mode, key_cols=key_cols, dims=dims)
+        keys = key_cols
+        if keys is None:
+            numbered = trip_identity(trip_scan(batch), out="_row_id")
+            batch = numbered.withColumn("_row_id", F.concat_ws("#", F.lit(str(batch_id)), F.col("_row_id")))
+            keys = ["_row_id"]
+        res = build_line_net(batch, None, None, gap_mode=gap_mode, key_cols=keys, dims=dims)
+        bad = unresolved_hops(batch, None, key_cols=keys, dims=dims)
         # the folder name carries batch_id as a partition column on read
         res.write.mode("overwrite").parquet(f"{out_path.rstrip('/')}/batch_id={batch_id}")
+        bad.write.mode("overwrite").parquet(f"{reject_path.rstrip('/')}/batch_id={batch_id}")
 
     writer = trips_stream.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint_path)
     if available_now:
