@@ -1,13 +1,15 @@
 """Repeated passages removed by content-defined chunking over words.
 
 1. **Chunks.** A gear hash rolls over the words of a text (``h = 2h + gear[word]``); a chunk ends
-   where the bits that depend on the last four words are zero, after four words on average. Cuts
-   depend on nearby words alone, so an insertion shifts no later cut. A stretch without a cut (one word
-   over and over, say) is cut every 32 words, counted from its beginning.
+   where the bits that depend on the last four words are zero and the four words differ, after four to
+   five words on average, and where a word that stood four times or more is followed by another. Cuts
+   depend on nearby words alone, so an insertion shifts no later cut. A stretch without a cut (two words
+   in turns, say) is cut every 32 words, counted from its beginning; there only aligned copies match.
 2. **Spans.** From every cut, as many chunks (two at least) as give 12 words form a span; its digest
    covers exactly those words. Digests are grouped with partial sums before the shuffle; a digest of
    two or more documents is owned by the one with the smallest id.
-3. **Runs.** Spans of a document that follow each other in the same owner at the same shift form
+3. **Runs.** Overlapping spans that others own form stretches; one without room for ``min_words`` words
+   up to the next cuts on both sides is dropped. Spans of a stretch that follow each other in the same owner at the same shift form
    runs. A run begins and ends at cuts, so it is extended word by word against the owner's text on
    both sides, by up to 50 words: a passage shows as soon as one of its spans has an owner.
 4. **Cut.** Runs of ``min_words`` words or more are removed; the owner keeps its text.
@@ -54,54 +56,80 @@ def _power_tables(n: int) -> list[np.ndarray]:
     return _powers
 
 
-def cut_points(words: T.Words) -> tuple[np.ndarray, np.ndarray]:
-    """Word indexes at which chunks begin or a text ends, and the row of each (texts with words)."""
+def cut_points(words: T.Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Word indexes at which chunks begin or a text ends, the row of each (texts with words), and
+    whether the words in front decide the cut (not a text's end or a long stretch)."""
     gear = T.mix(words.h ^ T.U64(0x243F6A8885A308D3))
     rolling = gear.copy()
     for j in range(1, WINDOW):
         same = words.doc[j:] == words.doc[:-j] if j < len(gear) else np.empty(0, bool)
         rolling[j:] += np.where(same, gear[:-j] << T.U64(j), T.U64(0)) if len(same) else T.U64(0)
-    after = np.flatnonzero(rolling & T.U64(CUT_BITS) == 0) + 1
+    # back[k][i]: word i is the one k places before, in the same text.
+    back = {}
+    for k in range(1, WINDOW):
+        back[k] = np.zeros(len(gear), bool)
+        back[k][k:] = (words.h[k:] == words.h[:-k]) & (words.doc[k:] == words.doc[:-k])
+    shifted = lambda x, by: np.concatenate([np.zeros(by, bool), x[: len(x) - by]])
+    again = np.zeros(len(gear), bool)
+    run = np.ones(len(gear), bool)
+    for first in range(WINDOW - 1):
+        for k in range(1, WINDOW - first):
+            again |= shifted(back[k], first)
+        run &= shifted(back[1], first)
+    ends = run & ~np.append(back[1][1:], False)
+    after = np.flatnonzero(((rolling & T.U64(CUT_BITS) == 0) & ~again) | ends) + 1
     points = np.unique(np.concatenate([words.first, after]))
     gaps = np.diff(points)
     long = np.flatnonzero(gaps > LONGEST_CHUNK)
     if len(long):
         more = [np.arange(points[i] + LONGEST_CHUNK, points[i + 1], LONGEST_CHUNK) for i in long]
         points = np.unique(np.concatenate([points, *more]))
-    return points, np.searchsorted(words.first, points, side="right") - 1
+    return points, np.searchsorted(words.first, points, side="right") - 1, np.isin(points, after)
 
 
-def spans(words: T.Words, min_words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(digest, row, first word, end word) of every span, words counted from the text's first."""
+def spans(words: T.Words, min_words: int) -> tuple[np.ndarray, ...]:
+    """(digest, row, first word, end word, lo, hi) of every span, words counted from the text's first.
+
+    A passage that repeats, holds this span and neither the one before nor the one behind lies within
+    lo and hi: otherwise the cut before (with the words that decide it) or the next span would be
+    inside the passage, and that span would repeat too.
+    """
     if not len(words.h):
         none = np.empty(0, np.int64)
-        return np.empty(0, T.U64), none, none, none
-    points, row = cut_points(words)
-    end_at = np.maximum(np.searchsorted(points, points + SPAN_WORDS), np.arange(len(points)) + 2)
+        return np.empty(0, T.U64), none, none, none, none, none
+    points, row, decided = cut_points(words)
+    number = np.arange(len(points))
+    end_at = np.maximum(np.searchsorted(points, points + SPAN_WORDS), number + 2)
+    ends = np.append(points, len(words.h))[np.minimum(end_at, len(points))]
+    before = np.concatenate([[-1], np.maximum.accumulate(np.where(decided, number, -1))[:-1]])
+    behind = np.append(np.minimum.accumulate(np.where(decided, number, len(points))[::-1])[::-1][1:], len(points))
+    text_first, text_end = words.first[:-1][np.minimum(row, len(words.first) - 2)], words.first[1:][np.minimum(row, len(words.first) - 2)]
+    lo = np.maximum(text_first, np.where(before >= 0, points[before] - WINDOW, 0))
+    hi = np.minimum(text_end, np.append(ends, len(words.h))[behind])
     ok = end_at < len(points)
-    a, e, row = points[ok], points[end_at[ok]], row[ok]
+    a, e, lo, hi, row = points[ok], ends[ok], lo[ok], hi[ok], row[ok]
     inside = (e <= words.first[row + 1]) & (words.counts[row] >= min_words)
-    a, e, row = a[inside], e[inside], row[inside]
+    a, e, lo, hi, row = a[inside], e[inside], lo[inside], hi[inside], row[inside]
     power, inverse = _power_tables(len(words.h) + 1)
     total = np.concatenate([[T.U64(0)], np.cumsum(T.mix(words.h) * power[: len(words.h)])])
     digest = T.mix((total[e] - total[a]) * inverse[a] + (e - a).astype(T.U64) * T.U64(0x9E3779B97F4A7C15))
-    return digest, row, a - words.first[row], e - words.first[row]
+    return digest, row, *(x - words.first[row] for x in (a, e, lo, hi))
 
 
 def _digests(min_words: int, known: HashFilter | None = None):
     """Without ``known``: (digest, doc) of all spans. With it: the spans that pass, with places."""
 
     def work(batch: pa.RecordBatch, texts: list[bytes]) -> pa.RecordBatch:
-        digest, row, a, e = spans(T.hash_words(texts, lower=False), min_words)
+        digest, row, *places = spans(T.hash_words(texts, lower=False), min_words)
         if known is not None:
             hit = np.flatnonzero(known.maybe(digest))
-            digest, row, a, e = digest[hit], row[hit], a[hit], e[hit]
+            digest, row, places = digest[hit], row[hit], [p[hit] for p in places]
         doc = batch.column(0).to_numpy()[row]
         if known is None:
             return pa.RecordBatch.from_arrays([pa.array(T.signed(digest)), pa.array(doc)], names=["digest", "doc"])
         key = batch.column(1).to_numpy()[row]
-        values = [T.signed(digest), doc, key, a.astype(np.int32), e.astype(np.int32)]
-        return pa.RecordBatch.from_arrays([pa.array(v) for v in values], names=["digest", "doc", "key", "a", "e"])
+        values = [T.signed(digest), doc, key, *(p.astype(np.int32) for p in places)]
+        return pa.RecordBatch.from_arrays([pa.array(v) for v in values], names=["digest", "doc", "key", "a", "e", "lo", "hi"])
 
     return T.map_slices("text", work)
 
@@ -182,10 +210,17 @@ def _runs(docs: DataFrame, min_words: int) -> DataFrame:
     shared = pairs.groupBy("digest").agg(F.min("doc").alias("owner"), F.max("doc").alias("last")).where("owner <> last").select("digest", "owner")
     shared = cut(shared, "passage-digests")
     known = HashFilter.of(shared, "digest", bits=25)
-    places = docs.select("doc", "key", "text").mapInArrow(_digests(min_words, known), "digest long, doc long, key long, a int, e int")
+    places = docs.select("doc", "key", "text").mapInArrow(_digests(min_words, known), "digest long, doc long, key long, a int, e int, lo int, hi int")
     places = cut(places.join(shared, "digest"), "passage-spans")
     owners = places.where("doc = owner").groupBy("digest").agg(F.min(F.struct("key", "a", "e")).alias("o"))
-    repeats = places.where("doc <> owner").join(owners, "digest").select("key", "a", "e", F.col("o.key").alias("o_key"), F.expr("a - o.a").alias("shift"))
+    repeats = places.where("doc <> owner")
+    # Stretches of repeated spans that leave no room for a passage, common lines above all, end here.
+    order = Window.partitionBy("key").orderBy("a", "e")
+    stretch = repeats.withColumn("before", F.max("e").over(order.rowsBetween(Window.unboundedPreceding, -1)))
+    stretch = stretch.withColumn("stretch", F.sum(F.expr("if(a <= before, 0, 1)")).over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    room = F.max("hi").over(Window.partitionBy("key", "stretch")) - F.min("lo").over(Window.partitionBy("key", "stretch"))
+    repeats = stretch.withColumn("room", room).where(F.col("room") >= min_words).select("digest", "key", "a", "e")
+    repeats = repeats.join(owners, "digest").select("key", "a", "e", F.col("o.key").alias("o_key"), F.expr("a - o.a").alias("shift"))
     line = ["key", "o_key", "shift"]
     order = Window.partitionBy(*line).orderBy("a", "e")
     islands = repeats.withColumn("before", F.max("e").over(order.rowsBetween(Window.unboundedPreceding, -1)))
