@@ -5,7 +5,9 @@ from tests.oracle_check import compare
 
 
 def test_all_queries_match_oracles(spark):
-    res = compare(spark, SF001)
+    from __spark_entry__ import oracle_sql
+
+    res = compare(spark, SF001, list(oracle_sql()))
     bad = {k: v for k, v in res.items() if v[0] != "ok"}
     assert not bad, bad
     assert len(res) >= 25
