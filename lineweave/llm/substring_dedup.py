@@ -1,18 +1,15 @@
-"""Repeated passages removed by content-defined chunking over words.
-
-1. **Chunks.** A gear hash rolls over the words of a text (``h = 2h + gear[word]``); a chunk ends
-   where the bits that depend on the last four words are zero and the four words differ, after four to
-   five words on average, and where a word that stood four times or more is followed by another. Cuts
-   depend on nearby words alone, so an insertion shifts no later cut. A stretch without a cut (two words
-   in turns, say) is cut every 32 words, counted from its beginning; there only aligned copies match.
-2. **Spans.** From every cut, as many chunks (two at least) as give 12 words form a span; its digest
-   covers exactly those words. Digests are grouped with partial sums before the shuffle; a digest of
-   two or more documents is owned by the one with the smallest id.
-3. **Runs.** Overlapping spans that others own form stretches; one without room for ``min_words`` words
-   up to the next cuts on both sides is dropped. Spans of a stretch that follow each other in the same owner at the same shift form
-   runs. A run begins and ends at cuts, so it is extended word by word against the owner's text on
-   both sides, by up to 50 words: a passage shows as soon as one of its spans has an owner.
-4. **Cut.** Runs of ``min_words`` words or more are removed; the owner keeps its text.
+"""Repeated passages removed by content-defined sampling over words and exact windows.
+
+1. **Samples.** A gear hash (``h = 2h + gear[word]``) rolls over ``min_words // 2 + 1`` words. Of the places
+   inside every window of ``min_words`` words, the least hash is the window's sample: it depends on the
+   window's words alone, so equal windows have equal samples whatever stands around them and however often
+   their words recur, and neighbouring windows mostly share one (a sample for every 13 words).
+2. **Windows.** Samples are grouped with partial sums before the shuffle; a window whose sample stands in two
+   or more documents is hashed as a whole. Equal windows of one text are one row with a list of places, so
+   that periodic text (one word many times) is a few rows and not one for each word.
+3. **Owners.** Windows are grouped in the same way; the smallest id that holds a window owns it. Each
+   window has its own owner, so a passage may repeat parts of several earlier documents.
+4. **Cut.** Words that lie in a window which an earlier document owns are removed; the owner keeps its text.
 
 Words are the same if their bytes are; white space between them may differ. Only what repeats across
 documents counts, not within one. Digests are 64 bits.
@@ -24,11 +21,9 @@ occur, since the owner is the smallest id; an empty table gives an empty result;
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
 
@@ -36,158 +31,98 @@ from lineweave.llm import textops as T
 from lineweave.llm.tables import HashFilter, cut, fold_id, prepare, read_table
 from lineweave.llm.touched import filtered, fresh_name, key_filter, row_key, with_key
 
-#: Words in the rolling window and the bits that must be zero at a cut (1 of 4 words).
-WINDOW, CUT_BITS = 4, 0b1100
-LONGEST_CHUNK = 32
-SPAN_WORDS = 12
-#: Words by which a run may be extended on each side.
-CONTEXT = 50
 MIN_WORDS = 50
 
-_ODD = 0x2545F4914F6CDD1D
-_INVERSE = pow(_ODD, -1, 1 << 64)
-_powers = [np.empty(0, T.U64), np.empty(0, T.U64)]
-
-
-def _power_tables(n: int) -> list[np.ndarray]:
-    if len(_powers[0]) < n:
-        for i, base in enumerate((_ODD, _INVERSE)):
-            _powers[i] = np.cumprod(np.concatenate([[T.U64(1)], np.full(n, T.U64(base))]))
-    return _powers
-
-
-def cut_points(words: T.Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Word indexes at which chunks begin or a text ends, the row of each (texts with words), and
-    whether the words in front decide the cut (not a text's end or a long stretch)."""
-    gear = T.mix(words.h ^ T.U64(0x243F6A8885A308D3))
-    rolling = gear.copy()
-    for j in range(1, WINDOW):
-        same = words.doc[j:] == words.doc[:-j] if j < len(gear) else np.empty(0, bool)
-        rolling[j:] += np.where(same, gear[:-j] << T.U64(j), T.U64(0)) if len(same) else T.U64(0)
-    # back[k][i]: word i is the one k places before, in the same text.
-    back = {}
-    for k in range(1, WINDOW):
-        back[k] = np.zeros(len(gear), bool)
-        back[k][k:] = (words.h[k:] == words.h[:-k]) & (words.doc[k:] == words.doc[:-k])
-    shifted = lambda x, by: np.concatenate([np.zeros(by, bool), x[: len(x) - by]])
-    again = np.zeros(len(gear), bool)
-    run = np.ones(len(gear), bool)
-    for first in range(WINDOW - 1):
-        for k in range(1, WINDOW - first):
-            again |= shifted(back[k], first)
-        run &= shifted(back[1], first)
-    ends = run & ~np.append(back[1][1:], False)
-    after = np.flatnonzero(((rolling & T.U64(CUT_BITS) == 0) & ~again) | ends) + 1
-    points = np.unique(np.concatenate([words.first, after]))
-    gaps = np.diff(points)
-    long = np.flatnonzero(gaps > LONGEST_CHUNK)
-    if len(long):
-        more = [np.arange(points[i] + LONGEST_CHUNK, points[i + 1], LONGEST_CHUNK) for i in long]
-        points = np.unique(np.concatenate([points, *more]))
-    return points, np.searchsorted(words.first, points, side="right") - 1, np.isin(points, after)
-
-
-def spans(words: T.Words, min_words: int) -> tuple[np.ndarray, ...]:
-    """(digest, row, first word, end word, lo, hi) of every span, words counted from the text's first.
-
-    A passage that repeats, holds this span and neither the one before nor the one behind lies within
-    lo and hi: otherwise the cut before (with the words that decide it) or the next span would be
-    inside the passage, and that span would repeat too.
-    """
-    if not len(words.h):
-        none = np.empty(0, np.int64)
-        return np.empty(0, T.U64), none, none, none, none, none
-    points, row, decided = cut_points(words)
-    number = np.arange(len(points))
-    end_at = np.maximum(np.searchsorted(points, points + SPAN_WORDS), number + 2)
-    ends = np.append(points, len(words.h))[np.minimum(end_at, len(points))]
-    before = np.concatenate([[-1], np.maximum.accumulate(np.where(decided, number, -1))[:-1]])
-    behind = np.append(np.minimum.accumulate(np.where(decided, number, len(points))[::-1])[::-1][1:], len(points))
-    text_first, text_end = words.first[:-1][np.minimum(row, len(words.first) - 2)], words.first[1:][np.minimum(row, len(words.first) - 2)]
-    lo = np.maximum(text_first, np.where(before >= 0, points[before] - WINDOW, 0))
-    hi = np.minimum(text_end, np.append(ends, len(words.h))[behind])
-    ok = end_at < len(points)
-    a, e, lo, hi, row = points[ok], ends[ok], lo[ok], hi[ok], row[ok]
-    inside = (e <= words.first[row + 1]) & (words.counts[row] >= min_words)
-    a, e, lo, hi, row = a[inside], e[inside], lo[inside], hi[inside], row[inside]
-    power, inverse = _power_tables(len(words.h) + 1)
-    total = np.concatenate([[T.U64(0)], np.cumsum(T.mix(words.h) * power[: len(words.h)])])
-    digest = T.mix((total[e] - total[a]) * inverse[a] + (e - a).astype(T.U64) * T.U64(0x9E3779B97F4A7C15))
-    return digest, row, *(x - words.first[row] for x in (a, e, lo, hi))
-
-
-def _digests(min_words: int, known: HashFilter | None = None):
-    """Without ``known``: (digest, doc) of all spans. With it: the spans that pass, with places."""
+
+def gear_hashes(h: np.ndarray, k: int) -> np.ndarray:
+    """Gear hash of every ``k`` words in a row, put together from those of 1, 2, 4, ... words."""
+    part = T.mix(h ^ T.U64(0x243F6A8885A308D3))
+    out, have, n = np.zeros(len(h) + 1, T.U64), 0, 1
+    while n <= k:
+        if k & n:
+            out, have = (out[: len(part) - have] << T.U64(n)) + part[have:], have + n
+        part, n = (part[:-n] << T.U64(n)) + part[n:], 2 * n
+    return out
+
+
+def least_of(x: np.ndarray, n: int) -> np.ndarray:
+    """The least of every ``n`` values in a row."""
+    span = 1
+    while 2 * span <= n:
+        x, span = np.minimum(x[:-span], x[span:]), 2 * span
+    return np.minimum(x[: len(x) - (n - span)], x[n - span :])
+
+
+def samples(words: T.Words, min_words: int) -> tuple[np.ndarray, np.ndarray]:
+    """(sample, index of the first word) of every window of ``min_words`` words inside one text."""
+    n = len(words.h) - min_words + 1
+    if n < 1:
+        return np.empty(0, T.U64), np.empty(0, np.int64)
+    k = min_words // 2 + 1
+    least = least_of(T.mix(gear_hashes(words.h, k)), min_words - k + 1)
+    at = np.flatnonzero(words.doc[:n] == words.doc[min_words - 1 :])
+    return T.mix(least[at]), at  # mixed again: the least are small, the filter takes the upper bits
+
+
+def _samples(min_words: int):
+    """(digest, doc) of the samples of all windows, once for neighbours that share one."""
 
     def work(batch: pa.RecordBatch, texts: list[bytes]) -> pa.RecordBatch:
-        digest, row, *places = spans(T.hash_words(texts, lower=False), min_words)
-        if known is not None:
-            hit = np.flatnonzero(known.maybe(digest))
-            digest, row, places = digest[hit], row[hit], [p[hit] for p in places]
-        doc = batch.column(0).to_numpy()[row]
-        if known is None:
-            return pa.RecordBatch.from_arrays([pa.array(T.signed(digest)), pa.array(doc)], names=["digest", "doc"])
-        key = batch.column(1).to_numpy()[row]
-        values = [T.signed(digest), doc, key, *(p.astype(np.int32) for p in places)]
-        return pa.RecordBatch.from_arrays([pa.array(v) for v in values], names=["digest", "doc", "key", "a", "e", "lo", "hi"])
+        words = T.hash_words(texts, lower=False)
+        digest, at = samples(words, min_words)
+        row = words.doc[at]
+        new = np.ones(len(at), bool)
+        new[1:] = (digest[1:] != digest[:-1]) | (row[1:] != row[:-1])
+        doc = batch.column(0).to_numpy()[row[new]]
+        return pa.RecordBatch.from_arrays([pa.array(T.signed(digest[new])), pa.array(doc)], names=["digest", "doc"])
 
     return T.map_slices("text", work)
 
 
-def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Hashes of the words before and behind the asked places of a text."""
-    for batch in batches:
-        texts = T.text_bytes(batch.column(1))
-        for lo, hi in T.slices(texts):
-            words = T.hash_words(texts[lo:hi], lower=False)
-            key, place, left, context = [], [], [], []
-            for i in range(lo, hi):
-                h = words.h[words.first[i - lo] : words.first[i - lo + 1]]
-                for column, is_left in ((2, True), (3, False)):
-                    for p in batch.column(column)[i].as_py():
-                        key.append(batch.column(0)[i].as_py())
-                        place.append(p)
-                        left.append(is_left)
-                        context.append(h[max(0, p - CONTEXT) : p].tobytes() if is_left else h[p : p + CONTEXT].tobytes())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(key, pa.int64()), pa.array(place, pa.int32()), pa.array(left, pa.bool_()), pa.array(context, pa.binary())], names=["o_key", "place", "is_left", "context"]
-            )
-
-
-def _agreeing(x: np.ndarray, y: np.ndarray) -> int:
-    n = min(len(x), len(y))
-    differ = np.flatnonzero(x[:n] != y[:n])
-    return int(differ[0]) if len(differ) else n
-
-
-def passages(h: np.ndarray, runs: list[dict], min_words: int) -> list[tuple[int, int]]:
-    """Word ranges to remove: runs extended against their owners, long enough, merged."""
-    found = []
-    for run in runs:
-        a, e = run["a"], run["e"]
-        left, right = (np.frombuffer(run[s] or b"", T.U64) for s in ("left", "right"))
-        a, e = a - _agreeing(h[:a][::-1], left[::-1]), e + _agreeing(h[e:], right)
-        if e - a >= min_words:
-            found.append((a, e))
-    merged: list[tuple[int, int]] = []
-    for a, e in sorted(found):
-        if merged and a <= merged[-1][1]:
-            merged[-1] = (merged[-1][0], max(e, merged[-1][1]))
-        else:
-            merged.append((a, e))
-    return merged
-
-
-def _remove(min_words: int, text: str, runs: str, ranges: str):
+def _windows(min_words: int, known: HashFilter):
+    """(digest, doc, key, places) of the windows whose sample passes, equal ones of a text together."""
+    c = T.constants(min_words, 701)
+
+    def work(batch: pa.RecordBatch, texts: list[bytes]) -> pa.RecordBatch:
+        words = T.hash_words(texts, lower=False)
+        sample, at = samples(words, min_words)
+        at = at[known.maybe(sample)]
+        total = np.zeros(len(at), T.U64)
+        for j in range(min_words):
+            total += words.h[at + j] * c[j]
+        digest, row = T.mix(total), words.doc[at]
+        order = np.lexsort((at, digest, row))
+        digest, row, at = digest[order], row[order], at[order]
+        new = np.ones(len(at), bool)
+        new[1:] = (digest[1:] != digest[:-1]) | (row[1:] != row[:-1])
+        first = np.flatnonzero(new)
+        places = pa.ListArray.from_arrays(pa.array(np.append(first, len(at)).astype(np.int32)), pa.array((at - words.first[row]).astype(np.int32)))
+        doc, key = (batch.column(i).to_numpy()[row[first]] for i in (0, 1))
+        return pa.RecordBatch.from_arrays([pa.array(T.signed(digest[first])), pa.array(doc), pa.array(key), places], names=["digest", "doc", "key", "places"])
+
+    return T.map_slices("text", work)
+
+
+def covered(places: np.ndarray, min_words: int) -> list[tuple[int, int]]:
+    """Word ranges that the windows at ``places`` cover, merged where they touch."""
+    if not len(places):
+        return []
+    places = np.unique(places)
+    new = np.flatnonzero(np.diff(places) > min_words) + 1
+    first, last = np.concatenate([[0], new]), np.append(new, len(places)) - 1
+    return [(int(a), int(e) + min_words) for a, e in zip(places[first], places[last])]
+
+
+def _remove(min_words: int, text: str, repeats: str, ranges: str):
     """Cuts the passages out of ``text`` and lists them in ``ranges``."""
 
     def work(batch: pa.RecordBatch, texts: list[bytes]) -> pa.RecordBatch:
         words, original = T.hash_words(texts, lower=False), batch.column(batch.schema.get_field_index(text))
-        wanted = batch.column(batch.schema.get_field_index(runs)).to_pylist()
+        wanted = batch.column(batch.schema.get_field_index(repeats))
         new_text, new_ranges = [], []
         for i, t in enumerate(texts):
             lo, hi = words.first[i], words.first[i + 1]
-            cuts = passages(words.h[lo:hi], wanted[i], min_words) if wanted[i] else []
+            cuts = covered(wanted[i].values.flatten().to_numpy(), min_words) if wanted[i].is_valid else []
             kept, at = [], 0
             for a, e in cuts:
                 kept.append(t[at : words.start[lo + a] - words.base[i]])
@@ -196,7 +131,7 @@ def _remove(min_words: int, text: str, runs: str, ranges: str):
             new_text.append((b"".join(kept)).decode() if cuts else original[i].as_py())
             new_ranges.append([{"first_word": int(a), "end_word": int(e)} for a, e in cuts])
         kind = pa.list_(pa.struct([("first_word", pa.int32()), ("end_word", pa.int32())]))
-        columns = {n: c for n, c in zip(batch.schema.names, batch.columns) if n != runs}
+        columns = {n: c for n, c in zip(batch.schema.names, batch.columns) if n != repeats}
         columns[text] = pa.array(new_text, original.type)
         columns[ranges] = pa.array(new_ranges, kind)
         return pa.RecordBatch.from_pydict(columns)
@@ -204,40 +139,21 @@ def _remove(min_words: int, text: str, runs: str, ranges: str):
     return T.map_slices(text, work)
 
 
-def _runs(docs: DataFrame, min_words: int) -> DataFrame:
-    """(key, runs) of every document that has runs of spans which an earlier document owns."""
-    pairs = docs.select("doc", "text").mapInArrow(_digests(min_words), "digest long, doc long")
-    shared = pairs.groupBy("digest").agg(F.min("doc").alias("owner"), F.max("doc").alias("last")).where("owner <> last").select("digest", "owner")
-    shared = cut(shared, "passage-digests")
-    known = HashFilter.of(shared, "digest", bits=25)
-    places = docs.select("doc", "key", "text").mapInArrow(_digests(min_words, known), "digest long, doc long, key long, a int, e int, lo int, hi int")
-    places = cut(places.join(shared, "digest"), "passage-spans")
-    owners = places.where("doc = owner").groupBy("digest").agg(F.min(F.struct("key", "a", "e")).alias("o"))
-    repeats = places.where("doc <> owner")
-    # Stretches of repeated spans that leave no room for a passage, common lines above all, end here.
-    order = Window.partitionBy("key").orderBy("a", "e")
-    stretch = repeats.withColumn("before", F.max("e").over(order.rowsBetween(Window.unboundedPreceding, -1)))
-    stretch = stretch.withColumn("stretch", F.sum(F.expr("if(a <= before, 0, 1)")).over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    room = F.max("hi").over(Window.partitionBy("key", "stretch")) - F.min("lo").over(Window.partitionBy("key", "stretch"))
-    repeats = stretch.withColumn("room", room).where(F.col("room") >= min_words).select("digest", "key", "a", "e")
-    repeats = repeats.join(owners, "digest").select("key", "a", "e", F.col("o.key").alias("o_key"), F.expr("a - o.a").alias("shift"))
-    line = ["key", "o_key", "shift"]
-    order = Window.partitionBy(*line).orderBy("a", "e")
-    islands = repeats.withColumn("before", F.max("e").over(order.rowsBetween(Window.unboundedPreceding, -1)))
-    islands = islands.withColumn("run", F.sum(F.expr("if(a <= before, 0, 1)")).over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    runs = islands.groupBy(*line, "run").agg(F.min("a").alias("a"), F.max("e").alias("e"))
-    runs = cut(runs.select("key", "a", "e", "o_key", F.expr("a - shift").alias("l_place"), F.expr("e - shift").alias("r_place")), "passage-runs")
-
-    left = runs.select("o_key", F.col("l_place").alias("lefts"), F.lit(None).cast("int").alias("rights"))
-    right = runs.select("o_key", F.lit(None).cast("int"), F.col("r_place"))
-    asked = cut(left.union(right).groupBy("o_key").agg(F.collect_set("lefts").alias("lefts"), F.collect_set("rights").alias("rights")), "passage-asked")
-    there = filtered(docs.select("key", "text"), "key", key_filter(asked, "o_key"), True).dropDuplicates(["key"])
-    answers = there.join(asked, F.col("key") == F.col("o_key")).select("o_key", "text", "lefts", "rights")
-    answers = cut(answers.mapInArrow(_contexts, "o_key long, place int, is_left boolean, context binary"), "passage-contexts")
-    side = lambda s, flag: answers.where(flag).select("o_key", F.col("place").alias(f"{s}_place"), F.col("context").alias({"l": "left", "r": "right"}[s]))
-    runs = runs.join(side("l", "is_left"), ["o_key", "l_place"], "left")
-    runs = runs.join(side("r", "not is_left"), ["o_key", "r_place"], "left")
-    return cut(runs.groupBy("key").agg(F.collect_list(F.struct("a", "e", "left", "right")).alias("runs")), "passage-by-text")
+def _owned(found: DataFrame) -> DataFrame:
+    """(digest, owner) of the digests that two or more documents hold."""
+    found = found.groupBy("digest").agg(F.min("doc").alias("owner"), F.max("doc").alias("last"))
+    return found.where("owner <> last").select("digest", "owner")
+
+
+def _repeats(docs: DataFrame, min_words: int) -> DataFrame:
+    """(key, repeats) of every document with windows that an earlier one owns: lists of their places."""
+    sampled = docs.select("doc", "text").mapInArrow(_samples(min_words), "digest long, doc long")
+    known = HashFilter.of(cut(_owned(sampled), "passage-samples"), "digest", bits=25)
+    kind = "digest long, doc long, key long, places array<int>"
+    windows = cut(docs.select("doc", "key", "text").mapInArrow(_windows(min_words, known), kind), "passage-windows")
+    owners = cut(_owned(windows), "passage-owners")
+    later = windows.join(owners, "digest").where("doc <> owner")
+    return cut(later.groupBy("key").agg(F.collect_set("places").alias("repeats")), "passage-by-text")
 
 
 def remove_repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS, ranges: str | None = None) -> DataFrame:
@@ -247,15 +163,15 @@ def remove_repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS, ranges
     """
     prepare(docs.sparkSession)
     rows = docs.select(fold_id("doc_id").alias("doc"), row_key().alias("key"), F.col("text").cast("string").alias("text"))
-    by_text = _runs(rows, min_words)
-    key, runs = fresh_name(docs, "_key"), fresh_name(docs, "_runs")
+    by_text = _repeats(rows, min_words)
+    key, repeats = fresh_name(docs, "_key"), fresh_name(docs, "_repeats")
     listed = ranges or fresh_name(docs, "_ranges")
     kind = ArrayType(StructType([StructField("first_word", IntegerType()), StructField("end_word", IntegerType())]))
     maybe = key_filter(by_text, "key")
     whole = with_key(docs, key)
-    inside = filtered(whole, key, maybe, True).join(by_text.select(F.col("key").alias(key), F.col("runs").alias(runs)), key, "left")
+    inside = filtered(whole, key, maybe, True).join(by_text.select(F.col("key").alias(key), F.col("repeats").alias(repeats)), key, "left")
     schema = StructType([*docs.schema.fields, StructField(listed, kind, True)])
-    inside = inside.select(*docs.columns, runs).mapInArrow(_remove(min_words, "text", runs, listed), schema)
+    inside = inside.select(*docs.columns, repeats).mapInArrow(_remove(min_words, "text", repeats, listed), schema)
     outside = filtered(whole, key, maybe, False).select(*docs.columns).withColumn(listed, F.array().cast(kind))
     out = outside.unionByName(inside)
     return out if ranges else out.drop(listed)

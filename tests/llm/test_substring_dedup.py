@@ -60,3 +60,19 @@ def test_cases(spark):
     expected = [(1, p), (1, p), (2, ""), (None, ""), (3, None), (4, ""), (5, "short"), (6, rows[7][1]), (7, "")]
     assert got == sorted(expected, key=str)
     assert remove_repeated_passages(docs.limit(0)).count() == 0
+
+
+def test_tables_and_periodic_text_are_cut_like_prose(spark):
+    rng = random.Random(5)
+    cells = lambda n: [w for k in range(n) for w in ("|", f"c{rng.randrange(100_000)}")]
+    rows = []
+    for n in (25, 28, 31, 60):
+        for _ in range(6):
+            passage = cells(n)
+            for _ in range(2):
+                rows.append((len(rows), " ".join(prose(rng, rng.randrange(40)) + cells(rng.randrange(40)) + passage + cells(rng.randrange(40)))))
+    for period in (["a"], ["a", "b"], ["a", "a", "b"], ["a", "b", "c", "d", "e"]):
+        rows += [(len(rows) + i, " ".join(prose(rng, 10 * i + 7) + period * 60 + prose(rng, 20))) for i in range(3)]
+    expected = brute.repeated(rows)
+    assert sum(map(bool, expected.values())) >= 28
+    assert {i: c for i, c, _ in ranges(spark, rows)} == expected
