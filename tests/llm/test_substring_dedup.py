@@ -76,3 +76,17 @@ def test_tables_and_periodic_text_are_cut_like_prose(spark):
     expected = brute.repeated(rows)
     assert sum(map(bool, expected.values())) >= 28
     assert {i: c for i, c, _ in ranges(spark, rows)} == expected
+
+
+def test_passages_whose_parts_stand_in_earlier_documents(spark):
+    rng = random.Random(6)
+    p = prose(rng, 60)
+    rows = [(i, " ".join(prose(rng, 30) + part + prose(rng, 30))) for i, part in enumerate((p[:46], p[15:], p, p))]
+    lines = [prose(rng, 12) for _ in range(20)]
+    rows += [(len(rows) + i, " ".join(w for _ in range(4) for w in rng.choice(lines) + prose(rng, rng.randrange(5)))) for i in range(100)]
+    for _ in range(12):
+        passage = [w for line in rng.sample(lines, 6) for w in line]
+        rows += [(len(rows) + i, " ".join(prose(rng, 20 + i) + passage + prose(rng, 20))) for i in range(2)]
+    expected = brute.repeated(rows)
+    assert expected[3] == [(30, 90)] and all(expected[len(rows) - 1 - 2 * i] for i in range(12))
+    assert {i: c for i, c, _ in ranges(spark, rows)} == expected
