@@ -9,8 +9,9 @@ ignored, so a substituted word under a 0 leaves the hash unchanged.
 2. Every document is hashed the same way; hashes that miss the bitmap are dropped in the task, the
    others are joined with the benchmark's on the hash.
 3. A hit gives a diagonal (place in the document minus place in the item). On it the words of both
-   texts are compared: an agreement counts 1, a substitution -1.5, and the best stretch of at least
-   13 words (or the whole item if it is shorter) with 70 % agreement or more is an overlap.
+   texts are compared: an agreement counts 3, a substitution -7, and the best stretch of at least
+   13 words (or the whole item if it is shorter) is an overlap if it counts 0 or more, which is 70 %
+   agreement.
 
 Items of fewer than 7 words carry no seed and aren't searched. Cases: null or empty texts on either
 side match nothing; items or documents that repeat are reported once per (document text, item);
@@ -33,7 +34,9 @@ from lineweave.llm.touched import filtered, key_filter, row_key, without
 
 #: Fixed masks of weight 7.
 MASKS = ("1111111", "1110010111", "1101011011", "110110001011", "101100110101")
-LEAST_WORDS, LEAST_AGREEMENT, SUBSTITUTION = 13, 0.7, 1.5
+LEAST_WORDS = 13
+#: What an agreement and a substitution count: a stretch has 70 % agreement if it counts 0 or more.
+AGREEMENT, SUBSTITUTION = 3, 7
 
 
 def seeds(words: T.Words) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -74,15 +77,17 @@ def best_overlap(x: np.ndarray, y: np.ndarray, diagonal: int) -> tuple[int, int,
     lo, hi = max(0, diagonal), min(len(x), len(y) + diagonal)
     if hi <= lo:
         return None
-    same = x[lo:hi] == y[lo - diagonal : hi - diagonal]
-    total = np.concatenate([[0.0], np.cumsum(np.where(same, 1.0, -SUBSTITUTION))])
-    low = np.minimum.accumulate(total)
-    end = int(np.argmax(total - low))
-    first = int(np.argmin(total[: end + 1]))
-    agree = int(same[first:end].sum())
-    if end - first < min(LEAST_WORDS, len(y)) or agree < LEAST_AGREEMENT * (end - first):
+    same, least = x[lo:hi] == y[lo - diagonal : hi - diagonal], min(LEAST_WORDS, len(y))
+    if hi - lo < least:
         return None
-    return lo + first, lo + end, agree
+    total = np.concatenate([[0], np.cumsum(np.where(same, AGREEMENT, -SUBSTITUTION))])
+    # Of the stretches that end at each word and have the least length.
+    gain = total[least:] - np.minimum.accumulate(total)[: len(total) - least]
+    end = int(np.argmax(gain)) + least
+    if gain[end - least] < 0:
+        return None
+    first = int(np.argmin(total[: end - least + 1]))
+    return lo + first, lo + end, int(same[first:end].sum())
 
 
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

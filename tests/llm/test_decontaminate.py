@@ -1,6 +1,8 @@
 import random
 
-from lineweave.llm.decontaminate import contaminated, op6_decontaminate, remove_contaminated
+import numpy as np
+
+from lineweave.llm.decontaminate import best_overlap, contaminated, op6_decontaminate, remove_contaminated
 from tests.conftest import SF001
 from tests.llm import brute
 
@@ -53,3 +55,15 @@ def test_cases(spark):
     assert sorted(r["doc_id"] for r in out.collect()) == [2, 3, 4, 5]
     assert contaminated(docs.limit(0), items).count() == 0
     assert remove_contaminated(docs, items.limit(0)).count() == len(rows)
+
+
+def test_every_stretch_that_qualifies_is_seen_on_a_diagonal():
+    rng = np.random.default_rng(7)
+    exact_then_poor = np.concatenate([np.ones(13, bool), np.tile([True, False, True, False, True], 20)])
+    edges = np.array([c == "1" for c in "0111011101110" + "1" + "0000"])
+    for same in [exact_then_poor, edges, *(rng.random(n) < 0.62 for n in rng.integers(5, 60, 300))]:
+        y = np.arange(len(same), dtype=np.uint64)
+        x, least = np.where(same, y, y + np.uint64(1000)), min(13, len(y))
+        fits = [(a, e) for a in range(len(y)) for e in range(a + least, len(y) + 1) if 10 * same[a:e].sum() >= 7 * (e - a)]
+        got = best_overlap(x, y, 0)
+        assert (got is not None) == bool(fits) and (got is None or got[:2] in fits and got[2] == same[got[0] : got[1]].sum())
