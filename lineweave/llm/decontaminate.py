@@ -4,16 +4,16 @@ Words are runs of lower-cased alphanumerics (A-Z folded, every non-ASCII byte be
 A *seed* is a fixed mask over consecutive words: places marked 1 are hashed, places marked 0 are
 ignored, so a substituted word under a 0 leaves the hash unchanged.
 
-1. Every benchmark item is hashed under all masks at all places; the hashes also fill a bitmap of
-   fixed size.
-2. Every document is hashed the same way; hashes that miss the bitmap are dropped in the task, the
+1. Every benchmark item is hashed under all masks for its length at all places; the hashes also fill
+   a bitmap of fixed size. The masks are such that no overlap as in 3 is without a hit.
+2. Every document is hashed under the masks that occur; hashes that miss the bitmap are dropped in the task, the
    others are joined with the benchmark's on the hash.
 3. A hit gives a diagonal (place in the document minus place in the item). On it the words of both
    texts are compared: an agreement counts 3, a substitution -7, and the best stretch of at least
    13 words (or the whole item if it is shorter) is an overlap if it counts 0 or more, which is 70 %
    agreement.
 
-Items of fewer than 7 words carry no seed and aren't searched. Cases: null or empty texts on either
+Items of fewer than 13 words have masks of their own, down to one word. Cases: null or empty texts on either
 side match nothing; items or documents that repeat are reported once per (document text, item);
 rows that repeat an id are told apart by their texts; with no items or no documents nothing is found;
 other columns, whatever their names, are ignored here and kept by :func:`remove_contaminated`.
@@ -32,38 +32,66 @@ from lineweave.llm import textops as T
 from lineweave.llm.tables import HashFilter, cut, prepare, read_table
 from lineweave.llm.touched import filtered, key_filter, row_key, without
 
-#: Fixed masks of weight 7.
-MASKS = ("1111111", "1110010111", "1101011011", "110110001011", "101100110101")
+#: Masks of weight 5: every stretch of 13 words or more with 70 % agreement has a place where one of them
+#: sees agreeing words only (shown for 13 to 25 words; a longer one has a part of such a length with 70 %).
+MASKS = ("111011", "1100001011", "110111", "101000111", "11000100101", "1101101", "11000111")
+#: The same for whole items of 1 to 12 words, by their number of words.
+SHORT_MASKS = {
+    1: ("1",),
+    2: ("11",),
+    3: ("111",),
+    4: ("111", "1101", "1011"),
+    5: ("1111", "11101", "11011", "10111"),
+    6: ("11111", "111101", "111011", "110111", "101111"),
+    7: ("1111", "11011", "1100011", "1010101"),
+    8: ("11011", "1111", "1100011"),
+    9: ("111011", "1001111", "11010011", "111101"),
+    10: ("11101", "1010011", "1100101", "11000101"),
+    11: ("111011", "11010011", "110001011", "1011011", "11011000001"),
+    12: ("111011", "110100011", "11001011", "110111"),
+}
+ALL_MASKS = tuple(dict.fromkeys([*MASKS, *(m for masks in SHORT_MASKS.values() for m in masks)]))
 LEAST_WORDS = 13
 #: What an agreement and a substitution count: a stretch has 70 % agreement if it counts 0 or more.
 AGREEMENT, SUBSTITUTION = 3, 7
 
 
-def seeds(words: T.Words) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """For every mask: (hash, index of the first word) at every place where it fits into a text."""
-    n = len(words.h)
-    for number, mask in enumerate(MASKS):
-        span = len(mask)
-        if n < span:
-            continue
-        c = T.constants(span, 1000 * (number + 1))
-        total = np.zeros(n - span + 1, T.U64)
-        for j, bit in enumerate(mask):
-            if bit == "1":
-                total += words.h[j : n - span + 1 + j] * c[j]
-        at = np.flatnonzero(words.doc[: n - span + 1] == words.doc[span - 1 :])
-        yield T.mix(total[at]), at
-
-
-def _seed_rows(known: HashFilter | None = None):
-    """(hash, key, place) of all seeds of the texts, or of those that pass the filter."""
+def seeds(words: T.Words, number: int) -> tuple[np.ndarray, np.ndarray]:
+    """(hash, index of the first word) of the mask ``number`` at every place where it fits into a text."""
+    mask, n = ALL_MASKS[number], len(words.h)
+    span = len(mask)
+    if n < span:
+        return np.empty(0, T.U64), np.empty(0, np.int64)
+    c = T.constants(span, 1000 * (number + 1))
+    total = np.zeros(n - span + 1, T.U64)
+    for j, bit in enumerate(mask):
+        if bit == "1":
+            total += words.h[j : n - span + 1 + j] * c[j]
+    at = np.flatnonzero(words.doc[: n - span + 1] == words.doc[span - 1 :])
+    return T.mix(total[at]), at
+
+
+def _item_seeds(batch: pa.RecordBatch, texts: list[bytes]) -> Iterator[pa.RecordBatch]:
+    """(hash, key, place, mask) of the items, each under the masks for its number of words."""
+    words, keys = T.hash_words(texts, T.NON_ALNUM), batch.column(0).to_numpy()
+    for number, mask in enumerate(ALL_MASKS):
+        own = np.array([mask in SHORT_MASKS.get(n, ()) if n < LEAST_WORDS else mask in MASKS for n in words.counts])
+        h, at = seeds(words, number)
+        h, at = h[own[words.doc[at]]], at[own[words.doc[at]]]
+        row = words.doc[at]
+        values = [T.signed(h), keys[row], (at - words.first[row]).astype(np.int32), np.full(len(h), number, np.int32)]
+        yield pa.RecordBatch.from_arrays([pa.array(v) for v in values], names=["hash", "key", "place", "mask"])
+
+
+def _hits(known: HashFilter, masks: list[int]):
+    """(hash, key, place) of the documents' seeds under ``masks`` that pass the filter."""
 
     def work(batch: pa.RecordBatch, texts: list[bytes]) -> Iterator[pa.RecordBatch]:
         words, keys = T.hash_words(texts, T.NON_ALNUM), batch.column(0).to_numpy()
-        for h, at in seeds(words):
-            if known is not None:
-                hit = known.maybe(h)
-                h, at = h[hit], at[hit]
+        for number in masks:
+            h, at = seeds(words, number)
+            hit = known.maybe(h)
+            h, at = h[hit], at[hit]
             if len(h):
                 row = words.doc[at]
                 place = (at - words.first[row]).astype(np.int32)
@@ -122,10 +150,11 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     prepare(docs.sparkSession)
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).where("text is not null and item_id is not null")
     items = cut(items.select(F.xxhash64("item_id", "text").alias("key"), "item_id", "text").dropDuplicates(["key"]), "bench-items")
-    tests = cut(items.select("key", "text").mapInArrow(_seed_rows(), "hash long, key long, place int").distinct(), "bench-seeds")
+    tests = cut(items.select("key", "text").mapInArrow(T.map_slices("text", _item_seeds), "hash long, key long, place int, mask int").distinct(), "bench-seeds")
+    masks = sorted(r["mask"] for r in tests.select("mask").distinct().collect())
     known = HashFilter.of(tests, "hash")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), row_key().alias("key"), F.col("text").cast("string").alias("text"))
-    hits = rows.select("key", "text").mapInArrow(_seed_rows(known), "hash long, key long, place int")
+    hits = rows.select("key", "text").mapInArrow(_hits(known, masks), "hash long, key long, place int")
     met = hits.alias("d").join(tests.alias("t"), "hash").select(F.col("d.key").alias("key"), F.col("t.key").alias("item"), F.expr("d.place - t.place").alias("diagonal"))
     by_item = met.distinct().groupBy("key", "item").agg(F.collect_list("diagonal").alias("diagonals"))
     by_item = by_item.join(items.select(F.col("key").alias("item"), "item_id", F.col("text").alias("item_text")), "item")

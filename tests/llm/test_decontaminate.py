@@ -1,8 +1,9 @@
+import itertools
 import random
 
 import numpy as np
 
-from lineweave.llm.decontaminate import best_overlap, contaminated, op6_decontaminate, remove_contaminated
+from lineweave.llm.decontaminate import MASKS, SHORT_MASKS, best_overlap, contaminated, op6_decontaminate, remove_contaminated
 from tests.conftest import SF001
 from tests.llm import brute
 
@@ -67,3 +68,32 @@ def test_every_stretch_that_qualifies_is_seen_on_a_diagonal():
         fits = [(a, e) for a in range(len(y)) for e in range(a + least, len(y) + 1) if 10 * same[a:e].sum() >= 7 * (e - a)]
         got = best_overlap(x, y, 0)
         assert (got is not None) == bool(fits) and (got is None or got[:2] in fits and got[2] == same[got[0] : got[1]].sum())
+
+
+def test_masks_hit_every_pattern_that_the_rule_accepts():
+    for n in range(1, 26):
+        changed = n - -(-7 * n // 10)
+        patterns = np.array([(1 << n) - 1 - sum(1 << i for i in c) for c in itertools.combinations(range(n), changed)])
+        left = np.ones(len(patterns), bool)
+        for mask in SHORT_MASKS.get(n, MASKS):
+            for shift in range(n - len(mask) + 1):
+                bits = int(mask[::-1], 2) << shift
+                left &= patterns & bits != bits
+        assert not left.any(), n
+
+
+def test_substitutions_up_to_the_rule_and_short_items(spark):
+    rng = random.Random(8)
+    items, docs, expected = [], [], set()
+    for i in range(60):
+        n = rng.choice([3, 4, 5, 6, 9, 10, 12, 13, 13, 20, 40])
+        item = prose(rng, n)
+        places = range(3, n, 4) if n == 40 else rng.sample(range(n), n - -(-7 * n // 10))
+        items.append((i, " ".join(item)))
+        docs.append((i, " ".join(prose(rng, 30) + [f"new{k}" if k in places else w for k, w in enumerate(item)] + prose(rng, 30))))
+        expected.add((i, i))
+        if n < 13:  # a substitution more than the rule has
+            places = rng.sample(range(n), n - -(-7 * n // 10) + 1)
+            docs.append((1000 + i, " ".join(prose(rng, 30) + [f"new{k}" if k in places else w for k, w in enumerate(item)] + prose(rng, 30))))
+    found = contaminated(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    assert {(r["doc_id"], r["item_id"]) for r in found.collect()} == expected
