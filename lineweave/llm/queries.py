@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from lineweave.llm.decontaminate import op6_decontaminate
+from lineweave.llm.fill_middle import OP13_SQL, op13_fill_middle
 from lineweave.llm.fingerprint import op2_fingerprint
 from lineweave.llm.license_scan import op4_license_scan
 from lineweave.llm.near_dedup import op3_near_dedup
 from lineweave.llm.packing import op8_pack
+from lineweave.llm.periodic_runs import op12_periodic_runs
 from lineweave.llm.quality import op10_quality
 from lineweave.llm.substring_dedup import op7_substring_dedup
 from lineweave.llm.token_output import op5_token_ids
@@ -24,9 +26,12 @@ QUERIES = {
     "op8_pack": op8_pack,
     "op9_warc": op9_warc,
     "op10_quality": op10_quality,
+    "op12_periodic_runs": op12_periodic_runs,
+    "op13_fill_middle": op13_fill_middle,
 }
 
 SQL: dict[str, str] = {
+    "op13_fill_middle": OP13_SQL,
     "op9_warc": """
         WITH p AS (SELECT page_id, coalesce(html, '') AS html, strlen(coalesce(html, '')) AS n, sha1(coalesce(html, '')) AS d FROM pages),
         m AS (SELECT d, max(page_id) AS top FROM p WHERE n >= 1000 GROUP BY d)
