@@ -31,6 +31,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import combinations
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -79,11 +80,12 @@ def subset_sizes(n: int, most: int, percent: int) -> list[tuple[int, int]]:
 @lru_cache(maxsize=None)
 def _left_out(n: int, o: int) -> np.ndarray:
     """The members that each subset of size ``o`` leaves out, one row a subset."""
-    return np.array(list(combinations(range(n), n - o)), np.int64).reshape(-1, n - o)
+    rows = list(combinations(range(n), n - o))
+    return np.array(rows, np.int64).reshape(len(rows), n - o)
 
 
 def light_rows(n: int, most: int, percent: int) -> int:
-    return sum(len(_left_out(n, o)) for _, o in subset_sizes(n, most, percent))
+    return sum(comb(n, o) for _, o in subset_sizes(n, most, percent))
 
 
 def boundary(histogram: dict[int, int], members: int, scan: float, percent: int) -> int:
@@ -400,9 +402,9 @@ def op11_jaccard_join(spark, sf_dir: str) -> DataFrame:
 def components_sql(percent: int) -> str:
     """DuckDB SQL: doc_id, n_shingles and component_id of ``documents``, all pairs with a shingle in common compared."""
     return f"""
-    WITH RECURSIVE w AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), x -> x <> '') AS ws FROM documents),
+    WITH RECURSIVE w AS (SELECT doc_id, [x FOR x IN regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+') IF x <> ''] AS ws FROM documents),
     s AS (SELECT doc_id, unnest(list_distinct(CASE WHEN len(ws) < {SHINGLE} THEN [array_to_string(ws, ' ')]
-                 ELSE list_transform(range(1, len(ws) - {SHINGLE - 2}), i -> array_to_string(ws[i:i + {SHINGLE - 1}], ' ')) END)) AS shingle FROM w WHERE len(ws) > 0),
+                 ELSE [array_to_string(ws[i:i + {SHINGLE - 1}], ' ') FOR i IN range(1, len(ws) - {SHINGLE - 2})] END)) AS shingle FROM w WHERE len(ws) > 0),
     n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
     l AS (SELECT x.doc_id AS a, y.doc_id AS b FROM s x JOIN s y ON x.shingle = y.shingle AND x.doc_id <> y.doc_id
           JOIN n p ON p.doc_id = x.doc_id JOIN n q ON q.doc_id = y.doc_id

@@ -7,6 +7,7 @@ from lineweave.llm.fill_middle import OP13_SQL, op13_fill_middle
 from lineweave.llm.fingerprint import op2_fingerprint
 from lineweave.llm.license_scan import op4_license_scan
 from lineweave.llm.near_dedup import op3_near_dedup
+from lineweave.llm.ngram_join import OP11_SQL, components_sql, op11_jaccard_join
 from lineweave.llm.packing import op8_pack
 from lineweave.llm.periodic_runs import op12_periodic_runs
 from lineweave.llm.quality import op10_quality
@@ -26,11 +27,14 @@ QUERIES = {
     "op8_pack": op8_pack,
     "op9_warc": op9_warc,
     "op10_quality": op10_quality,
+    "op11_jaccard_join": op11_jaccard_join,
     "op12_periodic_runs": op12_periodic_runs,
     "op13_fill_middle": op13_fill_middle,
 }
 
 SQL: dict[str, str] = {
+    "op3_near_dedup": f"SELECT *, doc_id = component_id AS kept FROM ({components_sql(85)})",
+    "op11_jaccard_join": OP11_SQL,
     "op13_fill_middle": OP13_SQL,
     "op9_warc": """
         WITH p AS (SELECT page_id, coalesce(html, '') AS html, strlen(coalesce(html, '')) AS n, sha1(coalesce(html, '')) AS d FROM pages),
