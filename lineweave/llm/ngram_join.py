@@ -14,8 +14,8 @@ at an overlap of ``needed(a, b) = ceil(percent * (a + b) / (100 + percent))`` or
 * **The boundary** between them is the one of least cost: rows of subsets against rows listed and scanned (times the
   mean length of a list) and members to verify, from the histogram of set sizes.
 
-No list is expanded to all pairs. Every node is first compared with the two pivots (least holder of a listed shingle)
-that it meets most often. Then, in lists that still hold several components, the members outside the list's largest
+No list is expanded to all pairs. Every node is first compared with the two pivots that it meets most often
+(of every list: the holder with the fewest rarer shingles). Then, in lists that still hold several components, the members outside the list's largest
 component are compared with those of other components; two members of different components can't both belong to the
 largest, so no link between components is lost, while the many members of a group of near copies aren't paired.
 A pair must share as many of the first shingles as its overlap implies before full sets are compared.
@@ -41,6 +41,7 @@ from pyspark.sql import functions as F
 from lineweave.llm import textops as T
 from lineweave.llm.components import connected_components
 from lineweave.llm.tables import HashFilter, cut, prepare, read_table
+from lineweave.llm.touched import filtered, key_filter, row_key
 
 SHINGLE, PERCENT = 5, 80
 #: Largest boundary that is considered: the subsets of larger sets outgrow any list.
@@ -131,7 +132,7 @@ class _Sets:
 
 
 def _classify(batch: pa.RecordBatch, texts: list[bytes]) -> pa.RecordBatch:
-    """doc_id, node, n, and the members of sets that are small or in the sample."""
+    """doc_id, key, node, n, and the members of sets that are small or in the sample."""
     sets = _Sets(texts)
     node: list[bytes | None] = [None] * len(texts)
     few: list[bytes | None] = [None] * len(texts)
@@ -141,7 +142,9 @@ def _classify(batch: pa.RecordBatch, texts: list[bytes]) -> pa.RecordBatch:
             node[row] = sets.nodes[i]
             if shown[i]:
                 few[row] = sets.members(i).tobytes()
-    return pa.RecordBatch.from_arrays([batch.column(0), pa.array(node, pa.binary()), pa.array(sets.sizes, pa.int64()), pa.array(few, pa.binary())], names=["doc_id", "node", "n", "few"])
+    return pa.RecordBatch.from_arrays(
+        [batch.column(0), batch.column(1), pa.array(node, pa.binary()), pa.array(sets.sizes, pa.int64()), pa.array(few, pa.binary())], names=["doc_id", "key", "node", "n", "few"]
+    )
 
 
 def _longs(name: str):
@@ -156,9 +159,12 @@ def _longs(name: str):
 
 
 def _sized_filter(table: DataFrame, column: str) -> HashFilter:
-    """A bitmap of sixteen bits a row, 8 MB at most."""
-    rows = max(1, table.count())
-    return HashFilter.of(table, column, bits=min(26, max(16, rows.bit_length() + 4)))
+    return HashFilter.of(table, column, bits=filter_bits(table.count()))
+
+
+def filter_bits(rows: int) -> int:
+    """Size of a bitmap (as a power of two) of sixteen bits a row or more, 8 MB at most."""
+    return min(26, max(16, rows.bit_length() + 4))
 
 
 def _levels(few: DataFrame) -> tuple[list[HashFilter], float]:
@@ -191,7 +197,8 @@ def _firsts(levels: list[HashFilter], most: int, percent: int):
 
 
 def _postings(shared: HashFilter, percent: int):
-    """(key, node, n, is_listed) of the shingles that other nodes have among their first ones too."""
+    """(key, node, n, is_listed, place, rank) of the shingles that other nodes have among their first ones too:
+    the place among all first shingles and among those that are given here."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -203,12 +210,26 @@ def _postings(shared: HashFilter, percent: int):
             place = np.arange(len(keys)) - np.repeat(np.cumsum(size) - size, size)
             n = batch.column(1).to_numpy()[row]
             at = np.flatnonzero(shared.maybe(keys))
-            taken = pa.array(row[at])
-            yield pa.RecordBatch.from_arrays([pa.array(T.signed(keys[at])), batch.column(0).take(taken), pa.array(n[at]), pa.array((place < listed(n, percent))[at])], names=["key", "node", "n", "is_listed"])
+            own = row[at]
+            rank = np.arange(len(at)) - np.searchsorted(own, own)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(T.signed(keys[at])), batch.column(0).take(pa.array(own)), pa.array(n[at]), pa.array((place < listed(n, percent))[at]), pa.array(place[at].astype(np.int32)), pa.array(rank.astype(np.int32))],
+                names=["key", "node", "n", "is_listed", "place", "rank"],
+            )
 
     return run
 
 
+_POSTING = "key long, node binary, n long, is_listed boolean, place int, rank int"
+
+
+def _may_overlap(most: int, percent: int) -> str:
+    """Condition on two members of a list (n, place, rank and m, place_, rank_), not both light: their sizes fit, and
+    what both have before the shingle (given in both lists) and behind it can reach the needed overlap."""
+    enough = f"least(rank, rank_) + 1 + least(n - place - 1, m - place_ - 1) >= ({percent} * (n + m) + {99 + percent}) div {100 + percent}"
+    return f"greatest(n, m) > {most} and 100 * least(n, m) >= {percent} * greatest(n, m) and {enough}"
+
+
 def _subsets(most: int, percent: int):
     """(x, y, is_small, is_large, node): the subsets of light sets under 128 bits of them and of the two sizes."""
     c = T.constants(4, 1301)
@@ -222,7 +243,7 @@ def _subsets(most: int, percent: int):
                 members = np.frombuffer(b"".join(sets[i] for i in at), T.U64).reshape(len(at), n)
                 for b, o in subset_sizes(int(n), most, percent):
                     left = _left_out(int(n), o)
-                    pair = T.U64(min(n, b)) * c[2] + T.U64(max(n, b)) * c[3]
+                    pair = (np.array(sorted((n, b)), T.U64) * c[2:]).sum(dtype=T.U64)
                     both = []
                     for factor in c[:2]:
                         mixed = T.mix(members * factor)
@@ -266,17 +287,10 @@ def _may_link(most: int, percent: int):
     return run
 
 
-def _sets_of(wanted: HashFilter):
-    """(node, members) of the documents whose node passes the filter."""
-
-    def work(batch: pa.RecordBatch, texts: list[bytes]) -> pa.RecordBatch | None:
-        sets = _Sets(texts)
-        hit = np.flatnonzero(wanted.maybe(_head(sets.nodes))) if sets.nodes else []
-        if not len(hit):
-            return None
-        return pa.RecordBatch.from_arrays([pa.array([sets.nodes[i] for i in hit], pa.binary()), T.binary_column(sets.members(i) for i in hit)], names=["node", "members"])
-
-    return T.map_slices("text", work)
+def _sets_of(batch: pa.RecordBatch, texts: list[bytes]) -> pa.RecordBatch:
+    """(node, members) of documents."""
+    sets = _Sets(texts)
+    return pa.RecordBatch.from_arrays([pa.array(sets.nodes, pa.binary()), T.binary_column(sets.members(i) for i in range(len(sets.nodes)))], names=["node", "members"])
 
 
 def _overlapping(percent: int):
@@ -301,11 +315,12 @@ def _with_sides(pairs: DataFrame, table: DataFrame, columns: dict[str, str]) ->
     return pairs
 
 
-def _linked(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
-    """The pairs whose full sets are linked; one more pass over the texts for the sets."""
-    ends = cut(pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct(), "join-wanted")
-    wanted = _sized_filter(ends.select(F.expr(_HEAD).alias("h")), "h")
-    sets = docs.select("text").mapInArrow(_sets_of(wanted), "node binary, members binary").join(ends, "node", "left_semi")
+def _linked(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose full sets are linked; the sets come from one text of each node."""
+    ends = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
+    ends = cut(ends.join(nodes.select("node", "key"), "node"), "join-wanted")
+    texts = filtered(docs.select("key", "text"), "key", key_filter(ends, "key", filter_bits(ends.count())), True)
+    sets = texts.mapInArrow(T.map_slices("text", _sets_of), "node binary, members binary").join(ends, "node", "left_semi")
     sets = cut(sets.groupBy("node").agg(F.first("members").alias("members")), "join-sets")
     both = _with_sides(pairs, sets, {"members": "s"}).select("a", "b", "s_a", "s_b")
     return cut(both.mapInArrow(_overlapping(percent), "a binary, b binary"), "join-links")
@@ -313,9 +328,11 @@ def _linked(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
 
 def _pivot_pairs(postings: DataFrame, most: int, percent: int) -> DataFrame:
     """Every node with the pivots that it meets in the most lists."""
-    pivot = cut(postings.where("is_listed").groupBy("key").agg(F.min(F.struct("n", "node")).alias("pivot")), "join-pivots")
-    met = postings.join(pivot, "key").select("node", "n", F.col("pivot.node").alias("other"), F.col("pivot.n").alias("m"))
-    met = met.where(f"node <> other and greatest(n, m) > {most} and 100 * least(n, m) >= {percent} * greatest(n, m)")
+    # The holder with the fewest rarer shingles stands in the middle of a group of near copies.
+    least = F.min(F.struct("place", "n", "node", "rank")).alias("pivot")
+    pivot = cut(postings.where("is_listed").groupBy("key").agg(least), "join-pivots")
+    pivot = pivot.select("key", F.col("pivot.node").alias("other"), F.col("pivot.n").alias("m"), F.col("pivot.place").alias("place_"), F.col("pivot.rank").alias("rank_"))
+    met = postings.join(pivot, "key").where(f"node <> other and {_may_overlap(most, percent)}")
     often = met.groupBy("node", "other").agg(F.count("*").alias("c"))
     place = F.row_number().over(Window.partitionBy("node").orderBy(F.desc("c"), "other"))
     best = often.select("node", "other", place.alias("place")).where(f"place <= {PIVOTS}")
@@ -330,8 +347,8 @@ def _open_pairs(postings: DataFrame, roots: DataFrame, tested: DataFrame, most:
     lists = sizes.groupBy("key").agg(F.max(F.struct("size", "root")).alias("main"), F.count("*").alias("roots"), F.max("is_listed").alias("is_listed"))
     lists = cut(lists.where("roots > 1 and is_listed").select("key", F.col("main.root").alias("main")), "join-open")
     left = cut(placed.join(lists, "key").drop("is_listed"), "join-members")
-    minor = left.where("root <> main").select("key", F.col("node").alias("other"), F.col("n").alias("m"), F.col("root").alias("own"))
-    met = left.join(minor, "key").where(f"root <> own and greatest(n, m) > {most} and 100 * least(n, m) >= {percent} * greatest(n, m)")
+    minor = left.where("root <> main").select("key", F.col("node").alias("other"), F.col("n").alias("m"), F.col("root").alias("own"), F.col("place").alias("place_"), F.col("rank").alias("rank_"))
+    met = left.join(minor, "key").where(f"root <> own and {_may_overlap(most, percent)}")
     # Two members outside the largest component meet twice, once from either side.
     met = met.where("root = main or node < other")
     pairs = met.groupBy(F.greatest("node", "other").alias("a"), F.least("node", "other").alias("b")).agg(F.min(F.least("n", "m")).alias("n"), F.max(F.greatest("n", "m")).alias("m"), F.count("*").alias("c"))
@@ -362,9 +379,10 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): doc_id, n_shingles, component_id (the smallest doc_id reachable
     over links, itself included)."""
     prepare(docs.sparkSession)
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    rows = cut(docs.mapInArrow(T.map_slices("text", _classify), "doc_id long, node binary, n long, few binary"), "join-rows")
-    nodes = cut(rows.where("node is not null").groupBy("node").agg(F.first("n").alias("n"), F.min("doc_id").alias("low")), "join-nodes")
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), row_key().alias("key"), F.col("text").cast("string").alias("text"))
+    rows = cut(docs.mapInArrow(T.map_slices("text", _classify), "doc_id long, key long, node binary, n long, few binary"), "join-rows")
+    # ``key`` names one of a node's texts.
+    nodes = cut(rows.where("node is not null").groupBy("node").agg(F.first("n").alias("n"), F.min("doc_id").alias("low"), F.min("key").alias("key")), "join-nodes")
     few = cut(rows.where("few is not null").groupBy("node").agg(F.first("few").alias("few")), "join-few")
     levels, scan = _levels(few)
     top = 100 * LIGHT_MOST // percent + 1
@@ -375,16 +393,16 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     firsts = cut(firsts.groupBy("node").agg(F.first("n").alias("n"), F.first("keys").alias("keys")), "join-firsts")
     shared = firsts.select("keys").mapInArrow(_longs("key"), "key long").groupBy("key").agg(F.count("*").alias("c")).where("c > 1")
     shared = _sized_filter(cut(shared.select("key"), "join-shared"), "key")
-    postings = cut(firsts.select("node", "n", "keys").mapInArrow(_postings(shared, percent), "key long, node binary, n long, is_listed boolean"), "join-postings")
+    postings = cut(firsts.select("node", "n", "keys").mapInArrow(_postings(shared, percent), _POSTING), "join-postings")
 
     met = cut(_pivot_pairs(postings, most, percent), "join-pairs")
     likely = _with_sides(met, firsts, {"n": "n", "keys": "k"}).select("a", "b", "n_a", "n_b", "k_a", "k_b")
     likely = cut(likely.mapInArrow(_may_link(most, percent), "a binary, b binary"), "join-likely")
-    links = _linked(likely, docs, percent).union(_light_links(few, most, percent))
+    links = _linked(likely, docs, nodes, percent).union(_light_links(few, most, percent))
     roots = cut(connected_components(links), "join-roots")
     more = cut(_open_pairs(postings, roots, met, most, percent), "join-pairs")
     if not more.isEmpty():
-        found = _linked(more, docs, percent)
+        found = _linked(more, docs, nodes, percent)
         if not found.isEmpty():
             roots = _relabelled(roots, found)
 
@@ -392,7 +410,7 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     lowest = cut(placed.groupBy("root").agg(F.min("low").alias("component_id")), "join-lowest")
     by_node = cut(placed.join(lowest, "root").select("node", "component_id"), "join-classes")
     component = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return rows.drop("few").join(by_node, "node", "left").select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"))
+    return rows.drop("few", "key").join(by_node, "node", "left").select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"))
 
 
 def op11_jaccard_join(spark, sf_dir: str) -> DataFrame:
