@@ -17,15 +17,14 @@ from lineweave.operators import (
     attach_coordinate_variants,
     attach_coordinates,
     bridge_missing_coordinates,
-    carry_forward_route,
     clean_locations,
     collect_trip_stations,
     dedupe_coordinates,
-    dedupe_hop_stations,
     exact_trip_distance,
     expand_hop_stations,
     explode_hops,
     first_station_per_line,
+    fold_hops,
     keep_first,
     leg_stations,
     prepare_trips,
@@ -35,7 +34,7 @@ from lineweave.operators import (
     trip_distance,
     trip_identity,
 )
-from lineweave.plans import build_line_net, hop_legs, prepare_dims, unresolved_hops
+from lineweave.plans import build_line_net, hop_legs, line_net_frame, prepare_dims, unresolved_hops
 from lineweave.plans.naive import build_line_net_naive
 from lineweave.session import shared_dir
 from lineweave.sources import (
@@ -59,9 +58,8 @@ def _dims(spark, d, gap=0):
 
 
 def _hops(spark, d, dedupe=True):
-    t = prepare_trips(trip_scan(fx.grid_trips(spark, d)), fx.GRID_KEY).repartition("trip_id")
-    h = carry_forward_route(explode_hops(t))
-    return dedupe_hop_stations(h) if dedupe else h
+    t = prepare_trips(trip_scan(fx.grid_trips(spark, d)), fx.GRID_KEY)
+    return fold_hops(t, dedupe=dedupe)
 
 
 def _legs(spark, d, gap=0):
@@ -71,7 +69,7 @@ def _legs(spark, d, gap=0):
 
 def _leg_stations(spark, d, gap=0):
     dims, legs = _legs(spark, d, gap)
-    return leg_stations(legs, dims.profile)
+    return leg_stations(legs, dims.lines)
 
 
 def q_trip_scan(spark, d):
@@ -199,6 +197,13 @@ def q_unresolved_hops(spark, d):
     )
 
 
+def q_line_net_frame(spark, d):
+    return line_net_frame(
+        fx.grid_trips(spark, d, broken=True), fx.grid_line_stations(spark, d), fx.grid_locations(spark, d, 17),
+        gap_mode="exact", key_cols=fx.GRID_KEY,
+    )
+
+
 def q_dedupe_lineitem_keys(spark, d):
     li = spark.read.parquet(f"{d}/lineitem.parquet").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_returnflag"
@@ -265,6 +270,7 @@ QUERIES: dict[str, Query] = {
     "line_net_exact": q_line_net_exact,
     "line_net_naive": q_line_net_naive,
     "unresolved_hops": q_unresolved_hops,
+    "line_net_frame": q_line_net_frame,
     "first_station_per_line": q_first_station_per_line,
     "dedupe_lineitem_keys": q_dedupe_lineitem_keys,
     "dedupe_coordinates": q_dedupe_coordinates,

@@ -243,6 +243,22 @@ SELECT t.trip_id AS uuid, t.line_name AS from_route_name, t.stage_id AS from_sta
 FROM legst s JOIN trips t ON t.trip_id = s.trip_id JOIN {dist} d ON d.trip_id = s.trip_id"""
 
 
+REJECTS = """
+SELECT trip_id, hop, route, station, code, reason FROM (
+  SELECT lb.trip_id, lb.hop, lb.route, lb.station, lb.code,
+    CASE WHEN lb.route IS NULL THEN 'first hop has no line'
+         WHEN lb.station IS NULL THEN 'hop has no station'
+         WHEN lb.route NOT IN (SELECT route FROM lsd) THEN 'unknown line'
+         WHEN lb.o_num IS NULL THEN 'station not on its line'
+         WHEN NOT lb.is_last AND lb.d_num IS NULL THEN 'next station not on this line'
+    END AS reason
+  FROM lb) x
+WHERE reason IS NOT NULL
+UNION ALL
+SELECT trip_id, CAST(NULL AS INTEGER), CAST(NULL AS VARCHAR), CAST(NULL AS VARCHAR), CAST(NULL AS VARCHAR), 'malformed plan'
+FROM trips WHERE o_orderkey % 50 IN (29, 31)"""
+
+
 # ---------------------------------------------------------------- other fixtures
 
 
@@ -357,22 +373,15 @@ def oracles() -> dict[str, str]:
     q["line_net_result"] = with_grid(RESULT_SELECT.format(dist="dist_bridge"))
     q["line_net_exact"] = with_grid(RESULT_SELECT.format(dist="dist_exact"), gap=17)
     q["line_net_naive"] = q["line_net_exact"]
-    q["unresolved_hops"] = with_grid(
-        """
-SELECT trip_id, hop, route, station, reason FROM (
-  SELECT lb.trip_id, lb.hop, lb.route, lb.station,
-    CASE WHEN lb.route IS NULL THEN 'first hop has no line'
-         WHEN lb.station IS NULL THEN 'hop has no station'
-         WHEN lb.route NOT IN (SELECT route FROM lsd) THEN 'unknown line'
-         WHEN lb.o_num IS NULL THEN 'station not on its line'
-         WHEN NOT lb.is_last AND lb.d_num IS NULL THEN 'next station not on this line'
-    END AS reason
-  FROM lb) x
-WHERE reason IS NOT NULL
+    q["unresolved_hops"] = with_grid(f"SELECT trip_id, hop, route, station, reason FROM ({REJECTS}) r", broken=True)
+    q["line_net_frame"] = with_grid(
+        f"""
+SELECT *, CAST(NULL AS VARCHAR) AS reason, 'result' AS kind FROM ({RESULT_SELECT.format(dist="dist_exact")}) r
 UNION ALL
-SELECT trip_id, CAST(NULL AS INTEGER), CAST(NULL AS VARCHAR), CAST(NULL AS VARCHAR), 'malformed plan'
-FROM trips WHERE o_orderkey % 50 IN (29, 31)""",
-        broken=True,
+SELECT t.trip_id, t.line_name, t.stage_id, t.stage_name, t.end_line_name, t.end_stage_id, t.end_stage_name, NULL,
+       t.count, t.price, t.spend_time, r.code, r.hop, r.route, r.station, NULL, NULL, NULL, NULL, r.reason, 'reject'
+FROM ({REJECTS}) r JOIN trips t ON t.trip_id = r.trip_id""",
+        gap=17, broken=True,
     )
     q["first_station_per_line"] = (
         f"WITH {pages_ctes()} SELECT route, station, min(num) AS num FROM pclean"
@@ -397,7 +406,7 @@ FROM g LEFT JOIN lp ON lp.route_name = g.route_name AND lp.station_name = g.stat
         f"""SELECT stage_name, {trip_json_sql()} AS lines_result,
   CAST(sum(CASE WHEN o_orderkey % 2 = 0 THEN 2 ELSE 1 END) AS BIGINT) AS n_trips,
   CAST(sum(CASE WHEN o_orderkey % 2 = 0 THEN 2 ELSE 1 END) AS BIGINT) AS n_ids
-FROM trips WHERE o_orderkey % 50 < 25 GROUP BY ALL""",
+FROM trips GROUP BY ALL""",
         legs=False,
     )
     q["coordinate_variants"] = f"""WITH {customer_locations_ctes(True)},

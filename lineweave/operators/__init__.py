@@ -21,6 +21,7 @@ from lineweave.operators.distance import (
     with_exact_distance,
     with_trip_distance,
 )
+from lineweave.operators.fold import fold_hops
 from lineweave.operators.hops import (
     carry_forward_route,
     dedupe_hop_stations,
@@ -31,7 +32,9 @@ from lineweave.operators.hops import (
 from lineweave.operators.legs import (
     expand_hop_stations,
     leg_destinations,
+    leg_slices,
     leg_stations,
+    line_arrays,
     resolved_legs,
     transfer_stations,
 )
@@ -52,8 +55,11 @@ __all__ = [
     "first_station_per_line",
     "keep_first",
     "leg_destinations",
+    "fold_hops",
     "leg_distance",
+    "leg_slices",
     "leg_stations",
+    "line_arrays",
     "line_profile",
     "prepare_trips",
     "resolved_legs",

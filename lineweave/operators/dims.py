@@ -117,6 +117,8 @@ def line_profile(line_index: DataFrame, locations: DataFrame) -> DataFrame:
     * ``prev_loc_num``: position of that last located station.
     * ``cum_m``: running sum of ``seg_m`` up to this station.
     * ``next_cum_m``: ``cum_m`` at the first located station at or after this one.
+    * ``idx``: dense place on the line; ``idx_first`` / ``idx_last``: those of the first and last station
+      that share the position.
 
     With gaps bridged inside a leg, the leg lo..hi measures ``max(0, cum_m[hi] - next_cum_m[lo])``.
     Windows here run over the small dimension only, all with running frames (what lies ahead is the
@@ -168,4 +170,6 @@ def line_profile(line_index: DataFrame, locations: DataFrame) -> DataFrame:
             ).over(ahead),
         }
     )
+    same = Window.partitionBy("route", "num")
+    prof = prof.withColumns({"idx_first": F.min("idx").over(same), "idx_last": F.max("idx").over(same)})
     return prof.drop("_last", "_next_pt", "_next_num")

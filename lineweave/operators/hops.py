@@ -12,6 +12,8 @@ from lineweave.functions.text import is_json_array
 from lineweave.schemas import HOP_SCHEMA, TRIP_COLUMNS, TRIP_NAME_COLUMNS
 
 TRIP_ATTRS = [n for n, _ in TRIP_COLUMNS if n != "lines_result"]
+#: Equal rows that one task numbers at once.
+COPIES = 4096
 _KEY_SEP = "\u0001"
 _NULL_MARK = "\u0000"
 
@@ -28,17 +30,29 @@ def trip_identity(df: DataFrame, key_cols: Sequence[str] | None = None, out: str
     ``key_cols``: a natural key, unique per trip (the job sets rows that share one aside, see
     :func:`mark_shared_ids`). Without it, ``trip_pos`` (file + row
     index, see :func:`lineweave.sources.read_trips`) joins the plan columns when present, which
-    needs no shuffle; otherwise identical rows are counted (with partial sums, so a plan that fills a
-    third of the rows is no single task) and numbered, one trip per row.
+    needs no shuffle; otherwise identical rows are counted with partial sums and numbered, one trip per
+    row. Numbers are dealt out in blocks of ``COPIES``: the blocks of a plan that fills a third of the rows
+    are spread over all tasks before they become rows.
     """
     if key_cols is not None:
         return df.withColumn(out, identity_hash(key_cols))
     plan = [n for n, _ in TRIP_COLUMNS if n in df.columns]
     if "trip_pos" in df.columns:
         return df.withColumn(out, identity_hash([*plan, "trip_pos"]))
+    return _numbered(df).withColumn(out, identity_hash([*plan, "_copy"])).drop("_copy")
+
+
+def _numbered(df: DataFrame) -> DataFrame:
+    """The rows of ``df`` with ``_copy``, a number from 1 among equal rows."""
     copies = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_copies"))
-    numbered = copies.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int"))))
-    return numbered.withColumn(out, identity_hash([*plan, "_copy"])).drop("_copies", "_copy")
+    few = copies.where(F.col("_copies") <= COPIES).select(*df.columns, F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies"))).alias("_copy"))
+    many = copies.where(F.col("_copies") > COPIES)
+    blocks = many.withColumn("_block", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(_copies - 1) div {COPIES}"))))
+    # A number of partitions is named, or adaptive execution would put the (few, small) blocks into one task.
+    blocks = blocks.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), F.xxhash64(*df.columns, "_block"))
+    first = F.col("_block") * COPIES
+    numbers = F.sequence(first + 1, F.least(first + COPIES, F.col("_copies")))
+    return few.unionByName(blocks.select(*df.columns, F.explode(numbers).alias("_copy")))
 
 
 def mark_shared_ids(trips: DataFrame) -> DataFrame:

@@ -1,17 +1,22 @@
 """Legs: from hop rows to the stations each leg passes.
 
 A leg i runs from hop i's station to hop i+1's station on hop i's line. Bounds are looked up
-first and only the stations between them are generated, so a hop is never expanded to its
-whole line and the last hop is never expanded at all.
+first and only the stations between them are taken from the line's array, so a hop is never expanded to
+its whole line and the last hop is never expanded at all.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lineweave.operators.hops import trip_window
 
+#: Stations of a line that make one row of :func:`line_arrays`.
+LINE_PART = 1024
+
 
 def expand_hop_stations(hops: DataFrame, line_stations: DataFrame) -> DataFrame:
     """Every station of each hop's line (left join on route), one row per (trip, hop, station).
@@ -32,15 +37,15 @@ def transfer_stations(expanded: DataFrame) -> DataFrame:
 def leg_destinations(hops: DataFrame, line_index: DataFrame) -> DataFrame:
     """Hop rows with the leg bounds looked up on the hop's line.
 
-    Adds ``next_station`` / ``is_last`` (lead over hop order), ``o_*`` (the hop's own station on
+    Adds ``next_station`` / ``is_last`` (lead over hop order; :func:`fold_hops` brings them along), ``o_*`` (the hop's own station on
     its line) and ``d_*`` (the next hop's station on this hop's line) from ``line_index`` (one
     row per (route, station), optionally with prefix-sum columns), ``lo``/``hi`` (direction
     normalised) and ``bad`` (the hop cannot be resolved; its trip is set aside).
     """
-    w = trip_window()
-    legs = hops.withColumns(
-        {"next_station": F.lead("station").over(w), "is_last": F.lead("hop").over(w).isNull()}
-    )
+    legs = hops
+    if "next_station" not in hops.columns:
+        w = trip_window()
+        legs = hops.withColumns({"next_station": F.lead("station").over(w), "is_last": F.lead("hop").over(w).isNull()})
     cols = [c for c in line_index.columns if c not in ("route", "station")]
     origin = line_index.select("route", "station", *[F.col(c).alias(f"o_{c}") for c in cols])
     dest = line_index.select(
@@ -70,13 +75,34 @@ def resolved_legs(legs: DataFrame) -> DataFrame:
     ).drop("_trip_bad")
 
 
-def leg_stations(legs: DataFrame, profile: DataFrame) -> DataFrame:
-    """Stations of every leg: positions lo..hi generated per leg, then an equi-join on
-    (route, num) against the line profile (broadcast). Interchange stations appear once per
-    adjoining leg (a bag, as each leg is complete)."""
-    gen = legs.withColumn("num", F.explode(F.sequence(F.col("lo"), F.col("hi"))))
-    prof = profile.select(
-        "route", "num", F.col("station").alias("sub_station"),
-        *[c for c in profile.columns if c not in ("route", "num", "station", "station_id")],
-    )
-    return gen.join(prof, ["route", "num"], "inner")
+def line_arrays(profile: DataFrame, fields: Sequence[str] | None = None, size: int = LINE_PART) -> DataFrame:
+    """route, part, stations: every line as arrays of up to ``size`` stations in line order (from the dense
+    ``idx`` of the profile), so that no row grows with a line. ``fields`` of a station; ``num`` and
+    ``sub_station`` are always there."""
+    fields = [c for c in profile.columns if c not in ("route", "station", "num", "idx", "idx_first", "idx_last")] if fields is None else fields
+    station = F.struct("idx", "num", F.col("station").alias("sub_station"), *fields)
+    parts = profile.groupBy("route", F.expr(f"idx div {size}").cast("int").alias("part")).agg(F.array_sort(F.collect_list(station)).alias("stations"))
+    bare = F.transform("stations", lambda x: F.struct(*[x[c].alias(c) for c in ("num", "sub_station", *fields)]))
+    return parts.select("route", "part", bare.alias("stations"))
+
+
+def leg_slices(legs: DataFrame, lines: DataFrame, size: int = LINE_PART, how: str = "inner") -> DataFrame:
+    """``legs`` with ``passed``, the stations between the bounds: a slice of the line's array, one row for
+    every part of the line that the leg touches (mostly one). The cost follows the stations passed,
+    whatever the numbers of their positions."""
+    o_low = F.col("o_num") <= F.col("d_num")
+    first = F.when(o_low, F.col("o_idx_first")).otherwise(F.col("d_idx_first"))
+    last = F.when(o_low, F.col("d_idx_last")).otherwise(F.col("o_idx_last"))
+    legs = legs.withColumns({"_first": first, "_last": last})
+    legs = legs.withColumn("part", F.explode_outer(F.expr(f"sequence(cast(_first div {size} as int), cast(_last div {size} as int))")))
+    begin = F.greatest(F.col("_first") - F.col("part") * size, F.lit(0))
+    end = F.least(F.col("_last") - F.col("part") * size, F.lit(size - 1))
+    met = legs.join(lines, ["route", "part"], how)
+    return met.withColumn("passed", F.slice("stations", begin + 1, end - begin + 1)).drop("_first", "_last", "part", "stations")
+
+
+def leg_stations(legs: DataFrame, lines: DataFrame, size: int = LINE_PART) -> DataFrame:
+    """Stations of every leg, from :func:`line_arrays`. Interchange stations appear once per adjoining leg
+    (a bag, as each leg is complete)."""
+    met = leg_slices(legs, lines, size)
+    return met.select(*[c for c in met.columns if c != "passed"], F.inline("passed"))

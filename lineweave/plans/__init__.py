@@ -5,10 +5,13 @@ from lineweave.plans.linenet import (
     LineNetDims,
     build_line_net,
     hop_legs,
+    line_net_frame,
     prepare_dims,
     project_result,
+    split_frame,
     unresolved_hops,
     write_line_net,
+    write_line_net_frame,
 )
 
 __all__ = [
@@ -16,8 +19,11 @@ __all__ = [
     "LineNetDims",
     "build_line_net",
     "hop_legs",
+    "line_net_frame",
     "prepare_dims",
     "project_result",
+    "split_frame",
     "unresolved_hops",
     "write_line_net",
+    "write_line_net_frame",
 ]

@@ -2,19 +2,20 @@
 
 Physical shape (see ``explain``): the trip rows are hash-partitioned once on ``trip_id`` (a
 unique, hence unskewed key) right after the scan, while they are still one row per trip; every
-later step (hop explode, carry-forward, dedupe, bound lookups, trip totals, station generation,
-exact fold) is partition-local: windows partition by the trip and the three dimension joins are
-size-checked broadcasts. Nothing is collected to the driver and no Python runs per row.
+later step is partition-local. Hops come complete out of a fold over the plan array, the bounds and the
+stations between them out of size-checked broadcasts, and windows partition by the trip for what concerns
+the whole trip (is every hop resolved, the total). Nothing is collected to the driver and no Python runs
+per row. Results and rejects can leave in one frame (:func:`line_net_frame`), so that the sink scans,
+shuffles and computes once.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
-from lineweave.functions.text import is_json_array
 from lineweave.operators.dims import (
     clean_line_stations,
     clean_locations,
@@ -24,16 +25,10 @@ from lineweave.operators.dims import (
     shuffled_beyond,
 )
 from lineweave.operators.distance import leg_distance, with_exact_leg_distance, with_trip_distance
-from lineweave.operators.hops import (
-    carry_forward_route,
-    clean_trip_names,
-    dedupe_hop_stations,
-    explode_hops,
-    mark_shared_ids,
-    trip_identity,
-)
-from lineweave.operators.legs import leg_destinations, leg_stations, resolved_legs
-from lineweave.schemas import HOP_SCHEMA
+from lineweave.operators.fold import fold_hops
+from lineweave.operators.hops import clean_trip_names, mark_shared_ids, trip_identity
+from lineweave.operators.legs import leg_destinations, leg_slices, leg_stations, line_arrays, resolved_legs
+from lineweave.schemas import RESULT_COLUMNS
 from lineweave.sources.locations import location_scan
 from lineweave.sources.trips import trip_scan
 
@@ -45,6 +40,12 @@ class LineNetDims:
     index: DataFrame  # (route, station) -> num, prefix sums
     profile: DataFrame  # (route, num) -> station, coordinates, segment columns
     routes: DataFrame  # known routes
+    lines: DataFrame  # (route, part) -> stations with coordinates and segment columns
+
+    def bare_lines(self) -> DataFrame:
+        """``lines`` with the columns that the result shows only."""
+        shown = ("num", "sub_station", "longitude", "latitude")
+        return self.lines.withColumn("stations", F.transform("stations", lambda x: F.struct(*[x[c].alias(c) for c in shown])))
 
 
 def prepare_dims(line_stations: DataFrame, locations: DataFrame, extra_aliases=None,
@@ -57,13 +58,15 @@ def prepare_dims(line_stations: DataFrame, locations: DataFrame, extra_aliases=N
     prof = shuffled_beyond(materialized(line_profile(idx, locs), "line-profile"), max_broadcast_rows)
     index = prof.select(
         "route", "station", "num", "cum_m", "next_cum_m",
-        "idx", "pt", "prev_loc_num", "prev_loc_pt", "next_loc", "next_loc_after", "pair",
+        "idx", "idx_first", "idx_last", "pt", "prev_loc_num", "prev_loc_pt", "next_loc", "next_loc_after", "pair",
     )
     profile = prof.select(
         "route", "num", "station", "longitude", "latitude", "pt", "prev_pt", "prev_loc_num", "seg_m"
     )
     routes = prof.select("route").distinct()
-    return LineNetDims(index, profile, materialized(routes, "line-routes"))
+    fields = ["longitude", "latitude", "pt", "prev_pt", "prev_loc_num", "seg_m"]
+    lines = shuffled_beyond(materialized(line_arrays(prof, fields), "line-arrays"), max_broadcast_rows)
+    return LineNetDims(index, profile, materialized(routes, "line-routes"), lines)
 
 
 def partitioned_trips(trips: DataFrame, key_cols=None, extra_aliases=None) -> DataFrame:
@@ -78,17 +81,20 @@ def partitioned_trips(trips: DataFrame, key_cols=None, extra_aliases=None) -> Da
 
 
 def hop_legs(trips: DataFrame, dims: LineNetDims, key_cols=None, extra_aliases=None,
-             prepared: DataFrame | None = None) -> DataFrame:
+             prepared: DataFrame | None = None, mark_malformed: bool = False) -> DataFrame:
     """Hop rows with bounds and the ``bad`` flag (all hops, last ones included)."""
     t = prepared if prepared is not None else partitioned_trips(trips, key_cols, extra_aliases)
-    hops = dedupe_hop_stations(carry_forward_route(explode_hops(t, extra_aliases=extra_aliases)))
-    legs = leg_destinations(hops, dims.index)
+    legs = leg_destinations(fold_hops(t, extra_aliases=extra_aliases, mark_malformed=mark_malformed), dims.index)
     return legs.withColumn("bad", F.col("bad") | F.col("_shared")) if "_shared" in legs.columns else legs
 
 
 def project_result(stations: DataFrame) -> DataFrame:
     """The 19 output columns (``dest_station_id`` is the destination's own id)."""
-    return stations.select(
+    return stations.select(*_result_columns())
+
+
+def _result_columns() -> list[Column]:
+    return [
         F.col("trip_id").alias("uuid"),
         F.col("line_name").alias("from_route_name"),
         F.col("stage_id").alias("from_station_id"),
@@ -96,19 +102,16 @@ def project_result(stations: DataFrame) -> DataFrame:
         F.col("end_line_name").alias("dest_route_name"),
         F.col("end_stage_id").alias("dest_station_id"),
         F.col("end_stage_name").alias("dest_station_name"),
-        "distance",
-        "count",
-        "price",
-        "spend_time",
+        *[F.col(c) for c in ("distance", "count", "price", "spend_time")],
         F.col("code").alias("transfer_code"),
         F.col("hop").alias("transfer_order"),
         F.col("route").alias("transfer_route_name"),
         F.col("station").alias("transfer_station_name"),
         F.col("num").alias("sub_station_num"),
         F.col("sub_station").alias("sub_station_name"),
-        "longitude",
-        "latitude",
-    )
+        F.col("longitude"),
+        F.col("latitude"),
+    ]
 
 
 def build_line_net(
@@ -137,7 +140,7 @@ def build_line_net(
         legs = with_trip_distance(leg_distance(legs))
     else:
         legs = with_exact_leg_distance(legs)
-    return project_result(leg_stations(legs, dims.profile))
+    return project_result(leg_stations(legs, dims.bare_lines()))
 
 
 def unresolved_hops(
@@ -159,17 +162,16 @@ def unresolved_hops(
                 [], "route_name string, station_name string, longitude double, latitude double"
             )
         dims = prepare_dims(line_stations, locations, extra_aliases, max_broadcast_rows)
-    t = partitioned_trips(trips, key_cols, extra_aliases)
-    # One frame for both kinds of rejects, so the trips are read and shuffled once: a malformed plan
-    # passes the hop generator as a plan of one element that only carries the mark.
-    text = F.col("lines_result")
-    malformed = ~is_json_array(text) | F.from_json(text, HOP_SCHEMA).isNull()
-    marked = t.withColumn("_malformed", malformed).withColumn("lines_result", F.when(malformed, F.lit("[{}]")).otherwise(text))
-    legs = hop_legs(marked, dims, key_cols, extra_aliases, prepared=marked)
+    legs = _with_reasons(hop_legs(trips, dims, key_cols, extra_aliases, mark_malformed=True), dims)
+    return legs.select("trip_id", "hop", "route", "station", "reason").filter(F.col("reason").isNotNull())
+
+
+def _with_reasons(legs: DataFrame, dims: LineNetDims) -> DataFrame:
+    """``reason``: why a hop (or, with a null hop, the plan) can't be resolved; null if it can."""
     known = dims.routes.select(F.col("route").alias("_known"))
     legs = legs.join(known, F.col("route") == F.col("_known"), "left")
     reason = (
-        F.when(F.col("_malformed"), F.lit("malformed plan"))
+        F.when(F.col("malformed"), F.lit("malformed plan"))
         .when(F.col("_shared") if "_shared" in legs.columns else F.lit(False), F.lit("key shared by several trips"))
         .when(F.col("route").isNull(), F.lit("first hop has no line"))
         .when(F.col("station").isNull(), F.lit("hop has no station"))
@@ -177,8 +179,74 @@ def unresolved_hops(
         .when(F.col("o_num").isNull(), F.lit("station not on its line"))
         .when(~F.col("is_last") & F.col("d_num").isNull(), F.lit("next station not on this line"))
     )
-    hop = F.when(~F.col("_malformed"), F.col("hop")).alias("hop")
-    return legs.select("trip_id", hop, "route", "station", reason.alias("reason")).filter(F.col("reason").isNotNull())
+    return legs.withColumn("reason", reason).drop("_known")
+
+
+RESULT, REJECT = "result", "reject"
+
+
+def line_net_frame(
+    trips: DataFrame,
+    line_stations: DataFrame | None,
+    locations: DataFrame | None,
+    gap_mode: str = "bridge",
+    key_cols=None,
+    extra_aliases=None,
+    max_broadcast_rows: int | None = None,
+    dims: LineNetDims | None = None,
+) -> DataFrame:
+    """Results and rejects of one pass over the trips: the 19 columns of :func:`build_line_net`, ``reason``
+    and ``kind`` (result or reject).
+
+    A reject has its trip in ``uuid``, its hop in ``transfer_order`` (null for a malformed plan), its line
+    and station in ``transfer_route_name`` and ``transfer_station_name``, and the trip's plan columns. One
+    generator makes both: the stations between a leg's bounds, or one empty station for a hop with a reason.
+    """
+    if gap_mode not in GAP_MODES:
+        raise ValueError(f"gap_mode must be one of {GAP_MODES}")
+    if dims is None:
+        dims = prepare_dims(line_stations, locations, extra_aliases, max_broadcast_rows)
+    hops = hop_legs(trips, dims, key_cols, extra_aliases, mark_malformed=True)
+    # A hop without a reason is resolved, so a trip is left out exactly if one of its hops has one.
+    legs = _with_reasons(hops, dims).withColumn("bad", F.col("reason").isNotNull())
+    trip_bad = F.max("bad").over(Window.partitionBy("trip_id"))
+    legs = legs.withColumn("_trip_bad", trip_bad).filter(F.col("bad") | (~F.col("_trip_bad") & ~F.col("is_last")))
+    legs = with_trip_distance(leg_distance(legs)) if gap_mode == "bridge" else with_exact_leg_distance(legs)
+    # Legs without bounds meet no part of a line; they keep one row.
+    legs = legs.withColumns({c: F.when(~F.col("bad"), F.col(c)) for c in ("o_num", "d_num", "distance")})
+    legs = legs.withColumns({f"{side}_idx_{edge}": F.when(~F.col("bad"), F.col(f"{side}_idx_{edge}")) for side in "od" for edge in ("first", "last")})
+    met = leg_slices(legs, dims.bare_lines(), how="left")
+    passed = F.when(F.col("bad"), F.array(F.lit(None).cast(met.schema["passed"].dataType.elementType))).otherwise(F.col("passed"))
+    stations = met.select(*[c for c in met.columns if c != "passed"], F.inline(passed))
+    kind = F.when(F.col("bad"), F.lit(REJECT)).otherwise(F.lit(RESULT))
+    columns = [*_result_columns(), F.col("reason"), kind.alias("kind")]
+    return stations.select(*columns)
+
+
+def split_frame(frame: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(results, rejects) of a frame, in the columns of :func:`build_line_net` and :func:`unresolved_hops`."""
+    rejects = frame.filter(F.col("kind") == REJECT).select(
+        F.col("uuid").alias("trip_id"),
+        F.col("transfer_order").alias("hop"),
+        F.col("transfer_route_name").alias("route"),
+        F.col("transfer_station_name").alias("station"),
+        "reason",
+    )
+    return frame.filter(F.col("kind") == RESULT).select(*RESULT_COLUMNS), rejects
+
+
+def write_line_net_frame(frame: DataFrame, path: str, mode: str = "errorifexists") -> dict[str, int]:
+    """The job's sink: one action writes the frame as Parquet under ``path``, a folder for each ``kind``, and
+    counts what it writes: result_rows and reject_rows, as observed by that action."""
+    met = Observation()
+    kind = F.col("kind")
+    counted = frame.observe(
+        met,
+        F.count(F.when(kind == RESULT, 1)).alias("result_rows"),
+        F.count(F.when(kind == REJECT, 1)).alias("reject_rows"),
+    )
+    counted.write.mode(mode).partitionBy("kind").parquet(path)
+    return {k: int(v) for k, v in met.get.items()}
 
 
 def write_line_net(result: DataFrame, rejects: DataFrame, path: str, mode: str = "errorifexists") -> None:
