@@ -41,3 +41,15 @@ def connected_components(edges: DataFrame) -> DataFrame:
     # Now every edge leads from a node to its component's smallest node.
     roots = current.select(F.col("b").alias("node")).distinct().select("node", F.col("node").alias("root"))
     return current.select(F.col("a").alias("node"), F.col("b").alias("root")).union(roots)
+
+
+def merged_roots(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """``roots`` (node, root) of earlier links after more ``links`` (a, b): components of the small graph between
+    the old components, mapped back. Nodes without a root are components of their own."""
+    for side in "ab":
+        known = roots.select(F.col("node").alias(side), F.col("root").alias("known"))
+        links = links.join(known, side, "left").withColumn(side, F.coalesce("known", side)).drop("known")
+    merged = cut(connected_components(links.where("a <> b")).toDF("old", "new"), "cc-merged")
+    moved = roots.join(merged, roots["root"] == merged["old"], "left").select("node", F.coalesce("new", "root").alias("root"))
+    alone = merged.join(roots, merged["old"] == roots["node"], "left_anti").select(F.col("old").alias("node"), F.col("new").alias("root"))
+    return moved.union(alone)

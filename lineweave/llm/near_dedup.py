@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lineweave.llm import textops as T
-from lineweave.llm.components import connected_components
+from lineweave.llm.components import connected_components, merged_roots
 from lineweave.llm.tables import HashFilter, cut, fold_id, prepare, read_table
 from lineweave.llm.touched import filtered, fresh_name, key_filter, with_key, without
 
@@ -303,24 +303,29 @@ def near_duplicate_components(docs: DataFrame, percent: int = 85) -> DataFrame:
     open_ = cut(placed.join(main.select("band", F.col("main.root").alias("main"), F.col("main.size").alias("size")), "band").withColumn("minors", F.col("n") - F.col("size")).drop("size"), "near-open")
     found = _across(open_, _salted_first(large, PIVOTS), nodes, sets, percent)
     if not found.isEmpty():
-        roots = cut(connected_components(links.union(found)), "near-roots")
+        roots = cut(merged_roots(roots, found), "near-roots")
 
-    placed = nodes.select("node", "low").join(roots, "node", "left").select("node", "low", F.coalesce("root", "node").alias("root"))
-    lowest = placed.groupBy("root").agg(F.min("low").alias("component_id"))
+    # Both sides of the joins on a component are tables, so that a component of very many nodes is split.
+    placed = cut(nodes.select("node", "low").join(roots, "node", "left").select("node", "low", F.coalesce("root", "node").alias("root")), "near-placed")
+    lowest = cut(placed.groupBy("root").agg(F.min("low").alias("component_id")), "near-lowest")
     by_node = cut(placed.join(lowest, "root").select("node", "component_id", F.col("root").alias("group")), "near-classes")
     joined = rows.drop("sketch").join(by_node, "node", "left")
     component = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return joined.select("doc_id", "text_hash", "group", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
 
 
-def keep_one_of_each(docs: DataFrame, percent: int = 85) -> DataFrame:
+def keep_one_of_each(docs: DataFrame, percent: int = 80) -> DataFrame:
     """``docs`` with one row of every group of near duplicates: the smallest id (then text hash), once
     even if the row repeats. Rows without words stay. Same columns."""
     found = near_duplicate_components(docs, percent).where("group is not null")
-    found = found.select("group", fold_id("doc_id").alias("doc"), "text_hash").withColumn("key", F.xxhash64("doc", "text_hash"))
-    by_key = cut(found.groupBy("group", "doc", "text_hash", "key").agg(F.count("*").alias("n")), "near-keys")
-    best = by_key.groupBy("group").agg(F.min(F.struct("doc", "text_hash", "key", "n")).alias("best"))
-    removed = by_key.join(best, "group").where("key <> best.key").select("key")
+    found = found.select("group", "doc_id", "component_id", "text_hash", F.xxhash64(fold_id("doc_id"), "text_hash").alias("key"))
+    by_key = cut(found.groupBy("group", "doc_id", "component_id", "text_hash", "key").agg(F.count("*").alias("n")), "near-keys")
+    # All rows but those with the component's smallest id go without a look at the others.
+    low = by_key.where("doc_id <=> component_id")
+    best = cut(low.groupBy("group").agg(F.min(F.struct("text_hash", "key", "n")).alias("best"), F.count("*").alias("keys")), "near-best")
+    # More than one text under that id: the first by its hash stays.
+    tied = low.join(best.where("keys > 1"), "group").where("key <> best.key").select("key")
+    removed = by_key.where("not (doc_id <=> component_id)").select("key").union(tied)
     repeated = cut(best.where("best.n > 1").select("best.key"), "near-repeated")
     out = without(docs, cut(removed.union(repeated), "near-removed"))
     key = fresh_name(docs, "_key")

@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from lineweave.llm import textops as T
-from lineweave.llm.components import connected_components
+from lineweave.llm.components import connected_components, merged_roots
 from lineweave.llm.tables import HashFilter, cut, prepare, read_table
 from lineweave.llm.touched import filtered, key_filter, row_key
 
@@ -364,17 +364,6 @@ def _column(rule, name: str, percent: int):
     return F.expr(f"{name} - ({ceil(f'{percent} * ({low} + {name})', 100 + percent)}) + 1")
 
 
-def _relabelled(roots: DataFrame, found: DataFrame) -> DataFrame:
-    """``roots`` (node, root) after more links: components of the small graph between roots, mapped back."""
-    for side in "ab":
-        known = roots.select(F.col("node").alias(side), F.col("root").alias("known"))
-        found = found.join(known, side, "left").withColumn(side, F.coalesce("known", side)).drop("known")
-    merged = cut(connected_components(found.where("a <> b")).toDF("old", "new"), "join-merged")
-    moved = roots.join(merged, roots["root"] == merged["old"], "left").select("node", F.coalesce("new", "root").alias("root"))
-    alone = merged.join(roots, merged["old"] == roots["node"], "left_anti").select(F.col("old").alias("node"), F.col("new").alias("root"))
-    return cut(moved.union(alone), "join-roots")
-
-
 def jaccard_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): doc_id, n_shingles, component_id (the smallest doc_id reachable
     over links, itself included)."""
@@ -404,7 +393,7 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     if not more.isEmpty():
         found = _linked(more, docs, nodes, percent)
         if not found.isEmpty():
-            roots = _relabelled(roots, found)
+            roots = cut(merged_roots(roots, found), "join-roots")
 
     placed = cut(nodes.select("node", "low").join(roots, "node", "left").select("node", "low", F.coalesce("root", "node").alias("root")), "join-placed")
     lowest = cut(placed.groupBy("root").agg(F.min("low").alias("component_id")), "join-lowest")
