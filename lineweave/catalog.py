@@ -6,6 +6,7 @@ the same name in :mod:`lineweave.fixtures_sql`.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,6 +28,8 @@ from lineweave.operators import (
     fold_hops,
     keep_first,
     leg_stations,
+    line_profile_split,
+    plan_elements,
     prepare_trips,
     resolved_legs,
     segment_distance,
@@ -36,13 +39,20 @@ from lineweave.operators import (
 )
 from lineweave.plans import build_line_net, hop_legs, line_net_frame, prepare_dims, unresolved_hops
 from lineweave.plans.naive import build_line_net_naive
+from lineweave.plans.stored import store_trips, stored_line_net
 from lineweave.session import shared_dir
 from lineweave.sources import (
+    accepted,
+    line_stations_from_markup,
     line_stations_from_pages,
     line_stations_from_payload,
     location_scan,
+    markup_rejects,
+    read_csv_records,
     read_line_stations_csv,
+    rejected,
     trip_scan,
+    trip_value_rejects,
     write_line_stations_csv,
 )
 
@@ -245,6 +255,61 @@ def q_coordinate_variants(spark, d):
     return attach_coordinate_variants(stations, locs)
 
 
+def q_line_stations_from_markup(spark, d):
+    return line_stations_from_markup(fx.markup_pages(spark, d))
+
+
+def q_markup_rejects(spark, d):
+    return markup_rejects(fx.markup_pages(spark, d), ["page_id"])
+
+
+def q_plan_elements(spark, d):
+    return plan_elements(fx.element_plans(spark, d))
+
+
+def _order_records(spark, d):
+    path = shared_dir(spark, "order_records")
+    fx.order_records(spark, d).write.text(path)
+    types = {"order_key": "bigint", "num": "int", "price": "int", "count": "int", "note": "string"}
+    return read_csv_records(spark, path, types, required=("order_key", "num", "count"))
+
+
+def q_csv_records(spark, d):
+    return accepted(_order_records(spark, d))
+
+
+def q_csv_rejects(spark, d):
+    return rejected(_order_records(spark, d)).select("order_key", "field", "value", "reason")
+
+
+def q_trip_value_rejects(spark, d):
+    trips = fx.grid_trips(spark, d)
+    price = F.when(F.col("price") == 5, F.lit("five")).otherwise(F.col("price").cast("string"))
+    return trip_value_rejects(trips.withColumns({"price": price, "count": F.concat(F.lit(" "), F.col("count").cast("string"))}), ["trip_key"])
+
+
+def q_line_net_stored(spark, d):
+    table = f"line_net_trips_{uuid.uuid4().hex[:12]}"
+    store_trips(fx.grid_trips(spark, d), table, shared_dir(spark, table), 16, fx.GRID_KEY)
+    return stored_line_net(spark, table, _dims(spark, d, 17), gap_mode="exact")
+
+
+def q_line_net_spread(spark, d):
+    return build_line_net(
+        fx.grid_trips(spark, d), fx.grid_line_stations(spark, d), fx.grid_locations(spark, d, 17),
+        gap_mode="exact", key_cols=fx.GRID_KEY, max_broadcast_rows=0,
+    )
+
+
+def q_line_profile_split(spark, d):
+    stations, locations = fx.customer_line(spark, d)
+    prof = line_profile_split(first_station_per_line(stations), locations)
+    return prof.select(
+        "num", "station", "idx", "idx_first", "idx_last", "prev_loc_num", "seg_m", F.col("cum_m").cast("long").alias("cum_m"),
+        F.col("next_cum_m").cast("long").alias("next_cum_m"), F.col("next_loc_after.idx").alias("next_idx"), F.col("pair.end_num").alias("pair_end"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "trip_scan": q_trip_scan,
     "location_scan": q_location_scan,
@@ -278,4 +343,13 @@ QUERIES: dict[str, Query] = {
     "line_net_from_pages": q_line_net_from_pages,
     "trip_identity_duplicates": q_trip_identity_duplicates,
     "coordinate_variants": q_coordinate_variants,
+    "line_stations_from_markup": q_line_stations_from_markup,
+    "markup_rejects": q_markup_rejects,
+    "plan_elements": q_plan_elements,
+    "csv_records": q_csv_records,
+    "csv_rejects": q_csv_rejects,
+    "trip_value_rejects": q_trip_value_rejects,
+    "line_net_stored": q_line_net_stored,
+    "line_net_spread": q_line_net_spread,
+    "line_profile_split": q_line_profile_split,
 }

@@ -221,6 +221,83 @@ def plain_plans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return keep.unionByName(keep.filter("m = 0")).drop("m")
 
 
+def markup_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """page_id, html: saved pages with nested blocks, made from ``customer``. Ten customers in a row are the
+    stations of a line, five lines a page. Around them stand decoys (comments, scripts, lists outside the
+    list's element, names that aren't the line's). Where ``page_id % 11 = 5`` there is no list, where
+    ``page_id % 7 = 3`` the page breaks off in its last block, and line ``l`` has no name where ``l % 13 = 4``."""
+    c = _table(spark, sf_dir, "customer").select("c_custkey", "c_name")
+    line = F.expr("c_custkey div 10")
+    stop = F.struct("c_custkey", F.concat(
+        F.lit('<div class="s"><p>no. <a title="a > b" href=\'?x=1&y="2"\'>\n<b>'), "c_name", F.lit("</b> &amp; &#x4E2D;&#65;</a></div>")).alias("html"))
+    lines = c.groupBy(line.alias("l")).agg(F.array_sort(F.collect_list(stop)).alias("stops"))
+    head = F.when(F.col("l") % 13 == 4, F.lit("<div class='no'><b>none</b></div>")).otherwise(
+        F.concat(F.lit('<div class="big no"><!-- <span>x</span> --><div><SPAN>Line &quot;'), F.col("l").cast("string"), F.lit("&quot;<br></SPAN><span> &lt;2&gt;</span></div></div>")))
+    body = F.array_join(F.transform("stops", lambda x: x["html"]), "\n")
+    block = F.concat(F.lit("<div class=l><a>map</a>"), head, F.lit('<div><div class="stage_background wide"><div>'), body, F.lit("</div></div></div>"))
+    page = F.expr("l div 5")
+    blocks = lines.select(page.alias("page_id"), F.struct("l", block.alias("html")).alias("b"))
+    pages = blocks.groupBy("page_id").agg(F.array_sort(F.collect_list("b")).alias("bs"))
+    closed = F.array_join(F.transform("bs", lambda x: x["html"]), "</div>\n<!-- <div> -->")
+    end = F.when(F.col("page_id") % 7 == 3, F.lit("")).otherwise(F.lit("</div></div><div class=no><span>end</span></div></body></html>"))
+    name = F.when(F.col("page_id") % 11 == 5, F.lit("other")).otherwise(F.lit("lineAndStation"))
+    return pages.select("page_id", F.concat(
+        F.lit("<html><head><script>if (a<b) write('<div id=lineAndStation>')</script></head><body><div class=\"stage_background\"><a>out</a></div><div id='"), name, F.lit("'>"), closed, end).alias("html"))
+
+
+#: Plans of one element as other producers send them; <r> and <k> stand for numbers of the order.
+ELEMENT_PLANS = [
+    '[{"lineName":"R<r>","stationName":"S<k>","stationCode":<k>}]',
+    '[{"lineName":"R<r>","stationName":"S<k>","stationCode":{"id":<k>}}]',
+    '[{"lineName":<r>,"stationName":"S<k>","stationCode":"<k>"}]',
+    '[{"lineName":["R<r>"],"stationName":"S<k>"}]',
+    '["S<k>",{"stationName":"S<k>","stationCode":null}]',
+    '[{"line":"R<r>","station":"S<k>","code":true}]',
+    '[{"lineName":null,"line":"R<r>","stop":"S<k>"}]',
+    '{"lineName":"R<r>"}',
+    '[{"stationName":"S<k>"',
+    '[]',
+    ' [ {"lineName":"R<r>","stationName":"","stationCode":-<k>}, 5, null ] ',
+    '"S<k>"',
+]
+
+
+def element_plans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """trip_key, lines_result: one of :data:`ELEMENT_PLANS` for every order, null for one in thirteen."""
+    o = _table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    plan = F.get(F.array(*[F.lit(t) for t in ELEMENT_PLANS]), (F.col("o_orderkey") % 13).cast("int"))
+    number = lambda c: (F.col(c) % 1000).cast("string")
+    text = F.replace(F.replace(plan, F.lit("<r>"), number("o_orderkey")), F.lit("<k>"), number("o_custkey"))
+    return o.select(F.col("o_orderkey").cast("string").alias("trip_key"), text.alias("lines_result"))
+
+
+def order_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One text column ``value``: a CSV record (key, position, price, count, note) for every order; some have words, nothing or
+    too much where a number belongs, a field less or more, or quotes and commas in the note."""
+    o = _table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
+    k, s = F.col("o_orderkey"), lambda c: c.cast("string")
+    m = k % 17
+    num = F.when(m == 3, F.lit("x")).when(m == 4, F.lit("")).when(m == 5, F.lit("99999999999")).when(m == 6, F.concat(F.lit(" "), s(k % 50), F.lit(" "))).otherwise(s(k % 50))
+    price = F.when(m.isin(3, 7), F.concat(F.lit("$"), s(k % 9))).when(m == 8, F.lit("2.5")).otherwise(s(k % 9))
+    count = F.when(m == 9, F.lit("1e2x")).when(m == 10, F.lit("")).otherwise(s(F.col("o_custkey") % 5))
+    note = F.when(m == 11, F.concat(F.lit('"a ""b"", '), s(k), F.lit('"'))).otherwise(F.col("o_orderpriority"))
+    tail = F.when(m == 13, F.lit(",more")).otherwise(F.lit(""))
+    whole = F.concat_ws(",", s(k), num, price, count, note)
+    return o.select(F.when(m == 12, F.concat_ws(",", s(k), num)).otherwise(F.concat(whole, tail)).alias("value"))
+
+
+def customer_line(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """(stations, locations): all customers on one line, three at each position; every sixth has no
+    coordinate, and so have long stretches."""
+    c = _table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_acctbal")
+    k = F.col("c_custkey")
+    stations = c.select(F.lit("all").alias("route"), F.expr("c_custkey div 3 * 1000").cast("int").alias("num"), F.col("c_name").alias("station"))
+    there = (k % 6 != 0) & (F.expr("c_custkey div 100") % 4 != 1)
+    lng, lat = F.lit(113.0) + F.col("c_acctbal") * F.lit(0.0001), F.lit(23.0) + (k % 100).cast("double") * F.lit(0.01)
+    locations = c.select(F.lit("all").alias("route_name"), F.col("c_name").alias("station_name"), F.when(there, lng).alias("longitude"), F.when(there, lat).alias("latitude"))
+    return stations, locations
+
+
 # Names the alias rules rewrite (used to build test names).
 ALIAS_SOURCES = ["机场北（2号航站楼）", "十四号线", "虫雷 岗", "清㘵", "APM", "三北线"]
 

@@ -318,6 +318,49 @@ SELECT p_partkey, CASE p_partkey % 10
 FROM part"""
 
 
+#: The element plans of the fixture, with what has to come out of each: (hop, line, station, code, reason).
+ELEMENT_PLANS = [
+    ('[{"lineName":"R<r>","stationName":"S<k>","stationCode":<k>}]', [(0, "R<r>", "S<k>", "<k>", None)]),
+    ('[{"lineName":"R<r>","stationName":"S<k>","stationCode":{"id":<k>}}]', [(0, "R<r>", "S<k>", None, "stationCode is not a primitive")]),
+    ('[{"lineName":<r>,"stationName":"S<k>","stationCode":"<k>"}]', [(0, "<r>", "S<k>", "<k>", None)]),
+    ('[{"lineName":["R<r>"],"stationName":"S<k>"}]', [(0, None, "S<k>", None, "lineName is not a primitive")]),
+    ('["S<k>",{"stationName":"S<k>","stationCode":null}]', [(0, None, None, None, "element is not an object"), (1, None, "S<k>", None, None)]),
+    ('[{"line":"R<r>","station":"S<k>","code":true}]', [(0, "R<r>", "S<k>", "true", None)]),
+    ('[{"lineName":null,"line":"R<r>","stop":"S<k>"}]', [(0, "R<r>", None, None, "no station")]),
+    ('{"lineName":"R<r>"}', [(None, None, None, None, "not an array")]),
+    ('[{"stationName":"S<k>"', [(None, None, None, None, "not JSON")]),
+    ("[]", []),
+    (
+        ' [ {"lineName":"R<r>","stationName":"","stationCode":-<k>}, 5, null ] ',
+        [(0, "R<r>", "", "<-k>", None), (1, None, None, None, "element is not an object"), (2, None, None, None, "element is not an object")],
+    ),
+    ('"S<k>"', [(None, None, None, None, "not an array")]),
+]
+
+
+def element_plans_sql() -> str:
+    """Expected elements, by the remainder that chose the plan."""
+    filled = lambda x: "CAST(NULL AS VARCHAR)" if x is None else f"replace(replace(replace({_lit(x)}, '<r>', r), '<k>', k), '<-k>', CASE WHEN k = '0' THEN '0' ELSE '-' || k END)"
+    rows = [
+        f"SELECT trip_key, CAST({'NULL' if hop is None else hop} AS INTEGER) AS hop, {filled(line)} AS route_raw, {filled(station)} AS station,"
+        f" {filled(code)} AS code, {'CAST(NULL AS VARCHAR)' if reason is None else _lit(reason)} AS reason FROM o WHERE m = {m}"
+        for m, (_, elements) in enumerate(ELEMENT_PLANS) for hop, line, station, code, reason in elements
+    ]
+    o = "SELECT CAST(o_orderkey AS VARCHAR) AS trip_key, CAST(o_orderkey % 1000 AS VARCHAR) AS r, CAST(o_custkey % 1000 AS VARCHAR) AS k, o_orderkey % 13 AS m FROM orders"
+    return f"WITH o AS ({o}) " + " UNION ALL ".join(rows)
+
+
+MARKUP_CTES = """
+ml AS (SELECT c_custkey, c_name, c_custkey // 10 AS l, c_custkey // 50 AS page_id FROM customer),
+mb AS (SELECT l, page_id, l = max(l) OVER (PARTITION BY page_id) AS is_end FROM (SELECT DISTINCT l, page_id FROM ml) x),
+mr AS (SELECT *, page_id % 11 = 5 AS no_list, page_id % 7 = 3 AND is_end AS broken, l % 13 = 4 AS nameless,
+              CAST(row_number() OVER (PARTITION BY page_id ORDER BY l) AS INTEGER) AS block FROM mb)"""
+
+# Positions and numbers of the CSV records, written out per kind of fault.
+RECORDS_SQL = """
+WITH o AS (SELECT o_orderkey AS k, o_orderkey % 17 AS m, o_custkey % 5 AS c, o_orderpriority AS p FROM orders)"""
+
+
 # ---------------------------------------------------------------- oracles
 
 
@@ -409,6 +452,45 @@ FROM g LEFT JOIN lp ON lp.route_name = g.route_name AND lp.station_name = g.stat
 FROM trips GROUP BY ALL""",
         legs=False,
     )
+    q["line_stations_from_markup"] = f"""WITH {MARKUP_CTES}
+SELECT 'Line "' || ml.l || '"' AS route, CAST(row_number() OVER (PARTITION BY ml.l ORDER BY c_custkey) - 1 AS INTEGER) AS num,
+       c_name || ' & 中A' AS station, CAST(NULL AS VARCHAR) AS station_id
+FROM ml JOIN mr ON mr.l = ml.l WHERE NOT (no_list OR broken OR nameless)"""
+    q["markup_rejects"] = f"""WITH {MARKUP_CTES}
+SELECT page_id, block, 'line without a name' AS reason FROM mr WHERE nameless AND NOT broken AND NOT no_list
+UNION ALL SELECT page_id, block, 'block left open' FROM mr WHERE broken AND NOT no_list
+UNION ALL SELECT DISTINCT page_id, CAST(NULL AS INTEGER), 'no line list' FROM mr WHERE no_list"""
+    q["plan_elements"] = element_plans_sql()
+    q["csv_records"] = RECORDS_SQL + """
+SELECT k AS order_key, CAST(k % 50 AS INTEGER) AS num, CAST(k % 9 AS INTEGER) AS price, CAST(c AS INTEGER) AS count,
+       CASE WHEN m = 11 THEN 'a "b", ' || k ELSE p END AS note
+FROM o WHERE m NOT IN (3, 4, 5, 7, 8, 9, 10, 12, 13)"""
+    q["csv_rejects"] = RECORDS_SQL + """
+SELECT k AS order_key, 'num' AS field, CASE m WHEN 3 THEN 'x' WHEN 5 THEN '99999999999' END AS value,
+       CASE WHEN m = 4 THEN 'missing' ELSE 'not int' END AS reason FROM o WHERE m IN (3, 4, 5)
+UNION ALL SELECT k, 'price', CASE WHEN m = 8 THEN '2.5' ELSE '$' || (k % 9) END, 'not int' FROM o WHERE m IN (3, 7, 8)
+UNION ALL SELECT k, 'count', CASE WHEN m = 9 THEN '1e2x' END, CASE WHEN m = 9 THEN 'not int' ELSE 'missing' END FROM o WHERE m IN (9, 10)
+UNION ALL SELECT k, '', k || ',' || (k % 50) || CASE WHEN m = 13 THEN ',' || (k % 9) || ',' || c || ',' || p || ',more' ELSE '' END,
+       'wrong number of fields' FROM o WHERE m IN (12, 13)"""
+    q["trip_value_rejects"] = """
+SELECT CAST(o_orderkey AS VARCHAR) AS trip_key, 'price' AS field, 'five' AS value, 'not int' AS reason FROM orders WHERE o_orderkey % 9 + 2 = 5"""
+    q["line_net_stored"] = q["line_net_spread"] = q["line_net_exact"]
+    q["line_profile_split"] = f"""
+WITH s AS (
+  SELECT CAST(c_custkey // 3 * 1000 AS INTEGER) AS num, c_name AS station, c_custkey % 6 <> 0 AND (c_custkey // 100) % 4 <> 1 AS here,
+         113.0::DOUBLE + c_acctbal * 0.0001::DOUBLE AS lng, 23.0::DOUBLE + CAST(c_custkey % 100 AS DOUBLE) * 0.01::DOUBLE AS lat FROM customer),
+p AS (
+  SELECT *, CAST(row_number() OVER w - 1 AS INTEGER) AS idx, lead(here) OVER w AS next_here, lead(num) OVER w AS next_num,
+         last_value(CASE WHEN here THEN num END IGNORE NULLS) OVER b AS prev_loc_num,
+         last_value(CASE WHEN here THEN lng END IGNORE NULLS) OVER b AS plng, last_value(CASE WHEN here THEN lat END IGNORE NULLS) OVER b AS plat
+  FROM s WINDOW w AS (ORDER BY num, station), b AS (ORDER BY num, station ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+g AS (SELECT *, CASE WHEN here AND plng IS NOT NULL THEN {dist_sql("plng", "plat", "lng", "lat")} ELSE 0 END AS seg_m FROM p),
+c AS (SELECT *, CAST(sum(seg_m) OVER (ORDER BY idx) AS BIGINT) AS cum_m FROM g)
+SELECT num, station, idx, min(idx) OVER (PARTITION BY num) AS idx_first, max(idx) OVER (PARTITION BY num) AS idx_last, prev_loc_num, seg_m, cum_m,
+       first_value(CASE WHEN here THEN cum_m END IGNORE NULLS) OVER (ORDER BY idx ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS next_cum_m,
+       first_value(CASE WHEN here THEN idx END IGNORE NULLS) OVER (ORDER BY idx ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS next_idx,
+       first_value(CASE WHEN here AND next_here THEN next_num END IGNORE NULLS) OVER (ORDER BY idx ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS pair_end
+FROM c"""
     q["coordinate_variants"] = f"""WITH {customer_locations_ctes(True)},
 s AS (SELECT DISTINCT route_name AS route, station_name AS station FROM cl)
 SELECT DISTINCT s.route, s.station, cl.longitude, cl.latitude FROM s LEFT JOIN cl ON cl.station_name = s.station"""

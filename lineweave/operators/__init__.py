@@ -21,6 +21,7 @@ from lineweave.operators.distance import (
     with_exact_distance,
     with_trip_distance,
 )
+from lineweave.operators.elements import plan_elements
 from lineweave.operators.fold import fold_hops
 from lineweave.operators.hops import (
     carry_forward_route,
@@ -38,6 +39,7 @@ from lineweave.operators.legs import (
     resolved_legs,
     transfer_stations,
 )
+from lineweave.operators.profile import line_profile_split
 
 __all__ = [
     "attach_coordinate_variants",
@@ -61,6 +63,8 @@ __all__ = [
     "leg_stations",
     "line_arrays",
     "line_profile",
+    "line_profile_split",
+    "plan_elements",
     "prepare_trips",
     "resolved_legs",
     "segment_distance",

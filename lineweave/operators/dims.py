@@ -33,6 +33,15 @@ def shuffled_beyond(df: DataFrame, max_rows: int | None) -> DataFrame:
     return df.hint("shuffle_merge")
 
 
+def broadcastable(df: DataFrame, max_rows: int | None = None) -> bool:
+    """Whether the planner may broadcast a written table: by Spark's own size limit and by ``max_rows``."""
+    if max_rows is not None and df.count() > max_rows:
+        return False
+    spark = df.sparkSession
+    limit = spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) <= limit
+
+
 def clean_line_stations(line_stations: DataFrame, extra_aliases=None) -> DataFrame:
     cols = line_stations.columns
     sid = F.col("station_id") if "station_id" in cols else F.lit(None).cast("string")

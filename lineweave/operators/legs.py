@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lineweave.operators.hops import trip_window
+from lineweave.operators.skew import SALT
 
 #: Stations of a line that make one row of :func:`line_arrays`.
 LINE_PART = 1024
@@ -46,12 +47,13 @@ def leg_destinations(hops: DataFrame, line_index: DataFrame) -> DataFrame:
     if "next_station" not in hops.columns:
         w = trip_window()
         legs = hops.withColumns({"next_station": F.lead("station").over(w), "is_last": F.lead("hop").over(w).isNull()})
-    cols = [c for c in line_index.columns if c not in ("route", "station")]
-    origin = line_index.select("route", "station", *[F.col(c).alias(f"o_{c}") for c in cols])
+    salt = [SALT] if SALT in hops.columns and SALT in line_index.columns else []
+    cols = [c for c in line_index.columns if c not in ("route", "station", SALT)]
+    origin = line_index.select("route", "station", *salt, *[F.col(c).alias(f"o_{c}") for c in cols])
     dest = line_index.select(
-        "route", F.col("station").alias("next_station"), *[F.col(c).alias(f"d_{c}") for c in cols]
+        "route", F.col("station").alias("next_station"), *salt, *[F.col(c).alias(f"d_{c}") for c in cols]
     )
-    legs = legs.join(origin, ["route", "station"], "left").join(dest, ["route", "next_station"], "left")
+    legs = legs.join(origin, ["route", "station", *salt], "left").join(dest, ["route", "next_station", *salt], "left")
     bad = (
         F.col("route").isNull()
         | F.col("station").isNull()
@@ -97,7 +99,8 @@ def leg_slices(legs: DataFrame, lines: DataFrame, size: int = LINE_PART, how: st
     legs = legs.withColumn("part", F.explode_outer(F.expr(f"sequence(cast(_first div {size} as int), cast(_last div {size} as int))")))
     begin = F.greatest(F.col("_first") - F.col("part") * size, F.lit(0))
     end = F.least(F.col("_last") - F.col("part") * size, F.lit(size - 1))
-    met = legs.join(lines, ["route", "part"], how)
+    salt = [SALT] if SALT in legs.columns and SALT in lines.columns else []
+    met = legs.join(lines, ["route", "part", *salt], how)
     return met.withColumn("passed", F.slice("stations", begin + 1, end - begin + 1)).drop("_first", "_last", "part", "stations")
 
 

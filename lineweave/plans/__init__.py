@@ -13,6 +13,7 @@ from lineweave.plans.linenet import (
     write_line_net,
     write_line_net_frame,
 )
+from lineweave.plans.stored import store_trips, stored_line_net
 
 __all__ = [
     "GAP_MODES",
@@ -23,6 +24,8 @@ __all__ = [
     "prepare_dims",
     "project_result",
     "split_frame",
+    "store_trips",
+    "stored_line_net",
     "unresolved_hops",
     "write_line_net",
     "write_line_net_frame",

@@ -11,12 +11,13 @@ shuffles and computes once.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from lineweave.operators.dims import (
+    broadcastable,
     clean_line_stations,
     clean_locations,
     first_station_per_line,
@@ -28,6 +29,8 @@ from lineweave.operators.distance import leg_distance, with_exact_leg_distance,
 from lineweave.operators.fold import fold_hops
 from lineweave.operators.hops import clean_trip_names, mark_shared_ids, trip_identity
 from lineweave.operators.legs import leg_destinations, leg_slices, leg_stations, line_arrays, resolved_legs
+from lineweave.operators.profile import line_profile_split
+from lineweave.operators.skew import SALT, hot_values, replicated, salted
 from lineweave.schemas import RESULT_COLUMNS
 from lineweave.sources.locations import location_scan
 from lineweave.sources.trips import trip_scan
@@ -41,6 +44,8 @@ class LineNetDims:
     profile: DataFrame  # (route, num) -> station, coordinates, segment columns
     routes: DataFrame  # known routes
     lines: DataFrame  # (route, part) -> stations with coordinates and segment columns
+    large: bool = False  # joins with them shuffle
+    hot: list | None = None  # the hot lines, if rows of the dimensions are repeated for their salts
 
     def bare_lines(self) -> DataFrame:
         """``lines`` with the columns that the result shows only."""
@@ -49,13 +54,17 @@ class LineNetDims:
 
 
 def prepare_dims(line_stations: DataFrame, locations: DataFrame, extra_aliases=None,
-                 max_broadcast_rows: int | None = None) -> LineNetDims:
+                 max_broadcast_rows: int | None = None, split_lines: bool = False) -> LineNetDims:
     """Clean, de-duplicate and profile the (small) dimensions, written once to the shared folder;
-    the planner broadcasts them if their size allows it (``max_broadcast_rows`` forbids it beyond)."""
+    the planner broadcasts them if their size allows it (``max_broadcast_rows`` forbids it beyond).
+    ``split_lines``: profile by blocks, for networks with lines of very many (100,000 or more) stations."""
     idx = first_station_per_line(clean_line_stations(line_stations, extra_aliases))
     locs = clean_locations(location_scan(locations), extra_aliases)
     # The profile is read by three joins.
-    prof = shuffled_beyond(materialized(line_profile(idx, locs), "line-profile"), max_broadcast_rows)
+    profile_of = line_profile_split if split_lines else line_profile
+    prof = materialized(profile_of(idx, locs), "line-profile")
+    large = not broadcastable(prof, max_broadcast_rows)
+    prof = shuffled_beyond(prof, max_broadcast_rows)
     index = prof.select(
         "route", "station", "num", "cum_m", "next_cum_m",
         "idx", "idx_first", "idx_last", "pt", "prev_loc_num", "prev_loc_pt", "next_loc", "next_loc_after", "pair",
@@ -66,7 +75,16 @@ def prepare_dims(line_stations: DataFrame, locations: DataFrame, extra_aliases=N
     routes = prof.select("route").distinct()
     fields = ["longitude", "latitude", "pt", "prev_pt", "prev_loc_num", "seg_m"]
     lines = shuffled_beyond(materialized(line_arrays(prof, fields), "line-arrays"), max_broadcast_rows)
-    return LineNetDims(index, profile, materialized(routes, "line-routes"), lines)
+    return LineNetDims(index, profile, materialized(routes, "line-routes"), lines, large)
+
+
+def spread_dims(dims: LineNetDims, trips: DataFrame, extra_aliases=None) -> LineNetDims:
+    """``dims`` as they are if they are broadcast; else with the rows of hot lines repeated for every salt. Finding the
+    hot lines is one more pass over the plans (a count for each line)."""
+    if not dims.large or dims.hot is not None:
+        return dims
+    hot = hot_values(fold_hops(trip_scan(trips).select("lines_result"), extra_aliases=extra_aliases), "route")
+    return replace(dims, index=replicated(dims.index, hot), lines=replicated(dims.lines, hot), routes=replicated(dims.routes, hot), hot=hot)
 
 
 def partitioned_trips(trips: DataFrame, key_cols=None, extra_aliases=None) -> DataFrame:
@@ -84,7 +102,8 @@ def hop_legs(trips: DataFrame, dims: LineNetDims, key_cols=None, extra_aliases=N
              prepared: DataFrame | None = None, mark_malformed: bool = False) -> DataFrame:
     """Hop rows with bounds and the ``bad`` flag (all hops, last ones included)."""
     t = prepared if prepared is not None else partitioned_trips(trips, key_cols, extra_aliases)
-    legs = leg_destinations(fold_hops(t, extra_aliases=extra_aliases, mark_malformed=mark_malformed), dims.index)
+    hops = fold_hops(t, extra_aliases=extra_aliases, mark_malformed=mark_malformed)
+    legs = leg_destinations(hops if dims.hot is None else salted(hops, dims.hot, by="trip_id"), dims.index)
     return legs.withColumn("bad", F.col("bad") | F.col("_shared")) if "_shared" in legs.columns else legs
 
 
@@ -135,6 +154,7 @@ def build_line_net(
         raise ValueError(f"gap_mode must be one of {GAP_MODES}")
     if dims is None:
         dims = prepare_dims(line_stations, locations, extra_aliases, max_broadcast_rows)
+    dims = spread_dims(dims, trips, extra_aliases)
     legs = resolved_legs(hop_legs(trips, dims, key_cols, extra_aliases))
     if gap_mode == "bridge":
         legs = with_trip_distance(leg_distance(legs))
@@ -162,14 +182,16 @@ def unresolved_hops(
                 [], "route_name string, station_name string, longitude double, latitude double"
             )
         dims = prepare_dims(line_stations, locations, extra_aliases, max_broadcast_rows)
+    dims = spread_dims(dims, trips, extra_aliases)
     legs = _with_reasons(hop_legs(trips, dims, key_cols, extra_aliases, mark_malformed=True), dims)
     return legs.select("trip_id", "hop", "route", "station", "reason").filter(F.col("reason").isNotNull())
 
 
 def _with_reasons(legs: DataFrame, dims: LineNetDims) -> DataFrame:
     """``reason``: why a hop (or, with a null hop, the plan) can't be resolved; null if it can."""
-    known = dims.routes.select(F.col("route").alias("_known"))
-    legs = legs.join(known, F.col("route") == F.col("_known"), "left")
+    salt = [SALT] if dims.hot is not None else []
+    known = dims.routes.select("route", F.col("route").alias("_known"), *salt)
+    legs = legs.join(known, ["route", *salt], "left")
     reason = (
         F.when(F.col("malformed"), F.lit("malformed plan"))
         .when(F.col("_shared") if "_shared" in legs.columns else F.lit(False), F.lit("key shared by several trips"))
@@ -206,6 +228,7 @@ def line_net_frame(
         raise ValueError(f"gap_mode must be one of {GAP_MODES}")
     if dims is None:
         dims = prepare_dims(line_stations, locations, extra_aliases, max_broadcast_rows)
+    dims = spread_dims(dims, trips, extra_aliases)
     hops = hop_legs(trips, dims, key_cols, extra_aliases, mark_malformed=True)
     # A hop without a reason is resolved, so a trip is left out exactly if one of its hops has one.
     legs = _with_reasons(hops, dims).withColumn("bad", F.col("reason").isNotNull())

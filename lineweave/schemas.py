@@ -66,15 +66,6 @@ LINE_STATIONS_SCHEMA = T.StructType(
     ]
 )
 
-# Station list as CSV (line, idx, station), no header.
-LINE_STATIONS_CSV_SCHEMA = T.StructType(
-    [
-        T.StructField("route", T.StringType()),
-        T.StructField("num", T.IntegerType()),
-        T.StructField("station", T.StringType()),
-    ]
-)
-
 LOCATION_COLUMNS = ["route_name", "station_name", "longitude", "latitude"]
 
 # The result: one row per (trip, leg, station passed).

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lineweave.schemas import TRIP_COLUMNS
+from lineweave.sources.records import rejected, typed_records
 
 
 def conform_trips(df: DataFrame) -> DataFrame:
@@ -32,6 +33,12 @@ def conform_trips(df: DataFrame) -> DataFrame:
     return df.select(*known, *extra)
 
 
+def trip_value_rejects(df: DataFrame, keep: list[str]) -> DataFrame:
+    """The numbers that :func:`conform_trips` makes null: the columns ``keep`` and field, value, reason."""
+    numbers = {n: t for n, t in TRIP_COLUMNS if t != "string" and n in df.columns}
+    return rejected(typed_records(df.select(*keep, *[n for n in numbers if n not in keep]), numbers)).select(*keep, "field", "value", "reason")
+
+
 def trip_scan(df: DataFrame) -> DataFrame:
     """Keep rows that carry a plan (``lines_result is not null``; pushed into the Parquet scan)."""
     return conform_trips(df).filter(F.col("lines_result").isNotNull())
