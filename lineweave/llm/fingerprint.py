@@ -150,11 +150,13 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     ordered = rows.repartitionByRange(parts, fold_id("doc_id"), F.xxhash64("text")).sortWithinPartitions(fold_id("doc_id"), F.xxhash64("text"), *order[1:])
     table = cut(ordered.mapInArrow(_in_order, f"{_DDL}, part int, edge int, text string"), "fingerprints")
-    # Two rows per partition, in one window.
+    # The last row of a partition meets the first of the next one that has rows: only numbers of partitions are ordered.
     edges = table.where("edge is not null").select("doc_id", "text", "part", "edge")
-    line = Window.orderBy("part", "edge")
-    following = F.coalesce(F.lead("text").over(line), F.first("text").over(line))
-    pairs = edges.withColumn("following", following).where("edge = 1").select("doc_id", "text", "following")
+    numbers = cut(edges.where("edge = 0").select("part"), "fingerprint-parts")
+    line = Window.orderBy("part")
+    numbers = numbers.select("part", F.coalesce(F.lead("part").over(line), F.first("part").over(line)).alias("next_part"))
+    first = edges.where("edge = 0").select(F.col("part").alias("next_part"), F.col("text").alias("following"))
+    pairs = edges.where("edge = 1").join(numbers, "part").join(first, "next_part").select("doc_id", "text", "following")
     return table.where("edge is null").select(*_NAMES).union(pairs.mapInArrow(_edges, _DDL))
 
 

@@ -7,14 +7,19 @@ score linear in the number of features present. All features are 0/1.
 Features of a text are its distinct words, on request their first bytes (all hashed to 2**20
 buckets), and the quantile bins of a few
 statistics. Fitting works on a bounded sample of labelled rows (``sample_rows``, the first by a hash of
-the id, whatever the size of the corpus): Spark counts every bucket per class over the sample, the
-most telling buckets (at most ``terms``) are kept, and what reaches the driver is at most
-``sample_rows x (terms + statistics)`` small integers. Scoring is one pass over the documents without
-any shuffle.
+the id, whatever the size of the corpus): Spark counts every bucket per class over the sample. Buckets that tell
+something alone (``least_gain``) are kept, at most ``terms``. Of the others the most frequent (``pair_terms``) are looked
+at in pairs: a bucket is kept if the documents that hold it together with another one differ in class from
+those of either bucket (``least_pair_gain``), so a word that counts in company only is seen too. What reaches the
+driver is at most ``sample_rows x (terms + pair_terms + statistics)`` small integers. Scoring is one pass over the
+documents without any shuffle.
 
 Cases: without labelled rows, or with one class only, the model is a constant (0.5, or the class's
 smoothed share) and no term is kept; an empty text has its statistics' bins only; a null text counts
-as empty; labels that repeat an id count once (the largest); null labels and null ids are left out.
+as empty; labels that repeat an id count once (the largest); null labels and null ids are left out; documents
+that repeat an id are learned from and scored once each; a very long text is one slice of work with about 20 bytes
+for every byte of it; an empty table of documents gives a constant model and no scores; other columns of the
+documents are ignored (:func:`scored`) or pass (:func:`kept`), whatever their names.
 """
 
 from __future__ import annotations
@@ -45,6 +50,8 @@ class Settings:
     terms: int = 4096
     least_rows: int = 5
     least_gain: float = 22.0
+    pair_terms: int = 2048
+    least_pair_gain: float = 60.0
     bins: int = 8
     rank: int = 8
     epochs: int = 30
@@ -180,6 +187,40 @@ def _sample_features(model: Model):
     return T.map_slices("text", work)
 
 
+def _gain(n: np.ndarray, k: np.ndarray, p: np.ndarray) -> np.ndarray:
+    """Likelihood ratio of n rows, k of them of class 1, against a share of p."""
+    with np.errstate(divide="ignore", invalid="ignore"):
+        one = np.where(k > 0, k * np.log(k / (n * p)), 0.0)
+        zero = np.where(n > k, (n - k) * np.log((n - k) / (n * (1 - p))), 0.0)
+    return np.nan_to_num(2 * (one + zero), nan=0.0, posinf=0.0)
+
+
+def in_pairs(x: np.ndarray, y: np.ndarray, settings: Settings) -> np.ndarray:
+    """For every column of the 0/1 matrix ``x``: its largest gain in a pair, that is, of the rows that hold both
+    columns against the share of class 1 among the rows of either, whichever explains more."""
+    n, k = x.sum(axis=0), y @ x
+    # Half a row of each class keeps shares away from 0 and 1.
+    share = (k + 0.5) / (n + 1.0)
+    best = np.zeros(x.shape[1])
+    labelled = x * y[:, None]
+    for lo in range(0, x.shape[1], 256):
+        some = slice(lo, lo + 256)
+        both, ones = x.T @ x[:, some], labelled.T @ x[:, some]
+        gain = np.minimum(_gain(both, ones, share[:, None]), _gain(both, ones, share[None, some]))
+        gain[both < settings.least_rows] = 0.0
+        gain[np.arange(lo, min(lo + 256, x.shape[1])), np.arange(gain.shape[1])] = 0.0
+        best = np.maximum(best, gain.max(axis=1))
+    return best
+
+
+def _sampled(sample: DataFrame, model: Model) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(feature numbers, start of each row's run, labels) of the sample, in an order of its own."""
+    rows = sample.mapInArrow(_sample_features(model), "y int, numbers binary").toPandas().sort_values(["y", "numbers"])
+    parts = [np.frombuffer(b, np.uint16) for b in rows["numbers"]]
+    run = np.concatenate([[0], np.cumsum([len(x) for x in parts])]).astype(np.int64)
+    return np.concatenate(parts).astype(np.int64), run, rows["y"].to_numpy().astype(float)
+
+
 def fit(docs: DataFrame, labels: DataFrame, label: str, settings: Settings) -> Model:
     """Learns ``label`` (0/1) from the rows of ``labels`` (doc_id, label); the caller has left out
     what must not be learned from. Only ``text`` of the joined documents is looked at."""
@@ -199,8 +240,11 @@ def fit(docs: DataFrame, labels: DataFrame, label: str, settings: Settings) -> M
     counts = sample.mapInArrow(_sample_buckets(settings), "bucket int, y int").groupBy("bucket").agg(F.count("*").alias("n"), F.sum("y").alias("k"))
     # Likelihood ratio of the bucket's own class shares against the sample's.
     gain = F.expr(f"2 * (if(k = 0, 0, k * ln(k / (n * {p}D))) + if(k = n, 0, (n - k) * ln((n - k) / (n * {1 - p}D))))")
-    best = counts.where(f"n >= {settings.least_rows}").withColumn("gain", gain).where(f"gain >= {settings.least_gain}")
-    terms = best.orderBy(F.desc("gain"), "bucket").limit(settings.terms).select("bucket").toPandas()["bucket"].to_numpy()
+    counts = cut(counts.where(f"n >= {settings.least_rows}").withColumn("gain", gain), "fm-counts")
+    alone = counts.where(f"gain >= {settings.least_gain}").orderBy(F.desc("gain"), "bucket").limit(settings.terms)
+    others = counts.where(f"gain < {settings.least_gain}").orderBy(F.expr(f"abs(2 * n - {n})"), "bucket").limit(settings.pair_terms)
+    terms, more = (d.select("bucket").toPandas()["bucket"].to_numpy() for d in (alone, others))
+    terms = _with_pairs(sample, model, terms, more)
     model.place[terms] = np.arange(len(terms))
     columns = len(terms)
     if settings.statistics:
@@ -208,13 +252,26 @@ def fit(docs: DataFrame, labels: DataFrame, label: str, settings: Settings) -> M
         model.edges = np.quantile(stats, np.arange(1, settings.bins) / settings.bins, axis=0).T
         columns += stats.shape[1] * settings.bins
     model.linear, model.factors = np.zeros(columns), np.zeros((columns, settings.rank))
-    rows = sample.mapInArrow(_sample_features(model), "y int, numbers binary").toPandas().sort_values(["y", "numbers"])
-    parts = [np.frombuffer(b, np.uint16) for b in rows["numbers"]]
-    run = np.concatenate([[0], np.cumsum([len(x) for x in parts])]).astype(np.int64)
-    train(model, np.concatenate(parts).astype(np.int64), run, rows["y"].to_numpy().astype(float))
+    train(model, *_sampled(sample, model))
     return model
 
 
+def _with_pairs(sample: DataFrame, model: Model, terms: np.ndarray, more: np.ndarray) -> np.ndarray:
+    """``terms`` and those of ``more`` that tell something in a pair with any of both."""
+    settings = model.settings
+    if not len(more):
+        return terms
+    # The matrix is bounded too: the terms that tell most alone, and all others.
+    looked = np.concatenate([terms[: settings.pair_terms], more])
+    trial = Model(settings, 0.0, linear=np.zeros(len(looked)))
+    trial.place[looked] = np.arange(len(looked))
+    numbers, run, y = _sampled(sample, trial)
+    x = np.zeros((len(y), len(looked)), np.float32)
+    x[np.repeat(np.arange(len(y)), np.diff(run)), numbers] = 1.0
+    gain = in_pairs(x, y.astype(np.float32), settings)[len(looked) - len(more) :]
+    return np.concatenate([terms, more[gain >= settings.least_pair_gain]])
+
+
 def scorer(model: Model) -> Callable[[list[bytes]], np.ndarray]:
     def score(texts: list[bytes]) -> np.ndarray:
         if not len(model.linear):

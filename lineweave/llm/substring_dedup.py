@@ -1,18 +1,21 @@
-"""Repeated passages removed by content-defined sampling over words and exact windows.
-
-1. **Samples.** A gear hash (``h = 2h + gear[word]``) rolls over ``min_words // 2 + 1`` words. Of the places
-   inside every window of ``min_words`` words, the least hash is the window's sample: it depends on the
-   window's words alone, so equal windows have equal samples whatever stands around them and however often
-   their words recur, and neighbouring windows mostly share one (a sample for every 13 words).
-2. **Windows.** Samples are grouped with partial sums before the shuffle; a window whose sample stands in two
-   or more documents is hashed as a whole. Equal windows of one text are one row with a list of places, so
-   that periodic text (one word many times) is a few rows and not one for each word.
-3. **Owners.** Windows are grouped in the same way; the smallest id that holds a window owns it. Each
-   window has its own owner, so a passage may repeat parts of several earlier documents.
+"""Repeated passages removed by content-defined chunks over words, with exact edges.
+
+1. **Chunks.** A gear hash (``h = 2h + gear[word]``) rolls over ``k`` words, and text is cut where the hash is the least
+   of some ``w`` places in a row (of equal ones the last). Cuts depend on nearby words alone, so an insertion shifts
+   none but those around it, and every ``min_words`` words hold two cuts or more that no word outside can move
+   (``min_words >= k - 1 + 2 * w``). A chunk runs from one cut to the next, both cuts' words included; it is at most
+   ``w + k`` words long, recurring words or not.
+2. **De-duplication.** Chunks are de-duplicated by digest (equal ones of one text first, so that periodic text is a few
+   rows), with partial sums before the shuffle; a chunk that two or more documents hold is shared.
+3. **Edges.** A repeated passage is a run of shared chunks and up to ``w + k`` words on either side. So a window of
+   ``min_words`` words is looked at only if all the chunks inside it are shared; it is hashed to 128 bits, and equal
+   windows are grouped like chunks. The smallest id that holds a window owns it. Each window has its own owner, so a
+   passage may repeat parts of several earlier documents.
 4. **Cut.** Words that lie in a window which an earlier document owns are removed; the owner keeps its text.
 
 Words are the same if their bytes are; white space between them may differ. Only what repeats across
-documents counts, not within one. Digests are 64 bits.
+documents counts, not within one. The filter that tells shared chunks has sixteen bits a chunk and more, up to 8 MB;
+beyond that more windows are hashed and the result stays the same.
 
 Cases: a null text is left as it is, like any text shorter than ``min_words``; rows that repeat an
 id count as one document (nothing is cut on account of each other); a null id sorts last; ties can't
@@ -45,60 +48,102 @@ def gear_hashes(h: np.ndarray, k: int) -> np.ndarray:
     return out
 
 
-def least_of(x: np.ndarray, n: int) -> np.ndarray:
-    """The least of every ``n`` values in a row."""
-    span = 1
-    while 2 * span <= n:
-        x, span = np.minimum(x[:-span], x[span:]), 2 * span
-    return np.minimum(x[: len(x) - (n - span)], x[n - span :])
-
-
-def samples(words: T.Words, min_words: int) -> tuple[np.ndarray, np.ndarray]:
-    """(sample, index of the first word) of every window of ``min_words`` words inside one text."""
-    n = len(words.h) - min_words + 1
-    if n < 1:
-        return np.empty(0, T.U64), np.empty(0, np.int64)
-    k = min_words // 2 + 1
-    least = least_of(T.mix(gear_hashes(words.h, k)), min_words - k + 1)
-    at = np.flatnonzero(words.doc[:n] == words.doc[min_words - 1 :])
-    return T.mix(least[at]), at  # mixed again: the least are small, the filter takes the upper bits
-
-
-def _samples(min_words: int):
-    """(digest, doc) of the samples of all windows, once for neighbours that share one."""
+def spacing(min_words: int) -> tuple[int, int]:
+    """(k, w): words of a gear hash and places of which the least is a cut."""
+    k = max(1, min_words // 6)
+    return k, max(1, (min_words - k + 1) // 2)
+
+
+def least_places(x: np.ndarray, n: int) -> np.ndarray:
+    """Index of the least of every ``n`` values in a row, of equal ones the last."""
+    m = len(x) - n + 1
+    least, at = x[:m].copy(), np.zeros(m, np.int64)
+    for j in range(1, n):
+        later = x[j : j + m]
+        better = later <= least
+        least[better] = later[better]
+        at[better] = j
+    return at + np.arange(m)
+
+
+class _Digests:
+    """Digests of any range of words in constant time: differences of running sums of word times base to the place,
+    divided by the power where the range begins (all modulo 2**64, so an odd base has an inverse)."""
+
+    _powers: dict[int, np.ndarray] = {}
+
+    def __init__(self, h: np.ndarray, seed: int):
+        base = int(T.constants(1, seed)[0])
+        self.inverse = self._power(pow(base, -1, 1 << 64), len(h))
+        self.total = np.concatenate([[T.U64(0)], np.cumsum(T.mix(h + T.U64(seed)) * self._power(base, len(h))[: len(h)], dtype=T.U64)])
+
+    @classmethod
+    def _power(cls, base: int, n: int) -> np.ndarray:
+        if len(cls._powers.get(base, ())) <= n:
+            cls._powers[base] = np.cumprod(np.concatenate([[T.U64(1)], np.full(max(n, 1 << 14), T.U64(base))]), dtype=T.U64)
+        return cls._powers[base]
+
+    def of(self, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+        return T.mix((self.total[hi] - self.total[lo]) * self.inverse[lo] + (hi - lo).astype(T.U64))
+
+
+class Chunks:
+    """The chunks of a slice of texts: ``first`` and ``end`` words, ``digest``, and for every window of ``min_words``
+    words inside one text (``at``: its first word) the chunks it holds, from ``lo`` up to ``hi``."""
+
+    def __init__(self, words: T.Words, min_words: int):
+        k, w = spacing(min_words)
+        n = len(words.h)
+        self.at = np.flatnonzero(words.doc[: max(0, n - min_words + 1)] == words.doc[min_words - 1 :])
+        self.first = self.end = self.lo = self.hi = np.empty(0, np.int64)
+        self.digest = np.empty(0, T.U64)
+        if not len(self.at):
+            return
+        least = least_places(T.mix(gear_hashes(words.h, k)), w)
+        span = w + k - 1
+        inside = words.doc[: n - span + 1] == words.doc[span - 1 :]
+        cuts = np.unique(least[inside])
+        number = np.zeros(n, np.int64)
+        number[cuts] = np.arange(len(cuts))
+        # Between cuts of different texts lies no chunk; such a pair is never inside a window.
+        self.first, self.end = cuts[:-1], cuts[1:] + k
+        self.digest = _Digests(words.h, 701).of(self.first, self.end)
+        self.real = words.doc[cuts[:-1]] == words.doc[cuts[1:]]
+        self.lo, self.hi = number[least[self.at]], number[least[self.at + min_words - k + 1 - w]]
+
+
+def _chunks(min_words: int):
+    """(digest, doc) of all chunks, once for equal ones of a text."""
 
     def work(batch: pa.RecordBatch, texts: list[bytes]) -> pa.RecordBatch:
         words = T.hash_words(texts, lower=False)
-        digest, at = samples(words, min_words)
-        row = words.doc[at]
-        new = np.ones(len(at), bool)
-        new[1:] = (digest[1:] != digest[:-1]) | (row[1:] != row[:-1])
-        doc = batch.column(0).to_numpy()[row[new]]
-        return pa.RecordBatch.from_arrays([pa.array(T.signed(digest[new])), pa.array(doc)], names=["digest", "doc"])
+        chunks = Chunks(words, min_words)
+        real = chunks.real if len(chunks.digest) else np.empty(0, bool)
+        digest, run = T.distinct_per_row(chunks.digest[real], words.doc[chunks.first[real]], len(texts))
+        doc = np.repeat(batch.column(0).to_numpy(), np.diff(run))
+        return pa.RecordBatch.from_arrays([pa.array(T.signed(digest)), pa.array(doc)], names=["digest", "doc"])
 
     return T.map_slices("text", work)
 
 
-def _windows(min_words: int, known: HashFilter):
-    """(digest, doc, key, places) of the windows whose sample passes, equal ones of a text together."""
-    c = T.constants(min_words, 701)
+def _windows(min_words: int, shared: HashFilter):
+    """(x, y, doc, key, places) of the windows whose chunks are all shared, equal ones of a text together."""
 
     def work(batch: pa.RecordBatch, texts: list[bytes]) -> pa.RecordBatch:
         words = T.hash_words(texts, lower=False)
-        sample, at = samples(words, min_words)
-        at = at[known.maybe(sample)]
-        total = np.zeros(len(at), T.U64)
-        for j in range(min_words):
-            total += words.h[at + j] * c[j]
-        digest, row = T.mix(total), words.doc[at]
-        order = np.lexsort((at, digest, row))
-        digest, row, at = digest[order], row[order], at[order]
+        chunks = Chunks(words, min_words)
+        alone = np.concatenate([[0], np.cumsum(~shared.maybe(chunks.digest))])
+        at = chunks.at[alone[chunks.hi] == alone[chunks.lo]] if len(chunks.digest) else chunks.at[:0]
+        x, y = (_Digests(words.h, seed).of(at, at + min_words) if len(at) else np.empty(0, T.U64) for seed in (702, 703))
+        row = words.doc[at]
+        order = np.lexsort((at, y, x, row))
+        x, y, row, at = x[order], y[order], row[order], at[order]
         new = np.ones(len(at), bool)
-        new[1:] = (digest[1:] != digest[:-1]) | (row[1:] != row[:-1])
+        new[1:] = (x[1:] != x[:-1]) | (y[1:] != y[:-1]) | (row[1:] != row[:-1])
         first = np.flatnonzero(new)
         places = pa.ListArray.from_arrays(pa.array(np.append(first, len(at)).astype(np.int32)), pa.array((at - words.first[row]).astype(np.int32)))
         doc, key = (batch.column(i).to_numpy()[row[first]] for i in (0, 1))
-        return pa.RecordBatch.from_arrays([pa.array(T.signed(digest[first])), pa.array(doc), pa.array(key), places], names=["digest", "doc", "key", "places"])
+        return pa.RecordBatch.from_arrays([pa.array(T.signed(x[first])), pa.array(T.signed(y[first])), pa.array(doc), pa.array(key), places], names=["x", "y", "doc", "key", "places"])
 
     return T.map_slices("text", work)
 
@@ -139,20 +184,21 @@ def _remove(min_words: int, text: str, repeats: str, ranges: str):
     return T.map_slices(text, work)
 
 
-def _owned(found: DataFrame) -> DataFrame:
+def _owned(found: DataFrame, *digest: str) -> DataFrame:
     """(digest, owner) of the digests that two or more documents hold."""
-    found = found.groupBy("digest").agg(F.min("doc").alias("owner"), F.max("doc").alias("last"))
-    return found.where("owner <> last").select("digest", "owner")
+    found = found.groupBy(*digest).agg(F.min("doc").alias("owner"), F.max("doc").alias("last"))
+    return found.where("owner <> last").select(*digest, "owner")
 
 
 def _repeats(docs: DataFrame, min_words: int) -> DataFrame:
     """(key, repeats) of every document with windows that an earlier one owns: lists of their places."""
-    sampled = docs.select("doc", "text").mapInArrow(_samples(min_words), "digest long, doc long")
-    known = HashFilter.of(cut(_owned(sampled), "passage-samples"), "digest", bits=25)
-    kind = "digest long, doc long, key long, places array<int>"
+    chunks = docs.select("doc", "text").mapInArrow(_chunks(min_words), "digest long, doc long")
+    shared = cut(_owned(chunks, "digest").select("digest"), "passage-chunks")
+    known = HashFilter.of(shared, "digest", bits=min(26, max(16, shared.count().bit_length() + 4)))
+    kind = "x long, y long, doc long, key long, places array<int>"
     windows = cut(docs.select("doc", "key", "text").mapInArrow(_windows(min_words, known), kind), "passage-windows")
-    owners = cut(_owned(windows), "passage-owners")
-    later = windows.join(owners, "digest").where("doc <> owner")
+    owners = cut(_owned(windows, "x", "y"), "passage-owners")
+    later = windows.join(owners, ["x", "y"]).where("doc <> owner")
     return cut(later.groupBy("key").agg(F.collect_set("places").alias("repeats")), "passage-by-text")
 
 

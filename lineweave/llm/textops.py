@@ -15,6 +15,8 @@ import numpy as np
 import pyarrow as pa
 
 SLICE_BYTES = 1 << 20
+#: Bytes whose words are hashed at once.
+HASH_BYTES = 1 << 21
 
 U64 = np.uint64
 
@@ -101,18 +103,24 @@ def hash_words(texts: list[bytes], separators: np.ndarray = WHITE, lower: bool =
     doc = np.repeat(np.arange(len(texts), dtype=np.int32), np.diff(first))
     if not len(start):
         return Words(np.empty(0, U64), doc, start, end, first, buf, base)
+    h = np.empty(len(start), U64)
+    # A long text is hashed in blocks of words, so that only spans and hashes are held for the whole.
+    cuts = np.unique(np.searchsorted(start, np.arange(0, len(buf) + HASH_BYTES, HASH_BYTES)))
+    for a, b in zip(cuts[:-1], cuts[1:]):
+        lo, hi = start[a], end[b - 1]
+        h[a:b] = _hash_block(buf[lo:hi], gap[lo:hi], start[a:b] - lo, end[a:b] - lo)
+    return Words(h, doc, start, end, first, buf, base)
+
+
+def _hash_block(buf: np.ndarray, gap: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hashes of the words start:end of ``buf``; the first word starts at 0, the last ends with it."""
     lengths = end - start
-    place = np.arange(len(buf)) - np.repeat(start, np.diff(np.append(start, len(buf))))[-len(buf) :] if start[0] == 0 else None
-    if place is None:
-        place = np.empty(len(buf), np.int64)
-        place[: start[0]] = 0
-        place[start[0] :] = np.arange(start[0], len(buf)) - np.repeat(start, np.diff(np.append(start, len(buf))))
+    place = np.arange(len(buf)) - np.repeat(start, np.diff(np.append(start, len(buf))))
     np.minimum(place, int(lengths.max()), out=place)
     values = _BYTE_CODE[buf]
     values[gap] = 0
     values *= _powers(int(lengths.max()) + 1)[place]
-    h = mix(np.add.reduceat(values, start) + lengths.astype(U64) * U64(0xD6E8FEB86659FD93))
-    return Words(h, doc, start, end, first, buf, base)
+    return mix(np.add.reduceat(values, start) + lengths.astype(U64) * U64(0xD6E8FEB86659FD93))
 
 
 def shingle_hashes(words: Words, k: int) -> tuple[np.ndarray, np.ndarray]:

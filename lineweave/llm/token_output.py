@@ -6,15 +6,17 @@ Each task tokenises its documents, adds the end id, splits documents longer than
 segment tree over the rooms 0..width finds it in log(width) steps. Nothing is shuffled, memory is
 one window, and what a window leaves empty is about one row.
 
-For every window one shard of three files is written under ``path``:
+For every window one shard of four files is written under ``path``:
 
 * ``<shard>.ids``: rows x width ids, unsigned little-endian, 16 bits if the vocabulary fits, padded
   with the end id;
 * ``<shard>.cu``: for every row the cumulative segment lengths from 0 to the row's filled length,
   signed 32-bit, all rows one after another;
-* ``<shard>.ptr``: where each row begins in ``.cu``, signed 64-bit, one entry more than rows.
+* ``<shard>.ptr``: where each row begins in ``.cu``, signed 64-bit, one entry more than rows;
+* ``<shard>.rst``: position resets, one bit an id (rows x width bits, the first in the highest bit): set where the
+  position within a segment is 0 again, and where the padding begins.
 
-Position ids restart at every cumulative length (:func:`position_ids`). Files are written under a
+:func:`position_ids` and :func:`positions_of_resets` give the positions that a model is fed. Files are written under a
 temporary name and renamed, and a shard's name depends on its place in the input, so a task that runs
 again after a lost executor replaces its own shards.
 
@@ -73,9 +75,23 @@ def position_ids(cu: np.ndarray, width: int) -> np.ndarray:
     return np.arange(width) - np.repeat(edges[:-1], np.diff(edges))
 
 
+def resets_of(cu: np.ndarray, width: int) -> np.ndarray:
+    """Which places of a row a segment, or the padding, begins at."""
+    out = np.zeros(width + 1, bool)
+    out[cu] = True
+    return out[:width]
+
+
+def positions_of_resets(resets: np.ndarray) -> np.ndarray:
+    """Position ids of a row from its resets."""
+    at = np.arange(len(resets))
+    return at - np.maximum.accumulate(np.where(resets, at, 0))
+
+
 def _window(store: Store, shard: str, pieces: list[tuple], width: int, end_id: int, kind: str) -> pa.RecordBatch:
     rows = best_fit_rows([p[3] for p in pieces], width)
     matrix = np.full((len(rows), width), end_id, kind)
+    resets = np.zeros((len(rows), width), bool)
     cu, pointer, out = [], [0], {n: [] for n in _SCHEMA.names}
     for r, items in enumerate(rows):
         own = [0]
@@ -83,6 +99,7 @@ def _window(store: Store, shard: str, pieces: list[tuple], width: int, end_id: i
             matrix[r, own[-1] : own[-1] + pieces[i][3]] = pieces[i][4]
             own.append(own[-1] + pieces[i][3])
         cu += own
+        resets[r] = resets_of(np.array(own), width)
         pointer.append(len(cu))
         values = (shard, r, own[-1], len(items), zlib.crc32(matrix[r, : own[-1]].astype("<u4").tobytes()), own, [dict(zip(("doc_id", "piece", "start", "length"), pieces[i][:4])) for i in items])
         for n, v in zip(_SCHEMA.names, values):
@@ -90,6 +107,7 @@ def _window(store: Store, shard: str, pieces: list[tuple], width: int, end_id: i
     store.write(f"{shard}.ids", matrix.tobytes())
     store.write(f"{shard}.cu", np.array(cu, "<i4").tobytes())
     store.write(f"{shard}.ptr", np.array(pointer, "<i8").tobytes())
+    store.write(f"{shard}.rst", np.packbits(resets, axis=1).tobytes())
     return pa.RecordBatch.from_pydict(out, _SCHEMA)
 
 
@@ -133,5 +151,11 @@ def read_shard(path: str, shard: str, width: int = WIDTH, kind: str = "<u2") ->
     return ids, [cu[a:b] for a, b in zip(pointer[:-1], pointer[1:])]
 
 
+def read_resets(path: str, shard: str, width: int = WIDTH) -> np.ndarray:
+    """The resets of a shard's rows (rows x width)."""
+    packed = np.frombuffer(Store(path).read(f"{shard}.rst"), np.uint8).reshape(-1, -(-width // 8))
+    return np.unpackbits(packed, axis=1, count=width).astype(bool)
+
+
 def op5_token_ids(spark, sf_dir: str) -> DataFrame:
     return write_packed_ids(read_table(spark, sf_dir, "documents"), shared_dir(spark, "token-ids"))

@@ -10,7 +10,8 @@ their decision.
 **Index.** Captures are range-sorted by the URL with its host reversed (``org,example)/path``). Each
 range writes one file of compressed blocks of 512 entries (key, page id, archive, offset, length) and a
 row per block goes into the sparse directory. A look-up finds the block by binary search in the
-directory, reads that byte range, searches the block, and reads the record's byte range.
+directory, reads that byte range, searches the block, and reads the record's byte range; the query reads all
+archives back in this way, asking for the pages' own URLs.
 
 Cases: a null html is an empty payload; a null url has the empty key; a null id is allowed and never
 referred to; rows that repeat an id and its payload are all responses if that id is the largest
@@ -247,23 +248,27 @@ def look_up(urls: DataFrame, directory: DataFrame, path: str, column: str = "url
     met = urls.select(F.col(column).cast("string")).mapInArrow(deal, "file string, asked string").distinct()
 
     def run(wanted: pa.Table, blocks: pa.Table) -> pa.Table:
-        store, out = Store(path), []
+        store, out = Store(path), [_records([])]
         lines = sorted(zip(*(blocks.column(n).to_pylist() for n in ("first_key", "last_key", "offset", "length"))), key=lambda b: b[2])
-        lasts = [b[1] for b in lines]
-        for asked_key in wanted.column("asked").to_pylist() if lines else []:
+        lasts, asked = [b[1] for b in lines], sorted(wanted.column("asked").to_pylist())
+        held, entries, keys = -1, [], []
+        for asked_key in asked if lines else []:
             at = bisect_left(lasts, asked_key)
             while at < len(lines) and lines[at][0] <= asked_key:
-                entries = _entries(store.read_range(blocks.column("file")[0].as_py(), lines[at][2], lines[at][3]))
-                keys = [e[0] for e in entries]
-                out += [parse(store.read_range(*e[2:])) for e in entries[bisect_left(keys, asked_key) : bisect_right(keys, asked_key)]]
+                if at != held:  # asked keys are in order, so a block is read once
+                    entries, held = _entries(store.read_range(blocks.column("file")[0].as_py(), lines[at][2], lines[at][3])), at
+                    keys = [e[0] for e in entries]
+                met = entries[bisect_left(keys, asked_key) : bisect_right(keys, asked_key)]
+                out.append(_records([parse(store.read_range(*e[2:])) for e in sorted(met, key=lambda e: e[2:])]))
                 at += 1
-        return pa.Table.from_batches([_records(out)])
+        return pa.Table.from_batches(out).combine_chunks()
 
     return met.groupBy("file").cogroup(directory.groupBy("file")).applyInArrow(run, _RECORD)
 
 
 def op9_warc(spark, sf_dir: str) -> DataFrame:
-    path = shared_dir(spark, "warc")
-    captures = write_archives(read_table(spark, sf_dir, "pages"), path)
-    records = read_through_index(write_index(captures, path), path)
-    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    """Every page's record, looked up under the page's own URL. Pages that share a key share a look-up, which finds
+    each of their captures once."""
+    path, pages = shared_dir(spark, "warc"), read_table(spark, sf_dir, "pages")
+    directory = write_index(write_archives(pages, path), path)
+    return look_up(pages, directory, path).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")

@@ -57,6 +57,32 @@ def test_pairwise_weights_learn_what_additive_ones_cannot():
     assert ((fm.logits(model, numbers, run) > 0) == (y == 1)).all()
 
 
+@pytest.mark.parametrize("rule", ["either but not both", "both"])
+def test_words_that_count_in_company_only_are_learned(spark, rule):
+    """Through ``fit``, on texts: neither word tells anything alone (of the exclusive or)."""
+    rng = np.random.default_rng(5)
+    rows, labels = [], []
+    for i in range(6000):
+        a, b = rng.random(2) < 0.5
+        words = [f"w{j}" for j in rng.integers(0, 3000, 30)] + ["apple"] * bool(a) + ["stone"] * bool(b)
+        rng.shuffle(words)
+        rows.append((i, " ".join(words)))
+        labels.append((i, int(a != b) if rule != "both" else int(a and b)))
+    docs, known = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int")
+    model = fit_toxicity(docs, known)
+    out = fm.scored(docs, model).join(known, "doc_id").where(fm.fold("doc_id", 5) == 0)
+    accuracy, n = out.select(F.avg((F.col("predicted") == F.col("toxic")).cast("double")), F.count("*")).first()
+    assert n > 1000 and accuracy >= 0.95
+
+
+def test_pair_gain_finds_pairs_and_leaves_chance_alone():
+    rng = np.random.default_rng(3)
+    x = (rng.random((4000, 60)) < 0.4).astype(np.float32)
+    y = ((x[:, 7] != x[:, 31]) ^ (rng.random(4000) < 0.1)).astype(np.float32)
+    gain = fm.in_pairs(x, y, TOXICITY)
+    assert set(np.flatnonzero(gain >= TOXICITY.least_pair_gain)) == {7, 31}
+
+
 def test_training_never_sees_the_held_out_fold(spark):
     docs, labels = (spark.read.parquet(f"{SF001}/{t}.parquet") for t in ("documents", "labels"))
     flipped = labels.withColumn("quality", F.when(fm.fold("doc_id", 3) == 1, 1 - F.col("quality")).otherwise(F.col("quality")))

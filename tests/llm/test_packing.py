@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 
 from lineweave.llm.packing import best_fit_decreasing, op8_pack, packed_pieces, plan_sequences, reduce_dominated
-from lineweave.llm.token_output import op5_token_ids, position_ids, read_shard, write_packed_ids
+from lineweave.llm.token_output import op5_token_ids, position_ids, positions_of_resets, read_resets, read_shard, write_packed_ids
 from lineweave.llm.tokens import Encoder, piece_sizes
 from lineweave.session import shared_dir
 
@@ -106,6 +106,10 @@ def test_shards_give_every_document_back(spark, reference):
     out = write_packed_ids(docs, path, width=64, window_rows=4).collect()
     shards = {s: read_shard(path, s, 64) for s in {r["shard"] for r in out}}
     assert sum(len(ids) for ids, _ in shards.values()) == len(out)
+    resets = {s: read_resets(path, s, 64) for s in shards}
+    for s, (ids, cus) in shards.items():
+        assert resets[s].shape == ids.shape
+        assert all((positions_of_resets(row) == position_ids(cu, 64)).all() for row, cu in zip(resets[s], cus))
     pieces = {}
     for r in out:
         ids, cu = shards[r["shard"]][0][r["row"]], shards[r["shard"]][1][r["row"]]

@@ -1,6 +1,9 @@
 import random
 
-from lineweave.llm.substring_dedup import op7_substring_dedup, remove_repeated_passages
+import pytest
+
+from lineweave.llm import textops as T
+from lineweave.llm.substring_dedup import Chunks, op7_substring_dedup, remove_repeated_passages, spacing
 from tests.conftest import SF001
 from tests.llm import brute
 
@@ -62,6 +65,40 @@ def test_cases(spark):
     assert remove_repeated_passages(docs.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("least", [1, 2, 5, 12, 50])
+def test_windows_hold_the_same_chunks_in_any_context(least):
+    """Two copies of a stretch of words among other words: each of its windows holds the same chunks."""
+    rng = random.Random(least)
+    for words in (prose(rng, 3 * least), (["a", "b"] * 3 * least)[: 3 * least], [rng.choice("xyz") for _ in range(3 * least)]):
+        seen = []
+        for before, behind in ((0, 0), (37, 5), (8, 61)):
+            text = " ".join(prose(rng, before) + words + prose(rng, behind)).encode()
+            chunks = Chunks(T.hash_words([text], lower=False), least)
+            held = {a - before: tuple(chunks.digest[lo:hi]) for a, lo, hi in zip(chunks.at, chunks.lo, chunks.hi)}
+            seen.append([held[a] for a in range(len(words) - least + 1)])
+            k, w = spacing(least)
+            real = chunks.real
+            assert least < 2 or ((chunks.end - chunks.first)[real] <= w + k).all()
+        assert seen[0] == seen[1] == seen[2] and (least < 12 or all(seen[0]))
+
+
+def test_chunks_are_few():
+    rng = random.Random(8)
+    chunks = Chunks(T.hash_words([" ".join(prose(rng, 20_000)).encode(), (b"same " * 20_000)], lower=False), 50)
+    assert len(chunks.digest[chunks.first < 20_000]) < 20_000 / 9 and len(set(chunks.digest[chunks.first >= 20_000])) == 1
+
+
+def test_other_lengths(spark):
+    rng = random.Random(12)
+    for least in (2, 7, 20):
+        rows = []
+        for n in (least - 1, least, least + 3):
+            passage = prose(rng, n)
+            rows += [(len(rows) + i, " ".join(prose(rng, 9 + 5 * i) + passage + prose(rng, 11))) for i in range(2)]
+        out = remove_repeated_passages(spark.createDataFrame(rows, "doc_id long, text string"), min_words=least, ranges="cut").collect()
+        assert {r["doc_id"]: [(c["first_word"], c["end_word"]) for c in r["cut"]] for r in out} == brute.repeated(rows, least)
+
+
 def test_tables_and_periodic_text_are_cut_like_prose(spark):
     rng = random.Random(5)
     cells = lambda n: [w for k in range(n) for w in ("|", f"c{rng.randrange(100_000)}")]

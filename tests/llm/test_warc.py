@@ -1,7 +1,9 @@
 import hashlib
+import random
 
 import pytest
 
+from lineweave.llm import warc
 from lineweave.llm.warc import look_up, op9_warc, parse, read_through_index, record, url_key, write_archives, write_index
 from lineweave.session import shared_dir
 from tests.conftest import SF001
@@ -48,6 +50,20 @@ def test_cases_index_and_look_up(spark):
     assert read_through_index(empty, path + "-none").count() == 0
 
 
+def test_long_payloads_several_archives_and_shared_urls(spark, monkeypatch):
+    """Archives that roll over, a payload larger than one, and many pages under one URL, all read back by look-ups."""
+    monkeypatch.setattr(warc, "ARCHIVE_BYTES", 20_000)
+    rng = random.Random(1)
+    noise = lambda n: "".join(chr(rng.randrange(0x21, 0x7E)) for _ in range(n))
+    rows = [(i, f"http://h{i % 5}.org/{i}", noise(rng.randrange(3000))) for i in range(200)]
+    rows += [(1000 + i, "http://one.org/", noise(1200)) for i in range(1500)] + [(5000, "http://big.org/", noise(300_000)), (5001, None, noise(10))]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    path = shared_dir(spark, "test-warc-many")
+    captures = write_archives(pages, path)
+    assert captures.select("archive").distinct().count() > 20
+    assert rows_of(look_up(pages, write_index(captures, path), path)) == model(rows)
+
+
 def test_keys_sort_a_domain_together():
     assert url_key("https://www.Example.org:81/A?b") == "org,example,www:81)/A?b"
     assert url_key("http://example.org") == "org,example)/"
