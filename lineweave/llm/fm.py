@@ -50,7 +50,7 @@ class Settings:
     terms: int = 4096
     least_rows: int = 5
     least_gain: float = 22.0
-    pair_terms: int = 2048
+    pair_terms: int = 1024
     least_pair_gain: float = 60.0
     bins: int = 8
     rank: int = 8
@@ -202,10 +202,9 @@ def in_pairs(x: np.ndarray, y: np.ndarray, settings: Settings) -> np.ndarray:
     # Half a row of each class keeps shares away from 0 and 1.
     share = (k + 0.5) / (n + 1.0)
     best = np.zeros(x.shape[1])
-    labelled = x * y[:, None]
     for lo in range(0, x.shape[1], 256):
         some = slice(lo, lo + 256)
-        both, ones = x.T @ x[:, some], labelled.T @ x[:, some]
+        both, ones = x.T @ x[:, some], x.T @ (x[:, some] * y[:, None])
         gain = np.minimum(_gain(both, ones, share[:, None]), _gain(both, ones, share[None, some]))
         gain[both < settings.least_rows] = 0.0
         gain[np.arange(lo, min(lo + 256, x.shape[1])), np.arange(gain.shape[1])] = 0.0

@@ -29,17 +29,25 @@ def read_table(spark, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+#: Workers serve many tasks. Arrays of a megabyte and more go back to the system when they are freed (glibc would keep
+#: up to 32 MB each for later), and no worker holds an arena or a pool for every thread.
+WORKER_MEMORY = {"MALLOC_ARENA_MAX": "1", "MALLOC_MMAP_THRESHOLD_": str(1 << 20), "MALLOC_TRIM_THRESHOLD_": str(1 << 20), "ARROW_DEFAULT_MEMORY_POOL": "system", "OPENBLAS_NUM_THREADS": "1"}
+
+
 def prepare(spark, rows: int = 1000) -> None:
     """Session settings that the operators with Python tasks need.
 
     Arrow batches hold at most ``rows`` rows, so that a batch of long texts stays small. Python
     workers find this package where the driver found it (an installed package or ``--py-files``
-    needs nothing; this covers a source tree that executors share).
+    needs nothing; this covers a source tree that executors share), and give freed memory back.
     """
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
-    known = spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep)
+    env = spark.sparkContext.environment
+    known = env.get("PYTHONPATH", "").split(os.pathsep)
     if _ROOT not in known:
-        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [_ROOT, *known]))
+        env["PYTHONPATH"] = os.pathsep.join(filter(None, [_ROOT, *known]))
+    for name, value in WORKER_MEMORY.items():
+        env.setdefault(name, value)
 
 
 class HashFilter:

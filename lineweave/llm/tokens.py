@@ -16,8 +16,8 @@ import struct
 
 VOCABULARY, RANKS = "byte_bpe_50k.json", "byte_bpe_50k.tiktoken"
 SPECIAL = "<|endoftext|>"
-#: Chunks that a process remembers; later new ones are encoded each time.
-REMEMBERED = 500_000
+#: Chunks that a process remembers of each kind (about 200 bytes each); later new ones are encoded each time.
+REMEMBERED = 200_000
 
 #: White space other than blank, line feed, tab and return; the ASCII ones first.
 _RARE_SPACE = [c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n\t\r"]
