@@ -8,7 +8,8 @@
 2. **De-duplication.** Chunks are de-duplicated by digest (equal ones of one text first, so that periodic text is a few
    rows), with partial sums before the shuffle; a chunk that two or more documents hold is shared.
 3. **Edges.** A repeated passage is a run of shared chunks and up to ``w + k`` words on either side. So a window of
-   ``min_words`` words is looked at only if all the chunks inside it are shared; it is hashed to 128 bits, and equal
+   ``min_words`` words is looked at only if all the chunks inside it are shared; it is hashed to 96 bits (10**13 windows
+   share one by chance with probability 0.001), and equal
    windows are grouped like chunks. The smallest id that holds a window owns it. Each window has its own owner, so a
    passage may repeat parts of several earlier documents.
 4. **Cut.** Words that lie in a window which an earlier document owns are removed; the owner keeps its text.
@@ -135,7 +136,7 @@ def _windows(min_words: int, shared: HashFilter):
         alone = np.concatenate([[0], np.cumsum(~shared.maybe(chunks.digest))])
         at = chunks.at[alone[chunks.hi] == alone[chunks.lo]] if len(chunks.digest) else chunks.at[:0]
         x, y = (_Digests(words.h, seed).of(at, at + min_words) if len(at) else np.empty(0, T.U64) for seed in (702, 703))
-        row = words.doc[at]
+        y, row = (y >> T.U64(32)).astype(np.uint32).view(np.int32), words.doc[at]
         order = np.lexsort((at, y, x, row))
         x, y, row, at = x[order], y[order], row[order], at[order]
         new = np.ones(len(at), bool)
@@ -143,7 +144,7 @@ def _windows(min_words: int, shared: HashFilter):
         first = np.flatnonzero(new)
         places = pa.ListArray.from_arrays(pa.array(np.append(first, len(at)).astype(np.int32)), pa.array((at - words.first[row]).astype(np.int32)))
         doc, key = (batch.column(i).to_numpy()[row[first]] for i in (0, 1))
-        return pa.RecordBatch.from_arrays([pa.array(T.signed(x[first])), pa.array(T.signed(y[first])), pa.array(doc), pa.array(key), places], names=["x", "y", "doc", "key", "places"])
+        return pa.RecordBatch.from_arrays([pa.array(T.signed(x[first])), pa.array(y[first]), pa.array(doc), pa.array(key), places], names=["x", "y", "doc", "key", "places"])
 
     return T.map_slices("text", work)
 
@@ -195,7 +196,7 @@ def _repeats(docs: DataFrame, min_words: int) -> DataFrame:
     chunks = docs.select("doc", "text").mapInArrow(_chunks(min_words), "digest long, doc long")
     shared = cut(_owned(chunks, "digest").select("digest"), "passage-chunks")
     known = HashFilter.of(shared, "digest", bits=min(26, max(16, shared.count().bit_length() + 4)))
-    kind = "x long, y long, doc long, key long, places array<int>"
+    kind = "x long, y int, doc long, key long, places array<int>"
     windows = cut(docs.select("doc", "key", "text").mapInArrow(_windows(min_words, known), kind), "passage-windows")
     owners = cut(_owned(windows, "x", "y"), "passage-owners")
     later = windows.join(owners, ["x", "y"]).where("doc <> owner")
