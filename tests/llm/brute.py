@@ -61,3 +61,25 @@ def repeated(rows, least=50):
 
 def alnum(text):
     return re.findall(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (text or "").encode().lower())
+
+
+def overlapping(x, y, least=13):
+    """Whether words ``x`` and ``y`` agree in 70 % of a stretch of ``least`` words (or all of ``y``): all diagonals
+    and all stretches on them."""
+    least, places, same = min(least, len(y)), {}, {}
+    for j, w in enumerate(y):
+        places.setdefault(w, []).append(j)
+    for i, w in enumerate(x):
+        for j in places.get(w, ()):
+            same.setdefault(i - j, []).append(i)
+    for diagonal, hits in same.items():
+        lo, hi = max(0, diagonal), min(len(x), len(y) + diagonal)
+        if 10 * len(hits) < 7 * least or not least:
+            continue
+        marks = [0] * (hi - lo)
+        for i in hits:
+            marks[i - lo] = 1
+        for a in range(hi - lo):
+            if any(10 * sum(marks[a:e]) >= 7 * (e - a) for e in range(a + least, hi - lo + 1)):
+                return True
+    return False

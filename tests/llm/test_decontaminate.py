@@ -97,3 +97,36 @@ def test_substitutions_up_to_the_rule_and_short_items(spark):
             docs.append((1000 + i, " ".join(prose(rng, 30) + [f"new{k}" if k in places else w for k, w in enumerate(item)] + prose(rng, 30))))
     found = contaminated(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
     assert {(r["doc_id"], r["item_id"]) for r in found.collect()} == expected
+
+
+def test_the_whole_rule_on_the_documents_and_on_changed_ones(spark):
+    """All pairs by brute force: the given documents, copies of them, and documents with every sixth to second word new."""
+    rng = random.Random(9)
+    given = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{SF001}/documents.parquet").select("doc_id", "text").collect()]
+    items = [(r["item_id"], r["text"]) for r in spark.read.parquet(f"{SF001}/benchmark.parquet").select("item_id", "text").collect()]
+    rows = given + [(i + 20_000, t) for i, t in given[::3]]
+    for i, t in items * 4:
+        share = rng.uniform(0.15, 0.5)
+        rows.append((50_000 + len(rows), " ".join(prose(rng, 20) + [f"new{rng.random()}" if rng.random() < share else w for w in t.split()] + prose(rng, 20))))
+    words = {i: brute.alnum(t) for i, t in rows}
+    facing = [(i, brute.alnum(t)) for i, t in items]
+    expected = {(d, i) for d, x in words.items() for i, y in facing if brute.overlapping(x, y)}
+    found = contaminated(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in found} == expected and len(found) == len(expected)
+    assert sum(d > 50_000 for d, _ in expected) not in (0, 4 * len(items))
+    for r in found:
+        x = words[r["doc_id"]][r["first_word"] : r["end_word"]]
+        y = dict(facing)[r["item_id"]][r["item_first_word"] : r["item_end_word"]]
+        assert len(x) == len(y) and r["n_same"] == sum(a == b for a, b in zip(x, y)) and 10 * r["n_same"] >= 7 * len(x)
+
+
+def test_a_hot_item_and_copies(spark):
+    """A third of the rows are one text; two items are equal; each id is reported once an item."""
+    rng = random.Random(10)
+    item = prose(rng, 20)
+    text = " ".join(prose(rng, 30) + item)
+    rows = [(i, text) for i in range(400)] + [(1000 + i, " ".join(prose(rng, 40) + item[:15] + prose(rng, 9))) for i in range(300)] + [(5000 + i, " ".join(prose(rng, 50))) for i in range(300)]
+    items = [(1, " ".join(item)), (2, " ".join(item)), (3, " ".join(prose(rng, 20)))]
+    found = contaminated(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    got = [(r["doc_id"], r["item_id"], r["n_same"]) for r in found.collect()]
+    assert sorted(got) == sorted((d, i, 20 if d < 1000 else 15) for d, _ in rows if d < 5000 for i in (1, 2))

@@ -1,3 +1,5 @@
+import random
+
 from lineweave.llm.license_scan import BASE_PHRASES, LICENSE_TEXTS, op4_license_scan, scan_licenses
 from tests.conftest import SF001
 from tests.llm import brute
@@ -40,3 +42,43 @@ def test_cases(spark):
     docs = spark.createDataFrame([(*r, *[None] * 6) for r in rows], schema)
     assert rows_of(scan_licenses(docs)) == sorted((base(*r) for r in rows), key=str)
     assert scan_licenses(docs.limit(0)).count() == 0
+
+
+def voted(text):
+    """(labels, score) by plain loops: 3-grams of every template at all places, diagonals, runs of near diagonals."""
+    w, labels, score = brute.alnum(text), set(), 0.0
+    for phrase, label in BASE_PHRASES.items():
+        p = phrase.encode().split()
+        if any(w[a : a + len(p)] == p for a in range(len(w))):
+            labels, score = labels | {label}, 1.0
+    for label, template in LICENSE_TEXTS:
+        t = brute.alnum(template)
+        grams = len(t) - 2
+        votes = sorted((a - b, a) for b in range(grams) for a in range(len(w) - 2) if w[a : a + 3] == t[b : b + 3])
+        runs = []
+        for diagonal, place in votes:
+            if runs and diagonal - runs[-1][-1][0] <= 3:
+                runs[-1].append((diagonal, place))
+            else:
+                runs.append([(diagonal, place)])
+        for run in runs:
+            places, cover = [p for _, p in run], min(1.0, len(run) / grams)
+            score = max(score, cover)
+            if cover >= 0.6 and max(places) - min(places) + 1 <= 2 * (grams + 2):
+                labels.add(label)
+    return ",".join(sorted(labels)), round(score, 9)
+
+
+def test_labels_and_scores_match_plain_voting(spark):
+    rng = random.Random(3)
+    texts = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{SF001}/documents.parquet").select("doc_id", "text").collect()]
+    for k in range(120):
+        parts = []
+        for _, sentence in rng.sample(LICENSE_TEXTS, 3):
+            w = [x for x in sentence.split() if rng.random() > 0.12]
+            for _ in range(rng.randrange(4)):
+                w.insert(rng.randrange(len(w) + 1), rng.choice(["source", "put", "in", "the"]))
+            parts += w + ["between"] * rng.randrange(3)
+        texts.append((100_000 + k, " ".join(parts)))
+    got = {r["doc_id"]: (r["labels"], round(r["score"], 9)) for r in scan_licenses(spark.createDataFrame(texts, "doc_id long, text string")).collect()}
+    assert got == {i: voted(t) for i, t in texts} and len({x for x, _ in got.values()}) > 10
