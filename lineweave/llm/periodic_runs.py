@@ -172,3 +172,33 @@ def op12_periodic_runs(spark, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join(line, ""), 256).alias("runs_sha256"),
         F.sha2("collapsed", 256).alias("collapsed_sha256"),
     )
+
+
+#: DuckDB SQL of the query; the crc32 of an id is folded over its digits, a byte and eight shifts (-1) each.
+OP12_SQL = r"""
+    WITH b AS (
+        SELECT doc_id, coalesce(text, '') AS t,
+               xor(list_reduce(list_prepend(4294967295::BIGINT, flatten([[ord(x)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1] FOR x IN string_split(CAST(doc_id AS VARCHAR), '')])),
+                   lambda c, x: CASE WHEN x >= 0 THEN xor(c, x) WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END), 4294967295) AS h
+        FROM documents),
+    w AS (SELECT doc_id, h, h // 10 AS g, [x FOR x IN regexp_split_to_array(t, '[\x20\x09-\x0D]+') IF x <> ''] AS ws FROM b),
+    a AS (SELECT *, len(ws) AS n, CASE WHEN h % 10 = 0 AND len(ws) > 0 THEN g % len(ws) END AS a FROM w),
+    p AS (SELECT *, 1 + (n - a) // (3 + g % 8) AS p FROM a),
+    u AS (SELECT doc_id, n, a, p, unnest(range(n)) AS i, unnest(ws) AS word FROM p),
+    v AS (SELECT doc_id, n, i, word FROM u WHERE a IS NULL OR i < a
+          UNION ALL SELECT x.doc_id, x.n, x.i, y.word FROM u x JOIN u y ON x.doc_id = y.doc_id AND y.i = x.a + (x.i - x.a) % x.p WHERE x.i >= x.a),
+    -- A run of period q holds five words in a row that are equal to the five q words on.
+    k AS (SELECT doc_id, n, i, concat_ws(' ', word, lead(word, 1) OVER o, lead(word, 2) OVER o, lead(word, 3) OVER o, lead(word, 4) OVER o) AS gram
+          FROM v WINDOW o AS (PARTITION BY doc_id ORDER BY i) QUALIFY lead(word, 4) OVER o IS NOT NULL),
+    e AS (SELECT x.doc_id, y.i - x.i AS q, x.i FROM k x JOIN k y ON x.doc_id = y.doc_id AND x.gram = y.gram AND y.i > x.i AND 4 * (y.i - x.i) <= x.n),
+    f AS (SELECT *, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS island FROM e),
+    m AS (SELECT doc_id, q, min(i) AS s, max(i) + 5 + q - min(i) AS l FROM f GROUP BY doc_id, q, island HAVING max(i) + 5 + q - min(i) >= greatest(6, 4 * q)),
+    r AS (SELECT doc_id, s, l, min(q) AS q FROM m GROUP BY doc_id, s, l),
+    best AS (SELECT doc_id, count(*) AS n_runs, string_agg(s || ',' || l || ',' || q || chr(10), '' ORDER BY s, q) AS lines,
+                    first(struct_pack(s := s, l := l, q := q) ORDER BY l DESC, s, q) AS top FROM r GROUP BY doc_id),
+    x AS (SELECT doc_id, unnest(range(s + q, s + l)) AS i FROM r),
+    kept AS (SELECT v.doc_id, string_agg(word, ' ' ORDER BY v.i) AS t FROM v ANTI JOIN x ON v.doc_id = x.doc_id AND v.i = x.i GROUP BY v.doc_id)
+    SELECT d.doc_id, coalesce(n_runs, 0) AS n_runs, top.s AS start, top.l AS length, top.q AS period, 1000 * top.l // top.q AS exponent_milli,
+           sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(kept.t, '')) AS collapsed_sha256
+    FROM documents d LEFT JOIN best ON best.doc_id = d.doc_id LEFT JOIN kept ON kept.doc_id = d.doc_id
+"""

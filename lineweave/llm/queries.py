@@ -9,9 +9,9 @@ from lineweave.llm.license_scan import op4_license_scan
 from lineweave.llm.near_dedup import op3_near_dedup
 from lineweave.llm.ngram_join import OP11_SQL, components_sql, op11_jaccard_join
 from lineweave.llm.packing import op8_pack
-from lineweave.llm.periodic_runs import op12_periodic_runs
+from lineweave.llm.periodic_runs import OP12_SQL, op12_periodic_runs
 from lineweave.llm.quality import op10_quality
-from lineweave.llm.substring_dedup import op7_substring_dedup
+from lineweave.llm.substring_dedup import OP7_SQL, op7_substring_dedup
 from lineweave.llm.token_output import op5_token_ids
 from lineweave.llm.toxicity import op1_toxicity
 from lineweave.llm.warc import op9_warc
@@ -34,7 +34,9 @@ QUERIES = {
 
 SQL: dict[str, str] = {
     "op3_near_dedup": f"SELECT *, doc_id = component_id AS kept FROM ({components_sql(85)})",
+    "op7_substring_dedup": OP7_SQL,
     "op11_jaccard_join": OP11_SQL,
+    "op12_periodic_runs": OP12_SQL,
     "op13_fill_middle": OP13_SQL,
     "op9_warc": """
         WITH p AS (SELECT page_id, coalesce(html, '') AS html, strlen(coalesce(html, '')) AS n, sha1(coalesce(html, '')) AS d FROM pages),

@@ -225,8 +225,29 @@ def remove_repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS, ranges
 
 
 def op7_substring_dedup(spark, sf_dir: str) -> DataFrame:
-    """Per document: what was removed, and the digest of the text that stays."""
+    """Per document: what was removed (``first-end`` words, by commas), and the digest of the text that stays."""
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     out = remove_repeated_passages(docs, ranges="removed")
     words = F.aggregate("removed", F.lit(0), lambda n, r: n + r["end_word"] - r["first_word"])
-    return out.select("doc_id", F.size("removed").alias("n_passages"), words.alias("removed_words"), "removed", F.sha2("text", 256).alias("kept_sha256"))
+    listed = F.transform("removed", lambda r: F.concat_ws("-", r["first_word"].cast("string"), r["end_word"].cast("string")))
+    kept = F.sha2("text", 256).alias("kept_sha256")
+    return out.select("doc_id", F.size("removed").alias("n_passages"), words.alias("removed_words"), F.array_join(listed, ",").alias("removed"), kept)
+
+
+#: DuckDB SQL of the query: all windows of 50 words; a unit is a word and the white space behind it.
+OP7_SQL = r"""
+    WITH w AS (SELECT doc_id, text, regexp_extract_all(text, '[^\x20\x09-\x0D]+[\x20\x09-\x0D]*') AS units FROM documents),
+    u AS (SELECT doc_id, unnest(range(len(units))) AS i, unnest(units) AS unit FROM w),
+    k AS (SELECT doc_id, i, md5(string_agg(regexp_extract(unit, '^[^\x20\x09-\x0D]+'), ' ') OVER o) AS digest
+          FROM u WINDOW o AS (PARTITION BY doc_id ORDER BY i ROWS BETWEEN CURRENT ROW AND 49 FOLLOWING) QUALIFY count(*) OVER o = 50),
+    o AS (SELECT digest, min(doc_id) AS owner FROM k GROUP BY digest HAVING min(doc_id) <> max(doc_id)),
+    c AS (SELECT doc_id, i, i - lag(i) OVER (PARTITION BY doc_id ORDER BY i) AS step FROM k JOIN o USING (digest) WHERE doc_id <> owner),
+    g AS (SELECT doc_id, i, sum(CASE WHEN step <= 50 THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY i) AS passage FROM c),
+    r AS (SELECT doc_id, min(i) AS a, max(i) + 50 AS e FROM g GROUP BY doc_id, passage),
+    l AS (SELECT doc_id, count(*) AS n, sum(e - a) AS words, string_agg(a || '-' || e, ',' ORDER BY a) AS removed FROM r GROUP BY doc_id),
+    x AS (SELECT doc_id, unnest(range(a, e)) AS i FROM r),
+    t AS (SELECT u.doc_id, string_agg(unit, '' ORDER BY u.i) AS kept FROM u ANTI JOIN x ON u.doc_id = x.doc_id AND u.i = x.i GROUP BY u.doc_id)
+    SELECT w.doc_id, coalesce(l.n, 0) AS n_passages, coalesce(l.words, 0) AS removed_words, coalesce(l.removed, '') AS removed,
+           CASE WHEN text IS NOT NULL THEN sha256(regexp_extract(text, '^[\x20\x09-\x0D]*') || coalesce(kept, '')) END AS kept_sha256
+    FROM w LEFT JOIN l ON l.doc_id = w.doc_id LEFT JOIN t ON t.doc_id = w.doc_id
+"""
