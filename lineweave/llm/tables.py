@@ -34,14 +34,20 @@ def read_table(spark, sf_dir: str, table: str) -> DataFrame:
 WORKER_MEMORY = {"MALLOC_ARENA_MAX": "1", "MALLOC_MMAP_THRESHOLD_": str(1 << 20), "MALLOC_TRIM_THRESHOLD_": str(1 << 20), "ARROW_DEFAULT_MEMORY_POOL": "system", "OPENBLAS_NUM_THREADS": "1"}
 
 
+#: Bytes of an Arrow batch (a larger row is a batch of its own); Spark's own bound is 64 MB on both sides of a task.
+BATCH_BYTES = 4 << 20
+
+
 def prepare(spark, rows: int = 1000) -> None:
     """Session settings that the operators with Python tasks need.
 
-    Arrow batches hold at most ``rows`` rows, so that a batch of long texts stays small. Python
+    Arrow batches hold at most ``rows`` rows and about ``BATCH_BYTES`` bytes, so that a batch of long texts or of
+    large sets stays small. Python
     workers find this package where the driver found it (an installed package or ``--py-files``
     needs nothing; this covers a source tree that executors share), and give freed memory back.
     """
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     env = spark.sparkContext.environment
     known = env.get("PYTHONPATH", "").split(os.pathsep)
     if _ROOT not in known:
