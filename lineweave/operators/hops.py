@@ -14,6 +14,8 @@ from lineweave.schemas import HOP_SCHEMA, TRIP_COLUMNS, TRIP_NAME_COLUMNS
 TRIP_ATTRS = [n for n, _ in TRIP_COLUMNS if n != "lines_result"]
 #: Equal rows that one task numbers at once.
 COPIES = 4096
+#: Trips of one task: the legs of that many, with all that was looked up for them, are sorted in some 200 MB.
+TASK_TRIPS = 1 << 15
 _KEY_SEP = "\u0001"
 _NULL_MARK = "\u0000"
 
@@ -63,6 +65,23 @@ def mark_shared_ids(trips: DataFrame) -> DataFrame:
     return trips.withColumn("_shared", F.count(F.lit(1)).over(Window.partitionBy("trip_id")) > 1)
 
 
+def task_count(rows: int, task_rows: int = TASK_TRIPS) -> int:
+    """Tasks for ``rows`` trips, so that a task stays the same whatever the input."""
+    return max(1, -(-rows // task_rows))
+
+
+def by_trip(trips: DataFrame, rows: int, task_rows: int = TASK_TRIPS) -> DataFrame:
+    """``trips`` hash-partitioned on ``trip_id``, at most about ``task_rows`` of ``rows`` trips in a task.
+
+    Plans are short text, but their legs are many times as wide. Adaptive execution sees the text alone and would
+    merge partitions until a task's sorts no longer fit, so from two tasks on their number is named.
+    """
+    tasks = task_count(rows, task_rows)
+    if tasks == 1:
+        return trips.repartition("trip_id")
+    return trips.repartition(max(tasks, trips.sparkSession.sparkContext.defaultParallelism), "trip_id")
+
+
 def prepare_trips(trips: DataFrame, key_cols=None, extra_aliases=None) -> DataFrame:
     """Attach ``trip_id`` (hashed from the raw columns) and clean the name columns."""
     return clean_trip_names(trip_identity(trips, key_cols), extra_aliases)
@@ -102,6 +121,11 @@ def trip_window():
     return Window.partitionBy("trip_id").orderBy("hop")
 
 
+def whole_trip():
+    """All hops of the trip. In their order, so that one sort serves these windows and the running ones."""
+    return trip_window().rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+
+
 def carry_forward_route(hops: DataFrame) -> DataFrame:
     """``route``: the hop's line, or the nearest earlier hop's line when absent."""
     w = trip_window().rowsBetween(Window.unboundedPreceding, Window.currentRow)

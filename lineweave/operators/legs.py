@@ -9,10 +9,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lineweave.operators.hops import trip_window
+from lineweave.operators.hops import trip_window, whole_trip
 from lineweave.operators.skew import SALT
 
 #: Stations of a line that make one row of :func:`line_arrays`.
@@ -71,7 +71,7 @@ def leg_destinations(hops: DataFrame, line_index: DataFrame) -> DataFrame:
 
 def resolved_legs(legs: DataFrame) -> DataFrame:
     """Legs of trips whose every hop resolves (window over the trip, no join); last hops dropped."""
-    trip_bad = F.max(F.col("bad").cast("int")).over(Window.partitionBy("trip_id"))
+    trip_bad = F.max(F.col("bad").cast("int")).over(whole_trip())
     return legs.withColumn("_trip_bad", trip_bad).filter(
         (F.col("_trip_bad") == 0) & ~F.col("is_last")
     ).drop("_trip_bad")

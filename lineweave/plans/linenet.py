@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, replace
 
-from pyspark.sql import Column, DataFrame, Observation, Window
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from lineweave.operators.dims import (
@@ -27,7 +27,7 @@ from lineweave.operators.dims import (
 )
 from lineweave.operators.distance import leg_distance, with_exact_leg_distance, with_trip_distance
 from lineweave.operators.fold import fold_hops
-from lineweave.operators.hops import clean_trip_names, mark_shared_ids, trip_identity
+from lineweave.operators.hops import by_trip, clean_trip_names, mark_shared_ids, trip_identity, whole_trip
 from lineweave.operators.legs import leg_destinations, leg_slices, leg_stations, line_arrays, resolved_legs
 from lineweave.operators.profile import line_profile_split
 from lineweave.operators.skew import SALT, hot_values, replicated, salted
@@ -87,21 +87,22 @@ def spread_dims(dims: LineNetDims, trips: DataFrame, extra_aliases=None) -> Line
     return replace(dims, index=replicated(dims.index, hot), lines=replicated(dims.lines, hot), routes=replicated(dims.routes, hot), hot=hot)
 
 
-def partitioned_trips(trips: DataFrame, key_cols=None, extra_aliases=None) -> DataFrame:
+def partitioned_trips(trips: DataFrame, key_cols=None, extra_aliases=None, rows: int | None = None) -> DataFrame:
     """Plan rows with ``trip_id``, hash-partitioned on it, names cleaned.
 
     The one shuffle of the job: trips are still one row each and ``trip_id`` is unique, so
     partitions are even whatever the input file sizes; all per-row work runs after it. Rows that
-    share a given key are marked there, never merged.
+    share a given key are marked there, never merged. The number of partitions follows the number of
+    ``rows``, which is counted if it isn't given (for Parquet a look at the footers).
     """
-    t = trip_identity(trip_scan(trips), key_cols).repartition("trip_id")
+    t = by_trip(trip_identity(trip_scan(trips), key_cols), trips.count() if rows is None else rows)
     return clean_trip_names(mark_shared_ids(t) if key_cols is not None else t, extra_aliases)
 
 
 def hop_legs(trips: DataFrame, dims: LineNetDims, key_cols=None, extra_aliases=None,
-             prepared: DataFrame | None = None, mark_malformed: bool = False) -> DataFrame:
+             prepared: DataFrame | None = None, mark_malformed: bool = False, rows: int | None = None) -> DataFrame:
     """Hop rows with bounds and the ``bad`` flag (all hops, last ones included)."""
-    t = prepared if prepared is not None else partitioned_trips(trips, key_cols, extra_aliases)
+    t = prepared if prepared is not None else partitioned_trips(trips, key_cols, extra_aliases, rows)
     hops = fold_hops(t, extra_aliases=extra_aliases, mark_malformed=mark_malformed)
     legs = leg_destinations(hops if dims.hot is None else salted(hops, dims.hot, by="trip_id"), dims.index)
     return legs.withColumn("bad", F.col("bad") | F.col("_shared")) if "_shared" in legs.columns else legs
@@ -216,6 +217,7 @@ def line_net_frame(
     extra_aliases=None,
     max_broadcast_rows: int | None = None,
     dims: LineNetDims | None = None,
+    rows: int | None = None,
 ) -> DataFrame:
     """Results and rejects of one pass over the trips: the 19 columns of :func:`build_line_net`, ``reason``
     and ``kind`` (result or reject).
@@ -223,16 +225,17 @@ def line_net_frame(
     A reject has its trip in ``uuid``, its hop in ``transfer_order`` (null for a malformed plan), its line
     and station in ``transfer_route_name`` and ``transfer_station_name``, and the trip's plan columns. One
     generator makes both: the stations between a leg's bounds, or one empty station for a hop with a reason.
+    ``rows``: the number of trips, if it is known (see :func:`partitioned_trips`).
     """
     if gap_mode not in GAP_MODES:
         raise ValueError(f"gap_mode must be one of {GAP_MODES}")
     if dims is None:
         dims = prepare_dims(line_stations, locations, extra_aliases, max_broadcast_rows)
     dims = spread_dims(dims, trips, extra_aliases)
-    hops = hop_legs(trips, dims, key_cols, extra_aliases, mark_malformed=True)
+    hops = hop_legs(trips, dims, key_cols, extra_aliases, mark_malformed=True, rows=rows)
     # A hop without a reason is resolved, so a trip is left out exactly if one of its hops has one.
     legs = _with_reasons(hops, dims).withColumn("bad", F.col("reason").isNotNull())
-    trip_bad = F.max("bad").over(Window.partitionBy("trip_id"))
+    trip_bad = F.max("bad").over(whole_trip())
     legs = legs.withColumn("_trip_bad", trip_bad).filter(F.col("bad") | (~F.col("_trip_bad") & ~F.col("is_last")))
     legs = with_trip_distance(leg_distance(legs)) if gap_mode == "bridge" else with_exact_leg_distance(legs)
     # Legs without bounds meet no part of a line; they keep one row.

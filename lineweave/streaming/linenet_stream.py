@@ -42,12 +42,12 @@ def start_line_net_stream(
     dims = prepare_dims(line_stations, locations)
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        keys = key_cols
+        keys, rows = key_cols, batch.count()
         if keys is None:
             numbered = trip_identity(trip_scan(batch), out="_row_id")
             batch = numbered.withColumn("_row_id", F.concat_ws("#", F.lit(str(batch_id)), F.col("_row_id")))
             keys = ["_row_id"]
-        frame = line_net_frame(batch, None, None, gap_mode=gap_mode, key_cols=keys, dims=dims)
+        frame = line_net_frame(batch, None, None, gap_mode=gap_mode, key_cols=keys, dims=dims, rows=rows)
         # the folder name carries batch_id as a partition column on read
         folder = f"batch_id={batch_id}"
         if reject_path is None:
