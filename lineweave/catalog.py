@@ -290,7 +290,7 @@ def q_trip_value_rejects(spark, d):
 
 def q_line_net_stored(spark, d):
     table = f"line_net_trips_{uuid.uuid4().hex[:12]}"
-    store_trips(fx.grid_trips(spark, d), table, shared_dir(spark, table), 16, fx.GRID_KEY)
+    store_trips(fx.grid_trips(spark, d), table, shared_dir(spark, table), key_cols=fx.GRID_KEY)
     return stored_line_net(spark, table, _dims(spark, d, 17), gap_mode="exact")
 
 

@@ -1,11 +1,13 @@
 """Tasks stay the same size whatever the number of trips."""
 
 import re
+import uuid
 
 from lineweave import build_line_net
 from lineweave import fixtures as fx
 from lineweave.operators.hops import TASK_TRIPS, by_trip, task_count
-from lineweave.plans import prepare_dims
+from lineweave.plans import prepare_dims, stored
+from lineweave.session import shared_dir
 from tests.conftest import SF001
 
 
@@ -36,3 +38,14 @@ def test_one_sort_for_all_windows_over_the_hops(spark):
     plan = _plan(build_line_net(fx.grid_trips(spark, SF001), fx.grid_line_stations(spark, SF001), fx.grid_locations(spark, SF001), gap_mode="exact", key_cols=fx.GRID_KEY))
     # the other one counts rows that share a key, while trips are one row each
     assert len(re.findall(r"Sort \[trip_id#", plan)) == 2
+
+
+def test_buckets_follow_the_trips(spark, monkeypatch):
+    trips = fx.grid_trips(spark, SF001)
+    monkeypatch.setattr(stored, "task_count", lambda rows: task_count(rows, 50))
+    for n, buckets in ((trips.count(), 30), (100, stored.LEAST_BUCKETS)):
+        table = f"stored_{uuid.uuid4().hex[:12]}"
+        stored.store_trips(trips.limit(n), table, shared_dir(spark, table), key_cols=fx.GRID_KEY)
+        told = {r.col_name: r.data_type for r in spark.sql(f"describe extended {table}").collect()}
+        assert told["Num Buckets"] == str(buckets) and spark.table(table).count() == n
+        spark.sql(f"drop table {table}")
