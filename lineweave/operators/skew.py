@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lineweave.operators.dims import materialized
+
 SALT = "_salt"
 SALTS = 32
 
@@ -19,6 +21,7 @@ def hot_values(df: DataFrame, column: str, partitions: int | None = None) -> lis
     """The values that hold more than half of one partition's even share of the rows."""
     partitions = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     counts = df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("n"))
+    counts = materialized(counts, "line-counts")  # a row for each line; the plans are folded once for both readers
     total = F.sum("n").alias("total")
     whole = counts.agg(total).first()["total"] or 0
     least = max(1, whole // (2 * partitions) + 1)

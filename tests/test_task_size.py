@@ -3,9 +3,12 @@
 import re
 import uuid
 
+from pyspark.sql import functions as F
+
 from lineweave import build_line_net
 from lineweave import fixtures as fx
 from lineweave.operators.hops import TASK_TRIPS, by_trip, task_count
+from lineweave.operators.skew import hot_values
 from lineweave.plans import prepare_dims, stored
 from lineweave.session import shared_dir
 from tests.conftest import SF001
@@ -49,3 +52,15 @@ def test_buckets_follow_the_trips(spark, monkeypatch):
         told = {r.col_name: r.data_type for r in spark.sql(f"describe extended {table}").collect()}
         assert told["Num Buckets"] == str(buckets) and spark.table(table).count() == n
         spark.sql(f"drop table {table}")
+
+
+def test_hot_lines_fold_the_plans_once(spark):
+    met = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def counted(x):
+        met.add(1)
+        return "h" if x % 3 == 0 else str(x)
+
+    assert hot_values(spark.range(300).select(counted.asNondeterministic()("id").alias("route")), "route", 8) == ["h"]
+    assert met.value == 300
