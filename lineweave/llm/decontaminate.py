@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from lineweave.llm import textops as T
 from lineweave.llm.tables import HashFilter, cut, fold_id, prepare, read_table
-from lineweave.llm.touched import filtered, key_filter, row_key, without
+from lineweave.llm.touched import KeyCells, row_key, without
 
 #: Masks of weight 5: every stretch of 13 words or more with 70 % agreement has a place where one of them
 #: sees agreeing words only (shown for 13 to 25 words; a longer one has a part of such a length with 70 %).
@@ -181,9 +181,11 @@ def _text_overlaps(rows: DataFrame, items: DataFrame) -> DataFrame:
     met = met.groupBy("t1", "t2", "item", "length", "diagonal").agg(F.min("doc").alias("doc"))
     found = met.groupBy("t1", "t2").agg(F.min("doc").alias("doc"), F.collect_list(F.struct("item", "length", "diagonal")).alias("hits"))
     found = cut(found.withColumn("key", F.xxhash64("doc", "t1")), "bench-hits")
-    involved = filtered(rows.withColumn("key", F.xxhash64("doc", "t1")), "key", key_filter(found, "key"), True)
+    involved = KeyCells.of(found, "key").split(rows.withColumn("key", F.xxhash64("doc", "t1")), "key", True)
     involved = involved.drop("key").join(found.drop("key"), ["doc", "t1", "t2"]).select("t1", "t2", "text", "hits")
     facing = involved.mapInArrow(T.map_slices("text", _stretches), "t1 long, t2 long, item long, diagonal int, own binary")
+    # Dealt out anew, so that a text with many hits is compared in many tasks, none of which has workers for both steps.
+    facing = facing.repartition("t1", "t2", "item", "diagonal")
     words = cut(items.mapInArrow(T.map_slices("text", _item_words), "item long, item_words binary"), "bench-words")
     compared = facing.join(words, "item").select("t1", "t2", "item", "diagonal", "own", "item_words")
     compared = compared.mapInArrow(_verify, "t1 long, t2 long, item long, n_same int, diagonal int, first_word int, end_word int")
@@ -204,7 +206,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     items = members.select("item", "text").dropDuplicates(["item"])
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), fold_id("doc_id").alias("doc"), *text_key(text), text.alias("text")).where("text is not null")
     overlaps = cut(_text_overlaps(rows.drop("doc_id"), items), "bench-overlaps")
-    copies = filtered(rows.select("doc_id", row_key().alias("key"), "t1", "t2"), "t1", key_filter(overlaps, "t1"), True).distinct()
+    copies = KeyCells.of(overlaps, "t1").split(rows.select("doc_id", row_key().alias("key"), "t1", "t2"), "t1", True).distinct()
     out = overlaps.join(members.drop("text"), "item").join(copies, ["t1", "t2"])
     return out.select(
         "doc_id", "key", "item_id", "first_word", "end_word", (F.col("first_word") - F.col("diagonal")).alias("item_first_word"), (F.col("end_word") - F.col("diagonal")).alias("item_end_word"), "n_same"

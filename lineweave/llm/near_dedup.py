@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from lineweave.llm import textops as T
 from lineweave.llm.components import connected_components, merged_roots
 from lineweave.llm.tables import HashFilter, cut, fold_id, prepare, read_table
-from lineweave.llm.touched import filtered, fresh_name, key_filter, with_key, without
+from lineweave.llm.touched import KeyCells, fresh_name, with_key, without
 
 SHINGLE = 5
 #: Registers: base, rate of the exponential hashes, largest value.
@@ -329,7 +329,7 @@ def keep_one_of_each(docs: DataFrame, percent: int = 80) -> DataFrame:
     repeated = cut(best.where("best.n > 1").select("best.key"), "near-repeated")
     out = without(docs, cut(removed.union(repeated), "near-removed"))
     key = fresh_name(docs, "_key")
-    again = filtered(with_key(docs, key), key, key_filter(repeated, "key"), True).join(repeated.select(F.col("key").alias(key)), key, "left_semi")
+    again = KeyCells.of(repeated, "key").split(with_key(docs, key), key, True).join(repeated.select(F.col("key").alias(key)), key, "left_semi")
     return out.unionByName(again.dropDuplicates([key]).drop(key))
 
 

@@ -224,6 +224,7 @@ def placement_rows(groups: list[Group]) -> list[tuple[int, int, int, int, int, i
     return rows
 
 
+_SLOT = ("length", "lo", "hi", "first", "number", "offset")
 _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -257,9 +258,9 @@ def packed_pieces(docs: DataFrame, vocabulary: str = VOCABULARY, width: int = WI
     pieces = cut(rows.mapInArrow(_pieces(vocabulary, width, end_id), _PIECES).withColumn("part", F.expr(f"pmod(xxhash64(doc_id, piece), {PARTS})")), "pack-pieces")
     # At most `width` rows reach the driver.
     counts = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}
-    slots = spark.createDataFrame(
-        placement_rows(plan_sequences(counts, width)) or [(0, 0, 0, 0, 1, 0)], "length long, lo long, hi long, first long, number long, offset long"
-    )
+    # As an Arrow table, as rows would pass Python workers of their own kind.
+    places = placement_rows(plan_sequences(counts, width)) or [(0, 0, 0, 0, 1, 0)]
+    slots = spark.createDataFrame(pa.table([pa.array(c, pa.int64()) for c in zip(*places)], names=list(_SLOT)))
     before = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     starts = pieces.groupBy("length", "part").agg(F.count("*").alias("n")).select("length", "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
     own = Window.partitionBy("length", "part").orderBy("doc_id", "piece", "start", "ids_crc32")

@@ -33,7 +33,7 @@ from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
 
 from lineweave.llm import textops as T
 from lineweave.llm.tables import HashFilter, cut, fold_id, prepare, read_table
-from lineweave.llm.touched import filtered, fresh_name, key_filter, row_key, with_key
+from lineweave.llm.touched import KeyCells, fresh_name, row_key, with_key
 
 MIN_WORDS = 50
 
@@ -214,12 +214,12 @@ def remove_repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS, ranges
     key, repeats = fresh_name(docs, "_key"), fresh_name(docs, "_repeats")
     listed = ranges or fresh_name(docs, "_ranges")
     kind = ArrayType(StructType([StructField("first_word", IntegerType()), StructField("end_word", IntegerType())]))
-    maybe = key_filter(by_text, "key")
+    maybe = KeyCells.of(by_text, "key")
     whole = with_key(docs, key)
-    inside = filtered(whole, key, maybe, True).join(by_text.select(F.col("key").alias(key), F.col("repeats").alias(repeats)), key, "left")
+    inside = maybe.split(whole, key, True).join(by_text.select(F.col("key").alias(key), F.col("repeats").alias(repeats)), key, "left")
     schema = StructType([*docs.schema.fields, StructField(listed, kind, True)])
     inside = inside.select(*docs.columns, repeats).mapInArrow(_remove(min_words, "text", repeats, listed), schema)
-    outside = filtered(whole, key, maybe, False).select(*docs.columns).withColumn(listed, F.array().cast(kind))
+    outside = maybe.split(whole, key, False).select(*docs.columns).withColumn(listed, F.array().cast(kind))
     out = outside.unionByName(inside)
     return out if ranges else out.drop(listed)
 

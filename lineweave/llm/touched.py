@@ -8,6 +8,7 @@ documents are shuffled and the result stays the same.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -16,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from lineweave.llm import textops as T
-from lineweave.llm.tables import HashFilter, fold_id
+from lineweave.llm.tables import HashFilter, bitmap, cell_and_bit, cut, fold_id
 
 
 def fresh_name(df: DataFrame, name: str) -> str:
@@ -63,10 +64,33 @@ def _mixed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(T.signed(T.mix(h)))], names=["h"])
 
 
+@dataclass
+class KeyCells:
+    """The bitmap of :func:`key_filter` as a table (cell, word). Documents meet it in a join with at most ``2**(bits - 6)``
+    small rows, so they pass no Python worker, and the step around it keeps its workers for its own work."""
+
+    cells: DataFrame
+    bits: int
+
+    @classmethod
+    def of(cls, keys: DataFrame, key: str, bits: int = 23) -> "KeyCells":
+        return cls(cut(bitmap(keys.select(F.xxhash64(key).alias("h")), "h", bits), "key-cells"), bits)
+
+    def split(self, docs: DataFrame, key: str, inside: bool) -> DataFrame:
+        """Rows whose ``key`` may be (or surely isn't) among the members; same columns."""
+        h, cell, bit, word = (fresh_name(docs, f"_{n}") for n in ("h", "cell", "bit", "word"))
+        at, own = cell_and_bit(h, self.bits)
+        rows = docs.withColumn(h, F.xxhash64(key)).withColumns({cell: at, bit: own})
+        # The table is bounded by ``bits`` alone.
+        met = rows.join(F.broadcast(self.cells.toDF(cell, word)), cell, "inner" if inside else "left")
+        hit = F.col(word).bitwiseAND(F.col(bit)) != 0
+        return met.where(hit if inside else ~F.coalesce(hit, F.lit(False))).drop(h, cell, bit, word)
+
+
 def without(docs: DataFrame, found: DataFrame) -> DataFrame:
     """``docs`` but for the rows whose document key is in ``found`` (column ``key``); same columns."""
     key = fresh_name(docs, "_key")
-    maybe = key_filter(found, "key")
+    maybe = KeyCells.of(found, "key")
     rows = with_key(docs, key)
-    checked = filtered(rows, key, maybe, True).join(found.select(F.col("key").alias(key)).distinct(), key, "left_anti")
-    return filtered(rows, key, maybe, False).unionByName(checked).select(*docs.columns)
+    checked = maybe.split(rows, key, True).join(found.select(F.col("key").alias(key)).distinct(), key, "left_anti")
+    return maybe.split(rows, key, False).unionByName(checked).select(*docs.columns)
