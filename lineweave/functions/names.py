@@ -67,7 +67,9 @@ def alias_rules(t: Column, extra_aliases: Iterable[tuple[str, str]] | None = Non
     # Text before the first '(' followed by the text up to the first ')' (non-empty); the rest
     # is dropped. Inverted or empty parentheses do not match, so the trimmed name stays.
     section = F.regexp_replace(t, PAREN_SECTION_PATTERN, "$1$2" + LINE_CHAR)
-    return expr.otherwise(F.regexp_replace(section, PAREN_PATTERN, "$1$2"))
+    # Most names have no parenthesis, which a search tells at a fraction of the patterns' cost.
+    expr = expr.when(F.instr(t, "(") > 0, F.regexp_replace(section, PAREN_PATTERN, "$1$2"))
+    return expr.otherwise(t)
 
 
 def canonicalize(df: DataFrame, cols: Sequence[str], extra_aliases=None) -> DataFrame:
