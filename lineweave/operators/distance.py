@@ -99,8 +99,42 @@ def with_exact_leg_distance(legs: DataFrame) -> DataFrame:
     located one (prefix sums); stations at the leg start before the first located a- / b-end
     reuse the previous legs' last ends A / B. A, B and "started" are carried across legs with
     running windows over the trip's legs (a few rows), so station rows are never sorted.
-    Needs the o_/d_ profile columns from ``leg_destinations``.
+    Needs the o_/d_ profile columns from ``leg_destinations``, or :func:`exact_leg_terms` of them.
     """
+    if "_kind" not in legs.columns:
+        legs = exact_leg_terms(legs)
+    before = Window.partitionBy("trip_id").orderBy("hop").rowsBetween(Window.unboundedPreceding, -1)
+    legs = legs.withColumns(
+        {
+            "_started": F.coalesce(F.max("_has_pair").over(before), F.lit(0)),
+            "_A": F.last("_last_a", ignorenulls=True).over(before),
+            "_B": F.last("_last_b", ignorenulls=True).over(before),
+        }
+    )
+    kind, n, p, c, a, b = (F.col(x) for x in ("_kind", "_n", "_p", "_c", "_A", "_B"))
+    ab = point_distance_m(a, b)
+    started_m = (
+        F.when(kind == _NONE_LOCATED, n * ab)
+        .when(kind == _FIRST_LOCATED, n * point_distance_m(p, b) + c)
+        .otherwise(n * ab + point_distance_m(a, p) + c)
+    )
+    leg_m = F.when(kind == _NO_PAIR, F.lit(0)).when(F.col("_started") == 1, started_m).otherwise(F.col("_first_m"))
+    legs = legs.withColumn("leg_m", leg_m)
+    legs = legs.withColumn("distance", F.sum("leg_m").over(Window.partitionBy("trip_id")).cast("int"))
+    return legs.drop(*LEG_TERMS, "_started", "_A", "_B")
+
+
+#: What :func:`exact_leg_terms` says of a leg.
+LEG_TERMS = ["_kind", "_n", "_p", "_c", "_first_m", "_has_pair", "_last_a", "_last_b"]
+_NO_PAIR, _NONE_LOCATED, _FIRST_LOCATED, _LATER_LOCATED = range(4)
+
+
+def exact_leg_terms(legs: DataFrame) -> DataFrame:
+    """The ``LEG_TERMS`` of every leg, all that the exact rule takes from its bounds, so that legs can be dealt out to
+    their trips without what was looked up. ``_first_m``: its metres if nothing was measured before it. Else, with the
+    ends A and B carried to it, by ``_kind``: nothing if it has no pair; n * |AB| if none of its stations is located;
+    n * |pB| + c if the first one is; n * |AB| + |Ap| + c if a later one is. ``_has_pair``, ``_last_a``, ``_last_b``:
+    what it carries on."""
     o_low = F.col("o_num") <= F.col("d_num")
 
     def at_lo(c):
@@ -128,34 +162,18 @@ def with_exact_leg_distance(legs: DataFrame) -> DataFrame:
             "_last_b": F.when(m > 0, F.when(pt_hi.isNotNull(), pt_hi).when(prev_num_hi > lo, prev_pt_hi)),
         }
     )
-    before = Window.partitionBy("trip_id").orderBy("hop").rowsBetween(Window.unboundedPreceding, -1)
+    m, f, g, cum_hi, lo_idx = F.col("_m"), F.col("_f"), F.col("_g"), F.col("_cum_hi"), F.col("_lo_idx")
+    none = ~(f.isNotNull() & (f["num"] <= hi))  # nothing located in the leg: every pair re-measures A-B
+    at_first = f["num"] == lo  # the first station is located: pairs before the first located b-end use B
+    g_in = g.isNotNull() & (g["num"] <= hi)
+    # otherwise pairs before the first located station use A-B, then A-f
     legs = legs.withColumns(
         {
-            "_started": F.coalesce(F.max("_has_pair").over(before), F.lit(0)),
-            "_A": F.last("_last_a", ignorenulls=True).over(before),
-            "_B": F.last("_last_b", ignorenulls=True).over(before),
+            "_kind": F.when(m <= 0, _NO_PAIR).when(none, _NONE_LOCATED).when(at_first, _FIRST_LOCATED).otherwise(_LATER_LOCATED),
+            "_n": F.when(none | (at_first & ~g_in), m).when(at_first, g["idx"] - lo_idx - 1).otherwise(f["idx"] - lo_idx - 1),
+            "_p": F.when(none, F.lit(None)).when(at_first, F.col("_pt_lo")).otherwise(f["pt"]),
+            "_c": F.when(none | (at_first & ~g_in), F.lit(0)).when(at_first, cum_hi - F.col("_cum_lo")).otherwise(cum_hi - f["cum_m"]),
+            "_first_m": F.when(F.col("_has_pair") == 1, cum_hi - F.col("_pair_cum")).otherwise(F.lit(0)),
         }
     )
-    m, f, g, a, b = F.col("_m"), F.col("_f"), F.col("_g"), F.col("_A"), F.col("_B")
-    lo_idx, pt_lo, cum_lo, cum_hi = F.col("_lo_idx"), F.col("_pt_lo"), F.col("_cum_lo"), F.col("_cum_hi")
-    ab = point_distance_m(a, b)
-    f_in = f.isNotNull() & (f["num"] <= hi)
-    g_in = g.isNotNull() & (g["num"] <= hi)
-    started_m = (
-        F.when(~f_in, m * ab)  # nothing located in the leg: every pair re-measures A-B
-        .when(
-            f["num"] == lo,  # the first station is located: pairs before the first located b-end use B
-            F.when(g_in, (g["idx"] - lo_idx - 1) * point_distance_m(pt_lo, b) + cum_hi - cum_lo).otherwise(
-                m * point_distance_m(pt_lo, b)
-            ),
-        )
-        .otherwise(  # pairs before the first located station use A-B, then A-f
-            (f["idx"] - lo_idx - 1) * ab + point_distance_m(a, f["pt"]) + cum_hi - f["cum_m"]
-        )
-    )
-    first_m = F.when(F.col("_has_pair") == 1, cum_hi - F.col("_pair_cum")).otherwise(F.lit(0))
-    leg_m = F.when(m <= 0, F.lit(0)).when(F.col("_started") == 1, started_m).otherwise(first_m)
-    legs = legs.withColumn("leg_m", leg_m)
-    legs = legs.withColumn("distance", F.sum("leg_m").over(Window.partitionBy("trip_id")).cast("int"))
-    return legs.drop("_m", "_lo_idx", "_pt_lo", "_cum_lo", "_cum_hi", "_f", "_g", "_pair_cum", "_has_pair",
-                     "_last_a", "_last_b", "_started", "_A", "_B")
+    return legs.drop("_m", "_lo_idx", "_pt_lo", "_cum_lo", "_cum_hi", "_f", "_g", "_pair_cum")

@@ -63,11 +63,26 @@ def folded_plan(plan: Column, dedupe: bool = True, extra_aliases=None) -> Column
     return F.aggregate(cleaned_plan(plan, extra_aliases), nothing, step, with_next)
 
 
-def fold_hops(trips: DataFrame, dedupe: bool = True, extra_aliases=None, mark_malformed: bool = False) -> DataFrame:
+def plan_lines(trips: DataFrame) -> DataFrame:
+    """``route``: the line of every plan element, repeated ones too, carried forward as in :func:`fold_hops` but under the
+    name that the plan gives it. For counts of lines, which clean a name once: nothing else of the plan is read."""
+    text = F.col("lines_result")
+    plan = F.when(is_json_array(text), F.from_json(text, "array<struct<lineName:string>>"))
+    nothing = F.struct(F.lit(None).cast("string").alias("route"), F.array().cast("array<string>").alias("routes"))
+
+    def step(state: Column, h: Column) -> Column:
+        route = F.coalesce(h["lineName"], state["route"])
+        return F.struct(route.alias("route"), F.array_append(state["routes"], route).alias("routes"))
+
+    return trips.select(F.explode(F.aggregate(plan, nothing, step, lambda state: state["routes"])).alias("route"))
+
+
+def fold_hops(trips: DataFrame, dedupe: bool = True, extra_aliases=None, mark_malformed: bool = False, covered: bool = True) -> DataFrame:
     """One row per kept plan element: the trip's columns and hop, route, station, code, next_station, is_last.
 
     Text that is not a JSON array of objects gives no row; with ``mark_malformed`` it gives one row whose hop
-    is null, and ``malformed`` tells those rows.
+    is null, and ``malformed`` tells those rows. ``covered=False`` leaves out a last element on the line of the one
+    before it: it begins no leg, and whether its station is on that line is what the leg before it looks up.
     """
     text = F.col("lines_result")
     plan = F.when(is_json_array(text), F.from_json(text, HOP_SCHEMA))
@@ -75,5 +90,9 @@ def fold_hops(trips: DataFrame, dedupe: bool = True, extra_aliases=None, mark_ma
     if mark_malformed:
         hops = F.coalesce(hops, F.array(F.lit(None)).cast(_FOLDED))
     keep = [c for c in trips.columns if c != "lines_result"]
+    if not covered:
+        trips = trips.withColumn("_hops", hops)
+        same_line = F.try_element_at("_hops", F.lit(-1))["route"] == F.try_element_at("_hops", F.lit(-2))["route"]
+        hops = F.when(same_line, F.slice("_hops", 1, F.size("_hops") - 1)).otherwise(F.col("_hops"))
     rows = trips.select(*keep, F.inline(hops))
     return rows.withColumn("malformed", F.col("hop").isNull()) if mark_malformed else rows

@@ -16,6 +16,7 @@ from dataclasses import dataclass, replace
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+from lineweave.functions.names import canonical_name
 from lineweave.operators.dims import (
     broadcastable,
     clean_line_stations,
@@ -25,10 +26,10 @@ from lineweave.operators.dims import (
     materialized,
     shuffled_beyond,
 )
-from lineweave.operators.distance import leg_distance, with_exact_leg_distance, with_trip_distance
-from lineweave.operators.fold import fold_hops
-from lineweave.operators.hops import by_trip, clean_trip_names, mark_shared_ids, trip_identity, whole_trip
-from lineweave.operators.legs import leg_destinations, leg_slices, leg_stations, line_arrays, resolved_legs
+from lineweave.operators.distance import LEG_TERMS, exact_leg_terms, leg_distance, with_exact_leg_distance, with_trip_distance
+from lineweave.operators.fold import fold_hops, plan_lines
+from lineweave.operators.hops import TRIP_ATTRS, by_trip, clean_trip_names, mark_shared_ids, trip_identity, whole_trip
+from lineweave.operators.legs import leg_destinations, leg_ends, leg_slices, leg_stations, line_arrays, line_lookup, resolved_legs
 from lineweave.operators.profile import line_profile_split
 from lineweave.operators.skew import SALT, hot_values, replicated, salted
 from lineweave.schemas import RESULT_COLUMNS
@@ -46,6 +47,7 @@ class LineNetDims:
     lines: DataFrame  # (route, part) -> stations with coordinates and segment columns
     large: bool = False  # joins with them shuffle
     hot: list | None = None  # the hot lines, if rows of the dimensions are repeated for their salts
+    lookup: DataFrame | None = None  # route -> the index of its stations; if large, and no line is split into parts
 
     def bare_lines(self) -> DataFrame:
         """``lines`` with the columns that the result shows only."""
@@ -75,7 +77,10 @@ def prepare_dims(line_stations: DataFrame, locations: DataFrame, extra_aliases=N
     routes = prof.select("route").distinct()
     fields = ["longitude", "latitude", "pt", "prev_pt", "prev_loc_num", "seg_m"]
     lines = shuffled_beyond(materialized(line_arrays(prof, fields), "line-arrays"), max_broadcast_rows)
-    return LineNetDims(index, profile, materialized(routes, "line-routes"), lines, large)
+    lookup = None
+    if large and not lines.agg(F.max("part")).first()[0]:
+        lookup = shuffled_beyond(materialized(line_lookup(index), "line-lookup"), max_broadcast_rows)
+    return LineNetDims(index, profile, materialized(routes, "line-routes"), lines, large, lookup=lookup)
 
 
 def spread_dims(dims: LineNetDims, trips: DataFrame, extra_aliases=None) -> LineNetDims:
@@ -83,8 +88,10 @@ def spread_dims(dims: LineNetDims, trips: DataFrame, extra_aliases=None) -> Line
     hot lines is one more pass over the plans (a count for each line)."""
     if not dims.large or dims.hot is not None:
         return dims
-    hot = hot_values(fold_hops(trip_scan(trips).select("lines_result"), extra_aliases=extra_aliases), "route")
-    return replace(dims, index=replicated(dims.index, hot), lines=replicated(dims.lines, hot), routes=replicated(dims.routes, hot), hot=hot)
+    lines = plan_lines(trip_scan(trips).select("lines_result"))
+    hot = hot_values(lines, "route", clean=lambda name: canonical_name(name, extra_aliases))
+    lookup = None if dims.lookup is None else replicated(dims.lookup, hot)
+    return replace(dims, index=replicated(dims.index, hot), lines=replicated(dims.lines, hot), routes=replicated(dims.routes, hot), hot=hot, lookup=lookup)
 
 
 def partitioned_trips(trips: DataFrame, key_cols=None, extra_aliases=None, rows: int | None = None) -> DataFrame:
@@ -100,11 +107,12 @@ def partitioned_trips(trips: DataFrame, key_cols=None, extra_aliases=None, rows:
 
 
 def hop_legs(trips: DataFrame, dims: LineNetDims, key_cols=None, extra_aliases=None,
-             prepared: DataFrame | None = None, mark_malformed: bool = False, rows: int | None = None) -> DataFrame:
-    """Hop rows with bounds and the ``bad`` flag (all hops, last ones included)."""
+             prepared: DataFrame | None = None, mark_malformed: bool = False, rows: int | None = None, covered: bool = True) -> DataFrame:
+    """Hop rows with bounds and the ``bad`` flag (all hops, last ones included, see :func:`fold_hops` for ``covered``)."""
     t = prepared if prepared is not None else partitioned_trips(trips, key_cols, extra_aliases, rows)
-    hops = fold_hops(t, extra_aliases=extra_aliases, mark_malformed=mark_malformed)
-    legs = leg_destinations(hops if dims.hot is None else salted(hops, dims.hot, by="trip_id"), dims.index)
+    hops = fold_hops(t, extra_aliases=extra_aliases, mark_malformed=mark_malformed, covered=covered)
+    index = dims.index if dims.lookup is None else dims.lookup
+    legs = leg_destinations(hops if dims.hot is None else salted(hops, dims.hot, by="trip_id"), index)
     return legs.withColumn("bad", F.col("bad") | F.col("_shared")) if "_shared" in legs.columns else legs
 
 
@@ -156,6 +164,8 @@ def build_line_net(
     if dims is None:
         dims = prepare_dims(line_stations, locations, extra_aliases, max_broadcast_rows)
     dims = spread_dims(dims, trips, extra_aliases)
+    if dims.hot is not None:
+        return _spread_line_net(trips, dims, gap_mode, key_cols, extra_aliases)
     legs = resolved_legs(hop_legs(trips, dims, key_cols, extra_aliases))
     if gap_mode == "bridge":
         legs = with_trip_distance(leg_distance(legs))
@@ -164,6 +174,30 @@ def build_line_net(
     return project_result(leg_stations(legs, dims.bare_lines()))
 
 
+def _spread_line_net(trips: DataFrame, dims: LineNetDims, gap_mode: str, key_cols=None, extra_aliases=None) -> DataFrame:
+    """:func:`build_line_net` where hops have to be shuffled to the dimensions and back, so their rows are kept narrow.
+
+    A hop takes its trip's id there (as bytes), not its columns, and brings back the terms of its distance and its
+    places on the line, not the profile at its bounds; last hops come back only if they are bad. The trip's columns wait
+    in the same partitioning and meet the legs after the distance is known. Trips that share a key are left out there.
+    """
+    rows = trips.count()
+    ids = trip_identity(trip_scan(trips), key_cols).withColumn("trip_id", F.unhex("trip_id"))
+    plans = by_trip(ids.select("trip_id", "lines_result"), rows)
+    legs = hop_legs(None, dims, extra_aliases=extra_aliases, prepared=plans, covered=False)
+    legs = leg_ends(legs.where(~F.col("is_last") | F.col("bad")))
+    legs, terms = (leg_distance(legs), ["leg_m"]) if gap_mode == "bridge" else (exact_leg_terms(legs), LEG_TERMS)
+    legs = legs.select("trip_id", "hop", "route", "station", "code", "is_last", "bad", SALT, "_first", "_last", *terms)
+    legs = resolved_legs(by_trip(legs, rows))
+    legs = with_trip_distance(legs) if gap_mode == "bridge" else with_exact_leg_distance(legs)
+    own = by_trip(ids.select("trip_id", *TRIP_ATTRS), rows)
+    if key_cols is not None:
+        own = mark_shared_ids(own).where(~F.col("_shared")).drop("_shared")
+    # both sides lie in the same partitions; files that compress well must not make the planner broadcast all trips
+    legs = legs.join(clean_trip_names(own, extra_aliases).hint("shuffle_merge"), "trip_id")
+    return project_result(leg_stations(legs, dims.bare_lines(), per_leg={"trip_id": F.lower(F.hex("trip_id"))}))
+
+
 def unresolved_hops(
     trips: DataFrame,
     line_stations: DataFrame,
